@@ -76,3 +76,139 @@ def q_distinct_users(spark, sf_dir):
 @query("distinct_items")
 def q_distinct_items(spark, sf_dir):
     return td.ratings(spark, sf_dir).select("mid").distinct()
+
+
+# -- fixed-factor recommendation and similarity ---------------------------
+
+from ..operators import evaluation, realtime, recommend, similarity  # noqa: E402
+
+COSINE_DIGITS = 9
+SCORE_DIGITS = 6
+
+
+@query("user_item_pairs")
+def q_user_item_pairs(spark, sf_dir):
+    """Candidate pairs per user (all items, rated ones kept) without materialising them."""
+    r = td.ratings(spark, sf_dir)
+    n_items = r.select("mid").distinct().count()
+    per_user = r.groupBy("uid").agg(F.count_distinct("mid").alias("n_rated"))
+    return per_user.select("uid", F.lit(n_items).cast("long").alias("n_candidates"), "n_rated")
+
+
+@query("predict_pairs")
+def q_predict_pairs(spark, sf_dir):
+    pairs = td.ratings(spark, sf_dir).select("uid", "mid").distinct()
+    pred = recommend.predict_pairs(pairs, td.user_factors(spark, sf_dir), td.item_factors(spark, sf_dir))
+    return pred.select("uid", "mid", F.round("prediction", COSINE_DIGITS).alias("prediction"))
+
+
+@query("user_top_items")
+def q_user_top_items(spark, sf_dir):
+    top = recommend.user_top_items(td.user_factors(spark, sf_dir), td.item_factors(spark, sf_dir))
+    return top.select("uid", "rank", "mid", F.round("score", COSINE_DIGITS).alias("score"))
+
+
+@query("item_similarity")
+def q_item_similarity(spark, sf_dir):
+    sims = similarity.item_similarity(td.item_factors(spark, sf_dir))
+    return sims.select("mid", "rank", "sim_mid", F.round("score", COSINE_DIGITS).alias("score"))
+
+
+@query("item_similarity_blocked")
+def q_item_similarity_blocked(spark, sf_dir):
+    """Same lists, forced through many small blocks (64 vectors each)."""
+    sims = similarity.item_similarity(td.item_factors(spark, sf_dir), block_size=64)
+    return sims.select("mid", "rank", "sim_mid", F.round("score", COSINE_DIGITS).alias("score"))
+
+
+# -- hold-out evaluation on fixed factors ---------------------------------
+
+GRID = [(r, lam) for r in (1, 2, 3, 4) for lam in (0.01, 0.1, 1.0)]
+
+
+@query("rating_split")
+def q_rating_split(spark, sf_dir):
+    return evaluation.rating_split(td.ratings(spark, sf_dir))
+
+
+def _test_joined(spark, sf_dir) -> DataFrame:
+    """Test rows joined with per-row predictions (duplicates multiply) and both factor vectors."""
+    _, test = evaluation.train_test(td.ratings(spark, sf_dir))
+    test = test.select("uid", "mid", "score")
+    uf = td.user_factors(spark, sf_dir).select("uid", F.col("features").alias("uf"))
+    itf = td.item_factors(spark, sf_dir).select("mid", F.col("features").alias("if_"))
+    pred = test.select("uid", "mid").join(uf, "uid").join(itf, "mid")
+    return test.join(pred, ["uid", "mid"])
+
+
+@query("rating_rmse")
+def q_rating_rmse(spark, sf_dir):
+    _, test = evaluation.train_test(td.ratings(spark, sf_dir))
+    test = test.select("uid", "mid", "score")
+    pred = recommend.predict_pairs(test.select("uid", "mid"), td.user_factors(spark, sf_dir),
+                                   td.item_factors(spark, sf_dir))
+    res = evaluation.rmse(evaluation.observed_vs_predicted(test, pred))
+    return res.select(F.round("rmse", COSINE_DIGITS).alias("rmse"), "n_pairs")
+
+
+@query("best_params")
+def q_best_params(spark, sf_dir):
+    grid = evaluation.grid_rmse(_test_joined(spark, sf_dir), GRID)
+    best = evaluation.best_params(grid)
+    return best.select("rank", "lambda", F.round("rmse", COSINE_DIGITS).alias("rmse"))
+
+
+# -- realtime scoring as a batch over the event table ---------------------
+
+def realtime_inputs(spark, sf_dir):
+    ev = td.rating_events(spark, sf_dir)
+    edges = similarity.similarity_edges(td.item_factors(spark, sf_dir))
+    recent = realtime.recent_ratings(ev)
+    seen = td.seen_items(ev)
+    triggers = realtime.newest_per_user(td.trigger_events(ev))
+    return ev, edges, recent, seen, triggers
+
+
+@query("recent_ratings")
+def q_recent_ratings(spark, sf_dir):
+    return realtime.recent_ratings(td.rating_events(spark, sf_dir))
+
+
+@query("candidate_items")
+def q_candidate_items(spark, sf_dir):
+    _, edges, _, seen, triggers = realtime_inputs(spark, sf_dir)
+    c = realtime.candidate_items(triggers, edges, seen)
+    return c.select("uid", "rank", "mid", F.round("sim", COSINE_DIGITS).alias("sim"))
+
+
+@query("pair_similarity_lookup")
+def q_pair_similarity_lookup(spark, sf_dir):
+    """sim(trigger item, recent item) for every recent rating of each triggered user; 0.0 if absent."""
+    _, edges, recent, _, triggers = realtime_inputs(spark, sf_dir)
+    pairs = (triggers.select("uid", "mid")
+             .join(recent.select("uid", "pos", F.col("mid").alias("other_mid")), "uid"))
+    out = realtime.pair_similarity(pairs, edges)
+    return out.select("uid", "pos", "mid", "other_mid", F.round("sim", COSINE_DIGITS).alias("sim"))
+
+
+def _scored(spark, sf_dir):
+    _, edges, recent, seen, triggers = realtime_inputs(spark, sf_dir)
+    cands = realtime.candidate_items(triggers, edges, seen)
+    return realtime.score_candidates(cands, recent, edges)
+
+
+@query("realtime_base_score")
+def q_realtime_base_score(spark, sf_dir):
+    return _scored(spark, sf_dir).select("uid", "mid", F.round("base", COSINE_DIGITS).alias("base"))
+
+
+@query("realtime_boost_counts")
+def q_realtime_boost_counts(spark, sf_dir):
+    return _scored(spark, sf_dir).select("uid", "mid", "n_high", "n_low")
+
+
+@query("realtime_recs")
+def q_realtime_recs(spark, sf_dir):
+    _, edges, recent, seen, triggers = realtime_inputs(spark, sf_dir)
+    recs = realtime.realtime_recs(triggers, recent, edges, seen)
+    return recs.select("uid", "rank", "mid", F.round("score", SCORE_DIGITS).alias("score"))

@@ -19,10 +19,10 @@ CTE = {
          concat_ws('|', p_type, string_split(p_name, ' ')[1], string_split(p_name, ' ')[2]) AS genres
   FROM part)""",
     "item_factors": """item_factors AS (
-  SELECT vec_id::INTEGER AS mid, list_transform(embedding[1:4], x -> x::DOUBLE) AS features
+  SELECT vec_id::INTEGER AS mid, embedding[1:4]::DOUBLE[] AS features
   FROM embeddings)""",
     "user_factors": """user_factors AS (
-  SELECT vec_id::INTEGER AS uid, list_transform(embedding[5:8], x -> x::DOUBLE) AS features
+  SELECT vec_id::INTEGER AS uid, embedding[5:8]::DOUBLE[] AS features
   FROM embeddings)""",
     "ev": """ev AS (
   SELECT event_id, user_id::INTEGER AS uid, json_extract(props, '$.k')::INTEGER AS mid,
@@ -93,3 +93,119 @@ WHERE rank <= 10""")
 
 SQL["distinct_users"] = with_(["ratings"], "SELECT DISTINCT uid FROM ratings")
 SQL["distinct_items"] = with_(["ratings"], "SELECT DISTINCT mid FROM ratings")
+
+COS = f"{dot_sql('a.features', 'b.features')} / ({norm_sql('a.features')} * {norm_sql('b.features')})"
+CTE["edges"] = f"""edges AS (
+  SELECT mid, sim_mid, score FROM (
+    SELECT a.mid, b.mid AS sim_mid, {COS} AS score
+    FROM item_factors a JOIN item_factors b ON a.mid <> b.mid)
+  WHERE score > 0.9)"""
+CTE["split"] = """split AS (
+  SELECT *, CASE WHEN ((uid::BIGINT * 2654435761 + mid::BIGINT * 40503 + timestamp::BIGINT) % 1000003)::DOUBLE
+                      < 0.2 * 1000003 THEN 'test' ELSE 'train' END AS split
+  FROM ratings)"""
+CTE["test_joined"] = f"""test AS (SELECT uid, mid, score FROM split WHERE split = 'test'),
+pred AS (SELECT t.uid, t.mid, u.features AS uf, i.features AS if_,
+                {dot_sql('u.features', 'i.features')} AS prediction
+         FROM test t JOIN user_factors u ON t.uid = u.uid JOIN item_factors i ON t.mid = i.mid),
+joined AS (SELECT t.uid, t.mid, t.score, p.uf, p.if_, p.prediction
+           FROM test t JOIN pred p ON t.uid = p.uid AND t.mid = p.mid)"""
+CTE["realtime"] = """recent AS (
+  SELECT uid, pos, mid, score FROM (
+    SELECT uid, (row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) - 1)::INTEGER AS pos,
+           mid, score FROM ev)
+  WHERE pos < 20),
+seen AS (SELECT DISTINCT uid, mid FROM ev WHERE event_type = 'purchase'),
+trig AS (
+  SELECT uid, mid FROM (
+    SELECT uid, mid, row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) AS rn
+    FROM ev WHERE event_type = 'click')
+  WHERE rn = 1),
+cands AS (
+  SELECT uid, rank, mid, sim FROM (
+    SELECT t.uid, e.sim_mid AS mid, e.score AS sim,
+           (row_number() OVER (PARTITION BY t.uid ORDER BY e.score DESC, e.sim_mid ASC))::INTEGER AS rank
+    FROM trig t JOIN edges e ON e.mid = t.mid
+    WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.uid = t.uid AND s.mid = e.sim_mid))
+  WHERE rank <= 20),
+terms AS (
+  SELECT c.uid, c.mid, r.score AS recent_score, e.score AS sim
+  FROM cands c JOIN recent r ON c.uid = r.uid
+  JOIN edges e ON e.mid = c.mid AND e.sim_mid = r.mid
+  WHERE e.score > 0.7),
+scored AS (
+  SELECT uid, mid, avg(sim * recent_score) AS base,
+         count(*) FILTER (WHERE recent_score > 3) AS n_high,
+         count(*) FILTER (WHERE recent_score <= 3) AS n_low
+  FROM terms GROUP BY uid, mid),
+final AS (
+  SELECT uid, mid, base + log10(greatest(n_high, 1)) - log10(greatest(n_low, 1)) AS score FROM scored)"""
+
+SQL["user_item_pairs"] = with_(["ratings"], """
+SELECT uid, (SELECT count(DISTINCT mid) FROM ratings) AS n_candidates, count(DISTINCT mid) AS n_rated
+FROM ratings GROUP BY uid""")
+
+SQL["predict_pairs"] = with_(["ratings", "item_factors", "user_factors"], f"""
+SELECT p.uid, p.mid, round({dot_sql('u.features', 'i.features')}, 9) AS prediction
+FROM (SELECT DISTINCT uid, mid FROM ratings) p
+JOIN user_factors u ON p.uid = u.uid JOIN item_factors i ON p.mid = i.mid""")
+
+SQL["user_top_items"] = with_(["item_factors", "user_factors"], f"""
+SELECT uid, rank, mid, round(score, 9) AS score FROM (
+  SELECT uid, mid, score,
+         (row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid ASC))::INTEGER AS rank
+  FROM (SELECT u.uid, i.mid, {dot_sql('u.features', 'i.features')} AS score
+        FROM user_factors u, item_factors i)
+  WHERE score > 0)
+WHERE rank <= 20""")
+
+_SIM_LISTS = with_(["item_factors", "edges"], """
+SELECT mid, (row_number() OVER (PARTITION BY mid ORDER BY score DESC, sim_mid ASC))::INTEGER AS rank,
+       sim_mid, round(score, 9) AS score
+FROM edges""")
+SQL["item_similarity"] = _SIM_LISTS
+SQL["item_similarity_blocked"] = _SIM_LISTS
+
+SQL["rating_split"] = with_(["ratings", "split"], "SELECT uid, mid, score, timestamp, split FROM split")
+
+SQL["rating_rmse"] = with_(["ratings", "item_factors", "user_factors", "split", "test_joined"], """
+SELECT round(sqrt(avg((score - prediction) * (score - prediction))), 9) AS rmse, count(*) AS n_pairs
+FROM joined""")
+
+
+def _grid_sql() -> str:
+    parts = []
+    for r in (1, 2, 3, 4):
+        for lam in (0.01, 0.1, 1.0):
+            pred = f"({dot_sql('uf', 'if_', r)} / {1.0 + lam!r})"
+            parts.append(f"SELECT {r}::INTEGER AS rank, {lam!r}::DOUBLE AS \"lambda\", "
+                         f"sqrt(avg((score - {pred}) * (score - {pred}))) AS rmse FROM joined")
+    return "\nUNION ALL\n".join(parts)
+
+
+SQL["best_params"] = with_(["ratings", "item_factors", "user_factors", "split", "test_joined"], f"""
+, grid AS (
+{_grid_sql()})
+SELECT rank, "lambda", round(rmse, 9) AS rmse FROM grid ORDER BY rmse, rank, "lambda" LIMIT 1""")
+
+_RT = ["ev", "item_factors", "edges", "realtime"]
+
+SQL["recent_ratings"] = with_(["ev"], """
+SELECT uid, pos, mid, score FROM (
+  SELECT uid, (row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) - 1)::INTEGER AS pos,
+         mid, score FROM ev)
+WHERE pos < 20""")
+
+SQL["candidate_items"] = with_(_RT, "SELECT uid, rank, mid, round(sim, 9) AS sim FROM cands")
+
+SQL["pair_similarity_lookup"] = with_(_RT, """
+SELECT t.uid, r.pos, t.mid, r.mid AS other_mid, round(coalesce(e.score, 0.0), 9) AS sim
+FROM trig t JOIN recent r ON t.uid = r.uid
+LEFT JOIN edges e ON e.mid = t.mid AND e.sim_mid = r.mid""")
+
+SQL["realtime_base_score"] = with_(_RT, "SELECT uid, mid, round(base, 9) AS base FROM scored")
+SQL["realtime_boost_counts"] = with_(_RT, "SELECT uid, mid, n_high, n_low FROM scored")
+SQL["realtime_recs"] = with_(_RT, """
+SELECT uid, (row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid ASC))::INTEGER AS rank,
+       mid, round(score, 6) AS score
+FROM final""")
