@@ -212,3 +212,152 @@ def q_realtime_recs(spark, sf_dir):
     _, edges, recent, seen, triggers = realtime_inputs(spark, sf_dir)
     recs = realtime.realtime_recs(triggers, recent, edges, seen)
     return recs.select("uid", "rank", "mid", F.round("score", SCORE_DIGITS).alias("score"))
+
+
+# -- text sources and parsers ---------------------------------------------
+
+from ..functions.nested import decode_recs, encode_recs  # noqa: E402
+from ..schemas import RATING  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import tables, text  # noqa: E402
+
+
+def _with_headers(spark, lines: DataFrame, header: str) -> DataFrame:
+    """Lines preceded by the header, with the header repeated once more at the end."""
+    h = spark.createDataFrame([(header,)], "value string")
+    return h.unionByName(lines).unionByName(h)
+
+
+def item_lines(spark, sf_dir) -> DataFrame:
+    """Item feed lines: quoted titles that contain a comma, genres after the last comma."""
+    it = td.items(spark, sf_dir)
+    year = (F.lit(1990) + F.pmod(F.col("mid"), F.lit(30))).cast("string")
+    return it.select(F.concat(F.col("mid").cast("string"), F.lit(',"'), F.col("title"), F.lit(", The ("),
+                              year, F.lit(')",'), F.col("genres")).alias("value"))
+
+
+def rating_lines(spark, sf_dir) -> DataFrame:
+    r = td.ratings(spark, sf_dir)
+    return r.select(F.concat_ws(",", "uid", "mid", "score", "timestamp").alias("value"))
+
+
+def event_lines(spark, sf_dir) -> DataFrame:
+    e = td.rating_events(spark, sf_dir)
+    return e.select(F.concat_ws("|", "uid", "mid", "score", "timestamp").alias("value"))
+
+
+@query("parse_items")
+def q_parse_items(spark, sf_dir):
+    path = scratch_path(spark, "items-text")
+    _with_headers(spark, item_lines(spark, sf_dir), text.ITEM_HEADER).write.mode("overwrite").text(path)
+    return text.parse_item_lines(text.read_lines(spark, path))
+
+
+@query("parse_ratings")
+def q_parse_ratings(spark, sf_dir):
+    path = scratch_path(spark, "ratings-text")
+    _with_headers(spark, rating_lines(spark, sf_dir), text.RATING_HEADER).write.mode("overwrite").text(path)
+    return text.parse_rating_lines(text.read_lines(spark, path))
+
+
+@query("parse_rating_events")
+def q_parse_rating_events(spark, sf_dir):
+    return text.parse_rating_events(event_lines(spark, sf_dir))
+
+
+@query("parse_recent_list")
+def q_parse_recent_list(spark, sf_dir):
+    """Recent lists stored as 'mid:score' strings, newest first, parsed back to rows."""
+    recent = realtime.recent_ratings(td.rating_events(spark, sf_dir))
+    item = F.concat(F.col("mid").cast("string"), F.lit(":"), F.col("score").cast("string"))
+    lists = recent.groupBy("uid").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", item.alias("item")))),
+                    lambda s: s["item"]).alias("items"))
+    return text.parse_recent_lists(lists)
+
+
+# -- stored tables and nested encoding ------------------------------------
+
+@query("nested_recs_roundtrip")
+def q_nested_recs_roundtrip(spark, sf_dir):
+    """Per-user lists stored nested (uid, recs) and read back flat."""
+    top = recommend.user_top_items(td.user_factors(spark, sf_dir), td.item_factors(spark, sf_dir))
+    nested = encode_recs(top.select("uid", "mid", "score"), "uid")
+    path = scratch_path(spark, "user-recs")
+    tables.write_table(nested, path)
+    back = tables.read_table(spark, path)
+    flat = decode_recs(back, "uid", mid_name="mid")
+    return flat.select("uid", "rank", "mid", F.round("score", COSINE_DIGITS).alias("score"))
+
+
+@query("store_roundtrip")
+def q_store_roundtrip(spark, sf_dir):
+    """Ratings written in lookup layout (range-partitioned, sorted by uid) and read back typed."""
+    path = scratch_path(spark, "ratings-by-uid")
+    tables.write_lookup_layout(td.ratings(spark, sf_dir), path, "uid")
+    return tables.read_table(spark, path, RATING)
+
+
+# -- streaming ------------------------------------------------------------
+
+from ..streaming import realtime_stream, recent_state  # noqa: E402
+from ..streaming import sources as stream_sources  # noqa: E402
+
+
+def _static_realtime_tables(spark, sf_dir):
+    ev = td.rating_events(spark, sf_dir)
+    # the similarity matrix is read by every micro-batch: materialise it once
+    edges = similarity.similarity_edges(td.item_factors(spark, sf_dir)).checkpoint()
+    return realtime.recent_ratings(ev), edges, td.seen_items(ev)
+
+
+def _run(query_handle) -> None:
+    query_handle.awaitTermination()
+    if query_handle.exception() is not None:
+        raise RuntimeError(str(query_handle.exception()))
+
+
+@query("stream_realtime_recs")
+def q_stream_realtime_recs(spark, sf_dir):
+    """The event file as a stream; each micro-batch re-scores the triggering users."""
+    recent, edges, seen = _static_realtime_tables(spark, sf_dir)
+    stream = td.trigger_events(td.events_to_ratings(stream_sources.event_file_stream(spark, sf_dir)))
+    base = scratch_path(spark, "stream-recs")
+    sink = realtime_stream.recs_sink(f"{base}/out")
+    _run(realtime_stream.start(stream, recent, edges, seen, sink, f"{base}/ckpt"))
+    out = realtime_stream.latest_flat(spark, sink)
+    return out.select("uid", "rank", "mid", F.round("score", SCORE_DIGITS).alias("score"))
+
+
+@query("stream_upsert_recs")
+def q_stream_upsert_recs(spark, sf_dir):
+    """Triggers replayed as 4 time-ordered files, one per micro-batch, upserted per user.
+
+    One row per triggered user, including users whose new list is empty.
+    """
+    recent, edges, seen = _static_realtime_tables(spark, sf_dir)
+    base = scratch_path(spark, "stream-upsert")
+    trig = td.trigger_events(td.rating_events(spark, sf_dir))
+    stream_sources.stage_event_files(trig, f"{base}/feed", 4)
+    stream = stream_sources.staged_stream(spark, f"{base}/feed", trig.schema, 1)
+    sink = realtime_stream.recs_sink(f"{base}/out")
+    _run(realtime_stream.start(stream, recent, edges, seen, sink, f"{base}/ckpt"))
+    latest = sink.read_latest(spark)
+    return latest.select(
+        "uid", F.size("recs").cast("long").alias("n_recs"),
+        F.get("recs", 0)["mid"].alias("best_mid"),
+        F.round(F.get("recs", 0)["score"], SCORE_DIGITS).alias("best_score"),
+        F.round(F.aggregate("recs", F.lit(0.0), lambda acc, r: acc + r["score"]), SCORE_DIGITS - 1)
+        .alias("sum_score"))
+
+
+@query("stream_recent_state")
+def q_stream_recent_state(spark, sf_dir):
+    """Recent-ratings lists kept in streaming state over a 4-file replay of all events."""
+    base = scratch_path(spark, "stream-recent")
+    ev = td.rating_events(spark, sf_dir).select("uid", "mid", "score", "ts", "event_id")
+    stream_sources.stage_event_files(ev, f"{base}/feed", 4)
+    stream = stream_sources.staged_stream(spark, f"{base}/feed", ev.schema, 1)
+    sink = recent_state.recent_lists_sink(f"{base}/out")
+    _run(recent_state.start(stream, sink, f"{base}/ckpt"))
+    return recent_state.latest_flat(spark, sink)

@@ -209,3 +209,20 @@ SQL["realtime_recs"] = with_(_RT, """
 SELECT uid, (row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid ASC))::INTEGER AS rank,
        mid, round(score, 6) AS score
 FROM final""")
+
+SQL["parse_items"] = with_(["items"], """
+SELECT mid, '"' || title || ', The (' || (1990 + mid % 30)::VARCHAR || ')"' AS title, genres FROM items""")
+SQL["parse_ratings"] = with_(["ratings"], "SELECT uid, mid, score, timestamp FROM ratings")
+SQL["parse_rating_events"] = with_(["ev"], "SELECT uid, mid, score, timestamp FROM ev")
+SQL["parse_recent_list"] = SQL["recent_ratings"]
+SQL["nested_recs_roundtrip"] = SQL["user_top_items"]
+SQL["store_roundtrip"] = SQL["parse_ratings"]
+SQL["stream_realtime_recs"] = SQL["realtime_recs"]
+SQL["stream_recent_state"] = SQL["recent_ratings"]
+SQL["stream_upsert_recs"] = with_(_RT, """
+SELECT t.uid, coalesce(f.n_recs, 0) AS n_recs, f.best_mid, round(f.best_score, 6) AS best_score,
+       round(coalesce(f.sum_score, 0.0), 5) AS sum_score
+FROM trig t LEFT JOIN (
+  SELECT uid, count(*) AS n_recs, arg_max(mid, (score, -mid)) AS best_mid, max(score) AS best_score,
+         sum(score) AS sum_score
+  FROM final GROUP BY uid) f ON t.uid = f.uid""")
