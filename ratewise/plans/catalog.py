@@ -361,3 +361,50 @@ def q_stream_recent_state(spark, sf_dir):
     sink = recent_state.recent_lists_sink(f"{base}/out")
     _run(recent_state.start(stream, sink, f"{base}/ckpt"))
     return recent_state.latest_flat(spark, sink)
+
+
+# -- ALS (training output: rows-only checks) ------------------------------
+
+from ..operators import als  # noqa: E402
+
+# Test-scale settings: the reference's rank 200 / ranks 50-300 are sized for a
+# 100k-rating catalogue with 9.7k items; the test tables have 2k items.
+ALS_RANK, ALS_ITER, ALS_REG, ALS_SEED = 10, 5, 0.1, 42
+ALS_GRID_RANKS = (5, 10, 20, 40)
+ALS_GRID_LAMBDAS = (0.01, 0.1, 1.0)
+_MODELS: dict = {}
+
+
+def _model(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir, ALS_RANK, ALS_ITER, ALS_REG, ALS_SEED)
+    if key not in _MODELS:
+        ratings = td.ratings(spark, sf_dir)
+        _MODELS[key] = als.fit(ratings, ALS_RANK, ALS_ITER, ALS_REG, ALS_SEED)
+    return _MODELS[key]
+
+
+@query("als_item_factors")
+def q_als_item_factors(spark, sf_dir):
+    return als.item_factors(_model(spark, sf_dir))
+
+
+@query("als_predict")
+def q_als_predict(spark, sf_dir):
+    _, test = evaluation.train_test(td.ratings(spark, sf_dir))
+    return als.predict(_model(spark, sf_dir), test.select("uid", "mid", "score")).select(
+        "uid", "mid", "score", "prediction")
+
+
+@query("als_user_recs")
+def q_als_user_recs(spark, sf_dir):
+    return als.user_recs(_model(spark, sf_dir), recommend.USER_TOP_K)
+
+
+@query("als_item_sims")
+def q_als_item_sims(spark, sf_dir):
+    return similarity.item_similarity(als.item_factors(_model(spark, sf_dir)))
+
+
+@query("als_grid_search")
+def q_als_grid_search(spark, sf_dir):
+    return als.grid_search(td.ratings(spark, sf_dir), ALS_GRID_RANKS, ALS_GRID_LAMBDAS, ALS_ITER, ALS_SEED)
