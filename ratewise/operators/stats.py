@@ -61,11 +61,12 @@ def _match_shuffled(genres: DataFrame, scored_items: DataFrame) -> DataFrame:
     low = F.lower(F.col("genres"))
     n = F.length(low)
     starts = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    keys = F.array_distinct(F.flatten(F.array(
-        F.array(F.lit("")),
-        *[F.filter(F.transform(starts, lambda i, _l=ln: F.substring(low, i, _l)),
-                   lambda s, _l=ln: F.length(s) == _l) for ln in range(1, L + 1)],
-    )))
+
+    def grams(length: int):
+        subs = F.transform(starts, lambda i: F.substring(low, i, F.lit(length)))
+        return F.filter(subs, lambda s: F.length(s) == length)
+
+    keys = F.array_distinct(F.flatten(F.array(F.array(F.lit("")), *[grams(ln) for ln in range(1, L + 1)])))
     item_keys = scored_items.withColumn("gkey", F.explode(keys))
     g_low = F.lower(F.col("genre"))
     genre_keys = genres.withColumn("gkey", F.substring(g_low, 1, L))
