@@ -80,6 +80,7 @@ def q_distinct_items(spark, sf_dir):
 
 # -- fixed-factor recommendation and similarity ---------------------------
 
+from ..functions.vectors import dot  # noqa: E402
 from ..operators import evaluation, realtime, recommend, similarity  # noqa: E402
 
 COSINE_DIGITS = 9
@@ -131,29 +132,24 @@ def q_rating_split(spark, sf_dir):
     return evaluation.rating_split(td.ratings(spark, sf_dir))
 
 
-def _test_joined(spark, sf_dir) -> DataFrame:
-    """Test rows joined with per-row predictions (duplicates multiply) and both factor vectors."""
+def _test_scored(spark, sf_dir) -> DataFrame:
+    """Test rows with both factor vectors (rows without factors drop: no prediction)."""
     _, test = evaluation.train_test(td.ratings(spark, sf_dir))
-    test = test.select("uid", "mid", "score")
     uf = td.user_factors(spark, sf_dir).select("uid", F.col("features").alias("uf"))
     itf = td.item_factors(spark, sf_dir).select("mid", F.col("features").alias("if_"))
-    pred = test.select("uid", "mid").join(uf, "uid").join(itf, "mid")
-    return test.join(pred, ["uid", "mid"])
+    return test.select("uid", "mid", "score").join(uf, "uid").join(itf, "mid")
 
 
 @query("rating_rmse")
 def q_rating_rmse(spark, sf_dir):
-    _, test = evaluation.train_test(td.ratings(spark, sf_dir))
-    test = test.select("uid", "mid", "score")
-    pred = recommend.predict_pairs(test.select("uid", "mid"), td.user_factors(spark, sf_dir),
-                                   td.item_factors(spark, sf_dir))
-    res = evaluation.rmse(evaluation.observed_vs_predicted(test, pred))
+    scored = _test_scored(spark, sf_dir).withColumn("prediction", dot("uf", "if_"))
+    res = evaluation.pair_join_rmse(scored)
     return res.select(F.round("rmse", COSINE_DIGITS).alias("rmse"), "n_pairs")
 
 
 @query("best_params")
 def q_best_params(spark, sf_dir):
-    grid = evaluation.grid_rmse(_test_joined(spark, sf_dir), GRID)
+    grid = evaluation.grid_rmse(_test_scored(spark, sf_dir), GRID)
     best = evaluation.best_params(grid)
     return best.select("rank", "lambda", F.round("rmse", COSINE_DIGITS).alias("rmse"))
 
@@ -294,7 +290,7 @@ def q_nested_recs_roundtrip(spark, sf_dir):
 def q_store_roundtrip(spark, sf_dir):
     """Ratings written in lookup layout (range-partitioned, sorted by uid) and read back typed."""
     path = scratch_path(spark, "ratings-by-uid")
-    tables.write_lookup_layout(td.ratings(spark, sf_dir), path, "uid")
+    tables.write_lookup_layout(td.ratings(spark, sf_dir), path, "uid", tiebreak=["mid", "timestamp"])
     return tables.read_table(spark, path, RATING)
 
 

@@ -31,14 +31,19 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     writer.save(path)
 
 
-def write_lookup_layout(df: DataFrame, path: str, key: str, num_partitions: int | None = None,
-                        fmt: str = "parquet") -> None:
+def write_lookup_layout(df: DataFrame, path: str, key: str, tiebreak: list[str] | None = None,
+                        num_partitions: int | None = None, fmt: str = "parquet",
+                        max_records_per_file: int = 5_000_000) -> None:
     """Write so that point/range lookups on ``key`` read few files and row groups.
 
-    Range partitioning puts each key range in its own file; sorting inside the
-    file keeps row-group min/max statistics tight, so a ``key = v`` filter is
-    pushed to the scan and skips everything else.
+    Range partitioning puts each key range in its own files; sorting inside
+    them keeps row-group min/max statistics tight, so a ``key = v`` filter is
+    pushed to the scan and skips everything else. The range bounds include
+    the ``tiebreak`` columns, so one key holding a large share of the rows is
+    cut across several tasks instead of landing in one. Without an explicit
+    count, the shuffle partition count applies and AQE coalesces small ranges.
     """
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    (df.repartitionByRange(n, key).sortWithinPartitions(key)
-       .write.format(fmt).mode("overwrite").save(path))
+    cols = [key] + list(tiebreak or [])
+    ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    (ranged.sortWithinPartitions(*cols)
+     .write.format(fmt).mode("overwrite").option("maxRecordsPerFile", max_records_per_file).save(path))
