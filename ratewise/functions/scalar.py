@@ -19,13 +19,21 @@ def java_trim(c) -> Column:
 
 
 def epoch_seconds_ntz(c) -> Column:
-    """Seconds since 1970-01-01 of a wall-clock (``timestamp_ntz``) value.
+    """Whole seconds since 1970-01-01 of a wall-clock (``timestamp_ntz``) value.
 
-    Computed as a difference of two zone-free timestamps, so the result does
-    not depend on the session time zone.
+    Built from the calendar day and the clock fields of the value itself, so
+    no time zone (and no daylight-saving rule) of the session is involved.
     """
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                            col_(c).cast("timestamp_ntz"))
+    ts = col_(c).cast("timestamp_ntz")
+    day = F.unix_date(F.to_date(ts)).cast("long")
+    return day * 86400 + F.hour(ts).cast("long") * 3600 + F.minute(ts).cast("long") * 60 + F.second(ts).cast("long")
+
+
+def epoch_micros_ntz(c) -> Column:
+    """Microseconds since 1970-01-01 of a wall-clock value (zone-free, like ``epoch_seconds_ntz``)."""
+    ts = col_(c).cast("timestamp_ntz")
+    frac = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long") - F.second(ts).cast("long") * 1_000_000
+    return epoch_seconds_ntz(ts) * 1_000_000 + frac
 
 
 def year_month_of_epoch(c) -> Column:

@@ -99,7 +99,8 @@ def q_user_item_pairs(spark, sf_dir):
 @query("predict_pairs")
 def q_predict_pairs(spark, sf_dir):
     pairs = td.ratings(spark, sf_dir).select("uid", "mid").distinct()
-    pred = recommend.predict_pairs(pairs, td.user_factors(spark, sf_dir), td.item_factors(spark, sf_dir))
+    pred = recommend.predict_pairs(pairs, td.user_factors(spark, sf_dir), td.item_factors(spark, sf_dir),
+                                   rank=td.FACTOR_DIM)
     return pred.select("uid", "mid", F.round("prediction", COSINE_DIGITS).alias("prediction"))
 
 
@@ -142,7 +143,7 @@ def _test_scored(spark, sf_dir) -> DataFrame:
 
 @query("rating_rmse")
 def q_rating_rmse(spark, sf_dir):
-    scored = _test_scored(spark, sf_dir).withColumn("prediction", dot("uf", "if_"))
+    scored = _test_scored(spark, sf_dir).withColumn("prediction", dot("uf", "if_", td.FACTOR_DIM))
     res = evaluation.pair_join_rmse(scored)
     return res.select(F.round("rmse", COSINE_DIGITS).alias("rmse"), "n_pairs")
 

@@ -46,10 +46,14 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Length of the fixed factor vectors cut from the embeddings.
+FACTOR_DIM = 4
+
+
 def _factors(spark: SparkSession, sf_dir: str, start: int, name: str) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return emb.select(F.col("vec_id").cast("int").alias(name),
-                      slice_vector("embedding", start, 4).alias("features"))
+                      slice_vector("embedding", start, FACTOR_DIM).alias("features"))
 
 
 def item_factors(spark: SparkSession, sf_dir: str) -> DataFrame:

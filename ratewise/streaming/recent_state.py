@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from ..functions.scalar import epoch_micros_ntz
 from ..operators.realtime import RECENT_K
 from ..sources.sinks import UpsertLog
 
@@ -49,8 +50,7 @@ class RecentRatings(StatefulProcessor):
 
 def with_time_key(events: DataFrame) -> DataFrame:
     """Add ``ts_us``: microseconds since 1970 of the wall-clock event time."""
-    return events.withColumn(
-        "ts_us", F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")))
+    return events.withColumn("ts_us", epoch_micros_ntz("ts"))
 
 
 def recent_lists_sink(path: str) -> UpsertLog:

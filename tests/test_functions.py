@@ -3,7 +3,7 @@ import math
 from pyspark.sql import functions as F
 
 from ratewise.functions.nested import decode_recs, encode_recs, recs_to_map
-from ratewise.functions.scalar import (epoch_seconds_ntz, java_trim, log10_at_least_one,
+from ratewise.functions.scalar import (epoch_micros_ntz, epoch_seconds_ntz, java_trim, log10_at_least_one,
                                        split_pipe_list, year_month_of_epoch)
 from ratewise.functions.vectors import cosine, dot, l2_norm
 
@@ -37,10 +37,23 @@ def test_year_month_is_utc_and_zone_independent(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
-def test_epoch_seconds_of_wall_clock(spark):
-    df = spark.createDataFrame([("2009-12-14 02:52:24",)], "v string").select(
-        epoch_seconds_ntz(F.col("v").cast("timestamp_ntz")).alias("r"))
-    assert df.first()["r"] == 1260759144
+def test_epoch_of_wall_clock_ignores_session_zone(spark):
+    import datetime as dt
+    old = spark.conf.get("spark.sql.session.timeZone")
+    cases = ["2009-12-14 02:52:24", "2000-07-01 00:00:00.250001", "1969-12-31 23:59:59"]
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Europe/Berlin"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([(v,) for v in cases], "v string").select(
+                "v", epoch_seconds_ntz(F.col("v").cast("timestamp_ntz")).alias("s"),
+                epoch_micros_ntz(F.col("v").cast("timestamp_ntz")).alias("us"))
+            for r in df.collect():
+                t = dt.datetime.fromisoformat(r["v"]).replace(tzinfo=dt.timezone.utc)
+                us = int((t - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) / dt.timedelta(microseconds=1))
+                assert r["us"] == us, (zone, r)
+                assert r["s"] == us // 1_000_000, (zone, r)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
 
 
 def test_log10_at_least_one(spark):
