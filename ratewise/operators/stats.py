@@ -10,8 +10,9 @@ from .ranking import checked_broadcast, top_k
 
 # Fixed parameters of the statistics job.
 GENRE_TOP_K = 10
-# Genre lists are broadcast only below this many distinct genres.
-GENRE_BROADCAST_MAX_ROWS = 100_000
+# Genre lists are broadcast to a nested-loop join (cost: items x genres) only
+# up to this many distinct genres.
+GENRE_BROADCAST_MAX_ROWS = 1_000
 # Length of the prefix key used by the shuffled genre match.
 GENRE_KEY_LEN = 3
 
@@ -48,44 +49,56 @@ def _match_broadcast(genres: DataFrame, scored_items: DataFrame) -> DataFrame:
     return scored_items.join(genres, cond)
 
 
-def _match_shuffled(genres: DataFrame, scored_items: DataFrame) -> DataFrame:
-    """Exact substring match as an equi-join.
+def _grams(s, length: int):
+    """Distinct substrings of ``s`` with exactly ``length`` characters (length 0: the empty string)."""
+    if length == 0:
+        return F.array(F.lit(""))
+    starts = F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1)))
+    subs = F.transform(starts, lambda i: F.substring(s, i, F.lit(length)))
+    return F.filter(subs, lambda x: F.length(x) == length)
 
-    A genre g can only be inside a genres string s if the first
-    min(len(g), L) characters of g occur in s. Each item therefore emits its
-    distinct substrings of length 0..L (the empty key serves the empty genre),
-    each genre emits its own prefix, the two meet in a hash join, and the
-    full ``contains`` test runs on the survivors.
-    """
-    L = GENRE_KEY_LEN
-    low = F.lower(F.col("genres"))
-    n = F.length(low)
-    starts = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
 
-    def grams(length: int):
-        subs = F.transform(starts, lambda i: F.substring(low, i, F.lit(length)))
-        return F.filter(subs, lambda s: F.length(s) == length)
+def _match_by_key(genres: DataFrame, scored_items: DataFrame, lengths: list[int]) -> DataFrame:
+    """Exact substring match as a hash join on a prefix key.
 
-    keys = F.array_distinct(F.flatten(F.array(F.array(F.lit("")), *[grams(ln) for ln in range(1, L + 1)])))
+    A genre g of length n can only be inside a string s if g's first
+    min(n, L) characters occur in s, L = max(lengths). Items emit their
+    distinct substrings of the given lengths, genres emit their prefix, the
+    two meet in an equi-join, and the full ``contains`` test keeps the true
+    matches. No Cartesian product at any size.
+    """
+    low = F.lower(F.col("genres"))
+    keys = F.array_distinct(F.flatten(F.array(*[_grams(low, n) for n in lengths])))
     item_keys = scored_items.withColumn("gkey", F.explode(keys))
-    g_low = F.lower(F.col("genre"))
-    genre_keys = genres.withColumn("gkey", F.substring(g_low, 1, L))
+    genre_keys = genres.withColumn("gkey", F.substring(F.lower(F.col("genre")), 1, max(lengths)))
     joined = item_keys.join(genre_keys, "gkey")
     return joined.where(F.contains(F.lower(F.col("genres")), F.lower(F.col("genre")))).drop("gkey")
 
 
+def _match_shuffled(genres: DataFrame, scored_items: DataFrame, broadcast_max_rows: int) -> DataFrame:
+    """Many genres: long ones join on trigrams; the short ones (few by nature) take their own path."""
+    L = GENRE_KEY_LEN
+    glen = F.length(F.col("genre"))
+    long_match = _match_by_key(genres.where(glen >= L), scored_items, [L])
+    short = genres.where(glen < L)
+    small = checked_broadcast(short, broadcast_max_rows)
+    short_match = (_match_broadcast(small, scored_items) if small is not None
+                   else _match_by_key(short, scored_items, list(range(L))))
+    return long_match.unionByName(short_match)
+
+
 def genre_item_match(genres: DataFrame, scored_items: DataFrame,
                      broadcast_max_rows: int = GENRE_BROADCAST_MAX_ROWS) -> DataFrame:
     """(genre, item columns...) for every item whose genres contain the genre.
 
     Case-insensitive *substring* match (``old`` matches ``cold``). The genre
-    list is broadcast to a nested-loop join only when its size is checked to
-    be small; otherwise an exact prefix-keyed hash join does the work.
+    list is broadcast to a nested-loop join only when a count proves it small
+    (cost: items x genres); otherwise prefix-keyed hash joins do the work.
     """
     small = checked_broadcast(genres, broadcast_max_rows)
     if small is not None:
         return _match_broadcast(small, scored_items)
-    return _match_shuffled(genres, scored_items)
+    return _match_shuffled(genres, scored_items, broadcast_max_rows)
 
 
 def genre_top_items(items: DataFrame, ratings: DataFrame, k: int = GENRE_TOP_K,

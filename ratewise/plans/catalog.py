@@ -159,7 +159,9 @@ def q_best_params(spark, sf_dir):
 
 def realtime_inputs(spark, sf_dir):
     ev = td.rating_events(spark, sf_dir)
-    edges = similarity.similarity_edges(td.item_factors(spark, sf_dir))
+    # the edges feed two joins (candidates, pair terms): materialise them once in
+    # the shared checkpoint folder instead of running the block job twice
+    edges = similarity.similarity_edges(td.item_factors(spark, sf_dir)).checkpoint()
     recent = realtime.recent_ratings(ev)
     seen = td.seen_items(ev)
     triggers = realtime.newest_per_user(td.trigger_events(ev))
@@ -302,10 +304,10 @@ from ..streaming import sources as stream_sources  # noqa: E402
 
 
 def _static_realtime_tables(spark, sf_dir):
+    """Snapshot inputs read by every micro-batch, materialised once (not re-derived per batch)."""
     ev = td.rating_events(spark, sf_dir)
-    # the similarity matrix is read by every micro-batch: materialise it once
     edges = similarity.similarity_edges(td.item_factors(spark, sf_dir)).checkpoint()
-    return realtime.recent_ratings(ev), edges, td.seen_items(ev)
+    return realtime.recent_ratings(ev).checkpoint(), edges, td.seen_items(ev).checkpoint()
 
 
 def _run(query_handle) -> None:

@@ -57,3 +57,16 @@ def test_empty_genre_matches_everything(spark):
         got = genre_lists(stats.genre_top_items(items, ratings, broadcast_max_rows=limit))
         assert got[""] == [2, 1]
         assert got["x"] == [1] and got["zz"] == [2]
+
+
+def test_shuffled_match_with_many_short_genres(spark):
+    # broadcast_max_rows=0 forces both short and long genres through the keyed joins
+    items = spark.createDataFrame([(1, "a", "ab|Xyz|q"), (2, "b", "xy||B"), (3, "c", "abc")],
+                                  "mid int, title string, genres string")
+    ratings = spark.createDataFrame([(1, m, float(m), 0) for m in (1, 2, 3)],
+                                    "uid int, mid int, score double, timestamp int")
+    a = stats.genre_top_items(items, ratings)
+    b = stats.genre_top_items(items, ratings, broadcast_max_rows=0)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    got = genre_lists(b)
+    assert got["B"] == [3, 2, 1] and got["ab"] == [3, 1] and got[""] == [3, 2, 1]
