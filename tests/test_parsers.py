@@ -54,3 +54,9 @@ def test_recent_list_parser_trims_and_keeps_positions(spark):
     df = spark.createDataFrame([(666, ["1079:4.0", " 9642 : 5.0", "1079:4.0"])], "uid int, items array<string>")
     out = [tuple(r) for r in text.parse_recent_lists(df).orderBy("pos").collect()]
     assert out == [(666, 0, 1079, 4.0), (666, 1, 9642, 5.0), (666, 2, 1079, 4.0)]
+
+
+def test_padded_numbers_are_accepted(spark):
+    # documented leniency: Spark casts accept surrounding blanks
+    out = text.parse_rating_lines(lines(spark, [" 1, 31,2.5 ,1260759144"])).collect()
+    assert [tuple(r) for r in out] == [(1, 31, 2.5, 1260759144)]
