@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import stats
+from ..session import materialize
 from ..sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,7 +60,7 @@ def q_genre_item_match(spark, sf_dir):
     scored = stats.items_with_avg(items.select("mid", "genres"), stats.item_avg_rating(td.ratings(spark, sf_dir)))
     matched = stats.genre_item_match(stats.distinct_genres(items), scored)
     return matched.groupBy("genre").agg(
-        F.count("*").alias("n_items"), F.sum("avg").alias("sum_avg"),
+        F.count("*").alias("n_items"), F.round(F.sum("avg"), 9).alias("sum_avg"),
         F.min("mid").alias("min_mid"), F.max("mid").alias("max_mid"))
 
 
@@ -161,7 +162,7 @@ def realtime_inputs(spark, sf_dir):
     ev = td.rating_events(spark, sf_dir)
     # the edges feed two joins (candidates, pair terms): materialise them once in
     # the shared checkpoint folder instead of running the block job twice
-    edges = similarity.similarity_edges(td.item_factors(spark, sf_dir)).checkpoint()
+    edges = materialize(similarity.similarity_edges(td.item_factors(spark, sf_dir)))
     recent = realtime.recent_ratings(ev)
     seen = td.seen_items(ev)
     triggers = realtime.newest_per_user(td.trigger_events(ev))
@@ -306,8 +307,8 @@ from ..streaming import sources as stream_sources  # noqa: E402
 def _static_realtime_tables(spark, sf_dir):
     """Snapshot inputs read by every micro-batch, materialised once (not re-derived per batch)."""
     ev = td.rating_events(spark, sf_dir)
-    edges = similarity.similarity_edges(td.item_factors(spark, sf_dir)).checkpoint()
-    return realtime.recent_ratings(ev).checkpoint(), edges, td.seen_items(ev).checkpoint()
+    edges = materialize(similarity.similarity_edges(td.item_factors(spark, sf_dir)))
+    return materialize(realtime.recent_ratings(ev)), edges, materialize(td.seen_items(ev))
 
 
 def _run(query_handle) -> None:

@@ -62,6 +62,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or conf_dir).rstrip("/")
 
 
+def materialize(df):
+    """Cut lineage: reliable ``checkpoint()`` into the shared checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, run-unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
