@@ -12,9 +12,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-DEFAULT_CONF = {
+# Static settings: only effective when this process creates the context.
+STATIC_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+}
+
+# Runtime SQL settings: applied only where the cluster / submit command did
+# not set them already.
+DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -29,16 +35,22 @@ DEFAULT_CONF = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "ratewise", extra: dict | None = None) -> SparkSession:
+    """Get or create a session; explicit arguments win, then the cluster's settings, then ours."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    for k, v in STATIC_CONF.items():
+        builder = builder.config(k, v)
+    explicit = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in explicit.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    configured = spark.sparkContext.getConf()
+    for k, v in DEFAULT_CONF.items():
+        if k not in explicit and not configured.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
