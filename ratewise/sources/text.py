@@ -2,8 +2,9 @@
 
 All parsers take a DataFrame with one string column ``value`` (the shape of
 ``spark.read.text``), so batch files, Kafka values and socket lines share one
-code path. Casts are ANSI: a malformed number fails the job, as a strict
-parser should.
+code path. Parsing is strict whatever the session's ANSI setting: a missing
+field or a malformed number raises an error and fails the job, as the
+original parsers do.
 """
 
 from __future__ import annotations
@@ -21,6 +22,14 @@ RATING_HEADER = "userId,movieId,rating,timestamp"
 ITEM_LINE_PATTERN = r"(\d+),(.+),(.+)"
 
 
+def strict_cast(c, to: str, what: str):
+    """Cast a string field, failing the job when it is missing or not a valid ``to``."""
+    col = F.col(c) if isinstance(c, str) else c
+    value = col.try_cast(to)
+    return F.when(value.isNull(), F.raise_error(F.concat(
+        F.lit(f"bad {what}: "), F.coalesce(col, F.lit("<missing>"))))).otherwise(value).cast(to)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
@@ -43,8 +52,11 @@ def parse_item_lines(lines: DataFrame, header: str | None = ITEM_HEADER) -> Data
     """``mid,title,genres`` lines -> (mid int, title, genres); quotes stay in titles."""
     body = drop_header(lines, header)
     g = lambda i: F.regexp_extract("value", ITEM_LINE_PATTERN, i)
-    return body.select(
-        g(1).cast("int").alias("mid"),
+    matched = F.col("value").rlike(ITEM_LINE_PATTERN)
+    checked = body.where(F.when(matched, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("bad item line: "), F.col("value")))))
+    return checked.select(
+        strict_cast(g(1), "int", "item id").alias("mid"),
         java_trim(g(2)).alias("title"),
         java_trim(g(3)).alias("genres"),
     )
@@ -55,10 +67,10 @@ def parse_rating_lines(lines: DataFrame, header: str | None = RATING_HEADER) ->
     body = drop_header(lines, header)
     parts = F.split("value", ",")
     return body.select(
-        F.get(parts, 0).cast("int").alias("uid"),
-        F.get(parts, 1).cast("int").alias("mid"),
-        F.get(parts, 2).cast("double").alias("score"),
-        F.get(parts, 3).cast("int").alias("timestamp"),
+        strict_cast(F.get(parts, 0), "int", "user id").alias("uid"),
+        strict_cast(F.get(parts, 1), "int", "item id").alias("mid"),
+        strict_cast(F.get(parts, 2), "double", "score").alias("score"),
+        strict_cast(F.get(parts, 3), "int", "timestamp").alias("timestamp"),
     )
 
 
@@ -66,10 +78,10 @@ def parse_rating_events(lines: DataFrame) -> DataFrame:
     """``UID|MID|SCORE|TIMESTAMP`` lines (stream messages) -> typed events."""
     parts = F.split("value", r"\|")
     return lines.select(
-        F.get(parts, 0).cast("int").alias("uid"),
-        F.get(parts, 1).cast("int").alias("mid"),
-        F.get(parts, 2).cast("double").alias("score"),
-        F.get(parts, 3).cast("int").alias("timestamp"),
+        strict_cast(F.get(parts, 0), "int", "user id").alias("uid"),
+        strict_cast(F.get(parts, 1), "int", "item id").alias("mid"),
+        strict_cast(F.get(parts, 2), "double", "score").alias("score"),
+        strict_cast(F.get(parts, 3), "int", "timestamp").alias("timestamp"),
     )
 
 
@@ -83,8 +95,8 @@ def parse_recent_lists(lists: DataFrame, key: str = "uid", items: str = "items")
     return exploded.select(
         "uid",
         F.col("pos").cast("int").alias("pos"),
-        java_trim(F.get(parts, 0)).cast("int").alias("mid"),
-        java_trim(F.get(parts, 1)).cast("double").alias("score"),
+        strict_cast(java_trim(F.get(parts, 0)), "int", "recent item id").alias("mid"),
+        strict_cast(java_trim(F.get(parts, 1)), "double", "recent score").alias("score"),
     )
 
 

@@ -60,3 +60,21 @@ def test_padded_numbers_are_accepted(spark):
     # documented leniency: Spark casts accept surrounding blanks
     out = text.parse_rating_lines(lines(spark, [" 1, 31,2.5 ,1260759144"])).collect()
     assert [tuple(r) for r in out] == [(1, 31, 2.5, 1260759144)]
+
+
+def test_parsers_are_strict_even_without_ansi(spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for bad in (["abc"], ["x,Title,Drama"]):
+            with pytest.raises((PySparkException, Py4JJavaError)):
+                text.parse_item_lines(lines(spark, bad), header="movieId,title,genres").collect()
+        for bad in (["1,2,3.5"], ["1,x,3.5,7"]):
+            with pytest.raises((PySparkException, Py4JJavaError)):
+                text.parse_rating_lines(lines(spark, bad)).collect()
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            text.parse_rating_events(lines(spark, ["1|2|x|4"])).collect()
+        ok = text.parse_rating_events(lines(spark, ["1|2|3.5|4"])).collect()
+        assert [tuple(r) for r in ok] == [(1, 2, 3.5, 4)]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
