@@ -55,3 +55,22 @@ def test_all_pairs_work_runs_in_bounded_blocks(plans):
     for name in ("item_similarity", "user_top_items"):
         assert "FlatMapGroupsInPandas" in plans[name], name
         assert re.search(r"Exchange\s*\nInput \[\d+\]: .*\nArguments: hashpartitioning\(p1#\d+, p2#\d+", plans[name]), name
+
+
+def test_lookup_layout_pushes_key_filters(spark):
+    from ratewise.schemas import RATING
+    from ratewise.session import scratch_path
+    from ratewise.sources import tables
+    from ratewise.sources import testdata as td
+    path = scratch_path(spark, "t-layout")
+    tables.write_lookup_layout(td.ratings(spark, SF_SMALL), path, "uid", tiebreak=["mid", "timestamp"],
+                               num_partitions=4)
+    back = tables.read_table(spark, path, RATING)
+    txt = plan(back.where("uid = 7"))
+    assert re.search(r"PushedFilters: \[.*EqualTo\(uid,7\)", txt)
+    # files are key ranges: sorted by their smallest uid, their uid ranges do not overlap
+    from pyspark.sql import functions as F
+    ranges = sorted((r["lo"], r["hi"]) for r in back.groupBy(F.input_file_name().alias("f"))
+                    .agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).collect())
+    assert len(ranges) >= 2
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
