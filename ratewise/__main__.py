@@ -15,9 +15,9 @@ from __future__ import annotations
 
 import argparse
 
-from .plans import jobs
-from .session import get_session
-from .sources import text
+from ratewise.plans import jobs
+from ratewise.session import get_session
+from ratewise.sources import text
 
 
 def _floats(s: str) -> tuple[float, ...]:
