@@ -293,7 +293,8 @@ def q_nested_recs_roundtrip(spark, sf_dir):
 def q_store_roundtrip(spark, sf_dir):
     """Ratings written in lookup layout (range-partitioned, sorted by uid) and read back typed."""
     path = scratch_path(spark, "ratings-by-uid")
-    tables.write_lookup_layout(td.ratings(spark, sf_dir), path, "uid", tiebreak=["mid", "timestamp"])
+    tables.write_lookup_layout(td.ratings(spark, sf_dir), path, "uid", tiebreak=["mid", "timestamp"],
+                               bloom_columns=["mid"])
     return tables.read_table(spark, path, RATING)
 
 

@@ -57,7 +57,9 @@ def load_job(spark: SparkSession, movies_path: str, ratings_path: str, base: str
     items = text.parse_item_lines(text.read_lines(spark, movies_path), header=None)
     ratings = text.parse_rating_lines(text.read_lines(spark, ratings_path), header=None)
     tables.write_lookup_layout(items, path(base, MOVIE_T), "mid")
-    tables.write_lookup_layout(ratings, path(base, RATING_T), "uid", tiebreak=["mid", "timestamp"])
+    # sorted by uid; bloom filters serve lookups by mid
+    tables.write_lookup_layout(ratings, path(base, RATING_T), "uid", tiebreak=["mid", "timestamp"],
+                               bloom_columns=["mid"])
 
 
 # -- statistics -------------------------------------------------------------

@@ -33,7 +33,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 def write_lookup_layout(df: DataFrame, path: str, key: str, tiebreak: list[str] | None = None,
                         num_partitions: int | None = None, fmt: str = "parquet",
-                        max_records_per_file: int = 5_000_000) -> None:
+                        max_records_per_file: int = 5_000_000, bloom_columns: list[str] | None = None) -> None:
     """Write so that point/range lookups on ``key`` read few files and row groups.
 
     Range partitioning puts each key range in its own files; sorting inside
@@ -42,8 +42,17 @@ def write_lookup_layout(df: DataFrame, path: str, key: str, tiebreak: list[str]
     the ``tiebreak`` columns, so one key holding a large share of the rows is
     cut across several tasks instead of landing in one. Without an explicit
     count, the shuffle partition count applies and AQE coalesces small ranges.
+
+    A file has one sort order; further lookup keys (``bloom_columns``) get
+    parquet bloom filters, so equality lookups on them skip row groups too.
+    (A column chunk that is fully dictionary-encoded gets no bloom filter:
+    its dictionary already answers equality filters.)
     """
     cols = [key] + list(tiebreak or [])
     ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
-    (ranged.sortWithinPartitions(*cols)
-     .write.format(fmt).mode("overwrite").option("maxRecordsPerFile", max_records_per_file).save(path))
+    writer = (ranged.sortWithinPartitions(*cols)
+              .write.format(fmt).mode("overwrite").option("maxRecordsPerFile", max_records_per_file))
+    if fmt == "parquet":
+        for c in bloom_columns or []:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer.save(path)
