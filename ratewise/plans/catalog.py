@@ -338,7 +338,8 @@ def q_stream_upsert_recs(spark, sf_dir):
     stream_sources.stage_event_files(trig, f"{base}/feed", 4)
     stream = stream_sources.staged_stream(spark, f"{base}/feed", trig.schema, 1)
     sink = realtime_stream.recs_sink(f"{base}/out")
-    _run(realtime_stream.start(stream, recent, edges, seen, sink, f"{base}/ckpt"))
+    # snapshot the log every 2 batches: the answer must not change
+    _run(realtime_stream.start(stream, recent, edges, seen, sink, f"{base}/ckpt", compact_every=2))
     latest = sink.read_latest(spark)
     return latest.select(
         "uid", F.size("recs").cast("long").alias("n_recs"),
@@ -356,7 +357,7 @@ def q_stream_recent_state(spark, sf_dir):
     stream_sources.stage_event_files(ev, f"{base}/feed", 4)
     stream = stream_sources.staged_stream(spark, f"{base}/feed", ev.schema, 1)
     sink = recent_state.recent_lists_sink(f"{base}/out")
-    _run(recent_state.start(stream, sink, f"{base}/ckpt"))
+    _run(recent_state.start(stream, sink, f"{base}/ckpt", compact_every=2))
     return recent_state.latest_flat(spark, sink)
 
 

@@ -58,7 +58,7 @@ def recent_lists_sink(path: str) -> UpsertLog:
 
 
 def start(events: DataFrame, sink: UpsertLog, checkpoint: str, k: int = RECENT_K,
-          trigger: dict | None = None) -> StreamingQuery:
+          trigger: dict | None = None, compact_every: int | None = None) -> StreamingQuery:
     """``events``: streaming (uid, mid, score, ts, event_id)."""
     spark = events.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
@@ -67,6 +67,8 @@ def start(events: DataFrame, sink: UpsertLog, checkpoint: str, k: int = RECENT_K
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         sink.write_batch(batch, batch_id)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            sink.compact(batch.sparkSession, batch_id)
 
     return (lists.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .outputMode("update").trigger(**(trigger or {"availableNow": True})).start())
