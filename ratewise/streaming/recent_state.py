@@ -79,3 +79,49 @@ def latest_flat(spark, sink: UpsertLog) -> DataFrame:
     ex = latest.select("uid", F.explode("items").alias("it"))
     return ex.select("uid", F.col("it.pos").alias("pos"), F.col("it.mid").alias("mid"),
                      F.col("it.score").alias("score"))
+
+
+# -- the same state with applyInPandasWithState -------------------------------
+
+PANDAS_STATE_SCHEMA = "ts_us array<long>, event_id array<long>, mid array<int>, score array<double>"
+
+
+def _recent_pandas(k: int):
+    import numpy as np
+    import pandas as pd
+
+    def fn(key, pdfs, state):
+        if state.exists:
+            ts, ev, mid, sc = (np.asarray(x) for x in state.get)
+        else:
+            ts, ev = np.array([], dtype="int64"), np.array([], dtype="int64")
+            mid, sc = np.array([], dtype="int32"), np.array([], dtype="float64")
+        for pdf in pdfs:  # merge chunk by chunk: at most k + chunk rows held at once
+            ts = np.concatenate([ts, pdf["ts_us"].to_numpy("int64")])
+            ev = np.concatenate([ev, pdf["event_id"].to_numpy("int64")])
+            mid = np.concatenate([mid, pdf["mid"].to_numpy("int32")])
+            sc = np.concatenate([sc, pdf["score"].to_numpy("float64")])
+            order = np.lexsort((-ev, -ts))[:k]  # newest first: ts desc, then event_id desc
+            ts, ev, mid, sc = ts[order], ev[order], mid[order], sc[order]
+        state.update((ts.tolist(), ev.tolist(), mid.tolist(), sc.tolist()))
+        items = [{"pos": i, "mid": int(m), "score": float(s)} for i, (m, s) in enumerate(zip(mid, sc))]
+        yield pd.DataFrame({"uid": [key[0]], "items": [items]})
+
+    return fn
+
+
+def start_pandas(events: DataFrame, sink: UpsertLog, checkpoint: str, k: int = RECENT_K,
+                 trigger: dict | None = None, compact_every: int | None = None) -> StreamingQuery:
+    """Recent lists with ``applyInPandasWithState``: state travels with the rows in Arrow batches."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+    keyed = with_time_key(events).select("uid", "ts_us", "event_id", "mid", "score")
+    lists = keyed.groupBy("uid").applyInPandasWithState(
+        _recent_pandas(k), OUTPUT_SCHEMA, PANDAS_STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        sink.write_batch(batch, batch_id)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            sink.compact(batch.sparkSession, batch_id)
+
+    return (lists.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+            .outputMode("update").trigger(**(trigger or {"availableNow": True})).start())
