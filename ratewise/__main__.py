@@ -5,7 +5,10 @@
   offline     --base DIR [--rank N --iterations N --reg X --k N]
   tune        --base DIR [--ranks 50,100,200,300 --lambdas 0.01,0.1,1]
   stream      --base DIR --checkpoint DIR (--kafka SERVERS --topic T | --text-dir DIR)
-              [--interval "2 seconds" | --available-now]
+              [--recent PATH] [--interval "2 seconds" | --available-now]
+
+``--recent`` names stored recent lists (uid int, items array<string> of
+'mid:score', newest first); without it the newest stored ratings are used.
 
 The session comes from ``spark-submit`` / the environment; only settings
 that are not configured get the defaults of ``ratewise.session``.
@@ -50,6 +53,7 @@ def main(argv: list[str] | None = None) -> None:
             sp.add_argument("--kafka")
             sp.add_argument("--topic")
             sp.add_argument("--text-dir")
+            sp.add_argument("--recent")
             sp.add_argument("--interval", default="2 seconds")
             sp.add_argument("--available-now", action="store_true")
     a = p.parse_args(argv)
@@ -71,7 +75,8 @@ def main(argv: list[str] | None = None) -> None:
         else:
             p.error("stream needs --kafka/--topic or --text-dir")
         trigger = {"availableNow": True} if a.available_now else {"processingTime": a.interval}
-        jobs.streaming_job(spark, a.base, lines, a.checkpoint, trigger=trigger).awaitTermination()
+        recent = text.parse_recent_lists(spark.read.parquet(a.recent)) if a.recent else None
+        jobs.streaming_job(spark, a.base, lines, a.checkpoint, recent=recent, trigger=trigger).awaitTermination()
 
 
 if __name__ == "__main__":
