@@ -62,12 +62,10 @@ def q_distinct_genres(spark, sf_dir):
 
 @query("genre_item_match")
 def q_genre_item_match(spark, sf_dir):
+    """Every (genre, rated item) pair whose genres contain the genre, case-insensitively."""
     items = td.items(spark, sf_dir)
     scored = stats.items_with_avg(items.select("mid", "genres"), stats.item_avg_rating(td.ratings(spark, sf_dir)))
-    matched = stats.genre_item_match(stats.distinct_genres(items), scored)
-    return matched.groupBy("genre").agg(
-        F.count("*").alias("n_items"), F.round(F.sum("avg"), 9).alias("sum_avg"),
-        F.min("mid").alias("min_mid"), F.max("mid").alias("max_mid"))
+    return stats.genre_item_match(stats.distinct_genres(items), scored).select("genre", "mid", "avg")
 
 
 @query("genre_top_items")

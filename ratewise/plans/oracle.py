@@ -76,11 +76,10 @@ SQL["distinct_genres"] = with_(["items", "genres"], """
 SELECT genre FROM genre_list""")
 
 SQL["genre_item_match"] = with_(["ratings", "items", "genres"], """
-SELECT g.genre, count(*) AS n_items, round(sum(a.avg), 9) AS sum_avg, min(i.mid) AS min_mid, max(i.mid) AS max_mid
+SELECT g.genre, i.mid, a.avg
 FROM genre_list g
 JOIN items i ON contains(lower(i.genres), lower(g.genre))
-JOIN (SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid) a ON i.mid = a.mid
-GROUP BY g.genre""")
+JOIN (SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid) a ON i.mid = a.mid""")
 
 SQL["genre_top_items"] = with_(["ratings", "items", "genres"], """
 SELECT genre, rank, mid, avg FROM (
