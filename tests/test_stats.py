@@ -70,3 +70,13 @@ def test_shuffled_match_with_many_short_genres(spark):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     got = genre_lists(b)
     assert got["B"] == [3, 2, 1] and got["ab"] == [3, 1] and got[""] == [3, 2, 1]
+
+
+def test_fallback_match_equals_broadcast_on_test_tables(spark):
+    from ratewise.sources import testdata as td
+
+    from conftest import SF_SMALL
+    items, ratings = td.items(spark, SF_SMALL), td.ratings(spark, SF_SMALL)
+    a = stats.genre_top_items(items, ratings).collect()
+    b = stats.genre_top_items(items, ratings, broadcast_max_rows=0).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) > 0
