@@ -57,8 +57,12 @@ def split_pipe_list(c) -> Column:
 
 
 def log10_at_least_one(c) -> Column:
-    """log10(max(1, n)): zero and one both contribute nothing."""
-    return F.log10(F.greatest(col_(c), F.lit(1)).cast("double"))
+    """log base 10 of max(1, n), as ln(x) / ln(10): zero and one both contribute nothing.
+
+    Written as a quotient of natural logs (not ``log10``) so the value is the
+    same to the last bit as the original formula (e.g. n = 8).
+    """
+    return F.log(F.greatest(col_(c), F.lit(1)).cast("double")) / F.log(F.lit(10.0))
 
 
 def half_star(c) -> Column:

@@ -138,7 +138,8 @@ scored AS (
          count(*) FILTER (WHERE recent_score <= 3) AS n_low
   FROM terms GROUP BY uid, mid),
 final AS (
-  SELECT uid, mid, base + log10(greatest(n_high, 1)) - log10(greatest(n_low, 1)) AS score FROM scored)"""
+  SELECT uid, mid, base + ln(greatest(n_high, 1)) / ln(10) - ln(greatest(n_low, 1)) / ln(10) AS score
+  FROM scored)"""
 
 SQL["user_item_pairs"] = with_(["ratings"], """
 SELECT uid, (SELECT count(DISTINCT mid) FROM ratings) AS n_candidates, count(DISTINCT mid) AS n_rated
