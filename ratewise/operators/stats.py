@@ -50,7 +50,7 @@ def _match_broadcast(genres: DataFrame, scored_items: DataFrame) -> DataFrame:
 
 
 def _grams(s, length: int):
-    """Distinct substrings of ``s`` with exactly ``length`` characters (length 0: the empty string)."""
+    """Substrings of ``s`` with exactly ``length`` characters (length 0: the empty string); callers de-duplicate."""
     if length == 0:
         return F.array(F.lit(""))
     starts = F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1)))
