@@ -31,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.nested import encode_recs
 from ..operators import als, realtime, similarity, stats
-from ..schemas import MOVIE, RATING
+from ..schemas import ITEM_EDGES, MOVIE, RATING
 from ..sources import tables, text
 from ..sources.sinks import UpsertLog
 from ..streaming import realtime_stream
@@ -120,7 +120,7 @@ def streaming_job(spark: SparkSession, base: str, lines: DataFrame, checkpoint:
     stored ratings of each user.
     """
     ratings = read(spark, base, RATING_T, RATING)
-    edges = read(spark, base, MOVIE_RECS).select("mid", "sim_mid", "score")
+    edges = read(spark, base, MOVIE_RECS, ITEM_EDGES).select("mid", "sim_mid", "score")
     seen = ratings.select("uid", "mid").distinct()
     recent = recent if recent is not None else recent_from_ratings(ratings)
     events = text.parse_rating_events(lines).withColumn("event_id", F.xxhash64(F.concat_ws(

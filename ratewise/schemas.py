@@ -48,3 +48,11 @@ FACTORS = T.StructType([
     T.StructField("id", T.IntegerType(), False),
     T.StructField("features", T.ArrayType(T.DoubleType(), False), False),
 ])
+
+# Flat similarity lists as stored by the offline job (MovieRecs).
+ITEM_EDGES = T.StructType([
+    T.StructField("mid", T.IntegerType(), False),
+    T.StructField("rank", T.IntegerType(), False),
+    T.StructField("sim_mid", T.IntegerType(), False),
+    T.StructField("score", T.DoubleType(), False),
+])
