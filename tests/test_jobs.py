@@ -46,3 +46,16 @@ def test_four_jobs_end_to_end(spark):
     stream = jobs.stream_recs(spark, out)
     users = catalog.td.rating_events(spark, SF_SMALL).select("uid").distinct().count()
     assert stream.count() == users  # every user with an event gets a (possibly empty) list
+
+
+def test_command_line_load_and_statistics(spark):
+    from ratewise.__main__ import main
+    base = scratch_path(spark, "t-cli")
+    catalog._with_headers(spark, catalog.item_lines(spark, SF_SMALL), text.ITEM_HEADER).coalesce(1) \
+        .write.text(f"{base}/movies")
+    catalog._with_headers(spark, catalog.rating_lines(spark, SF_SMALL), text.RATING_HEADER).coalesce(1) \
+        .write.text(f"{base}/ratings")
+    main(["load", "--movies", f"{base}/movies", "--ratings", f"{base}/ratings", "--base", f"{base}/t"])
+    main(["statistics", "--base", f"{base}/t"])
+    pop = jobs.read(spark, f"{base}/t", jobs.RATE_MORE)
+    assert sorted_rows(pop) == sorted_rows(catalog.QUERIES["item_popularity"](spark, SF_SMALL))
