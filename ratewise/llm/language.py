@@ -30,53 +30,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.llm.common import steps, stored
+from ratewise.llm.ngrams import clean, ngrams, passes
 
-SIZES = (2, 3, 4)
+#: Least and most characters of an n-gram.
+SIZES = (2, 4)
 SLOT_BITS, HASHES = 20, 2
 SAMPLE_CHARS = 4_000_000
 LEAST_COUNT, SHARE = 3, 0.2
 UNKNOWN = "und"
-#: Characters that one pass over a text holds; its arrays fit the processor's cache.
-PASS_CHARS = 1 << 15
-_MIX = np.uint64(0x9E3779B97F4A7C15)
 _BITS = np.arange(256)[:, None] >> np.arange(8) & 1
 
 
-@functools.lru_cache(maxsize=1)
-def _letters() -> np.ndarray:
-    """Code point -> its lower-case letter, or a blank."""
-    out = np.full(0x110000, 32, dtype=np.uint32)
-    for c in range(0x110000):
-        ch = chr(c)
-        if ch.isalpha():
-            low = ch.lower()
-            out[c] = ord(low) if len(low) == 1 else c
-    return out
-
-
-def _clean(text: str) -> np.ndarray:
-    """Lower-case letters with single blanks between and around words; empty without a letter."""
-    raw = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    c = np.empty(len(raw) + 2, dtype=np.uint64)
-    c[0] = c[-1] = 32
-    c[1:-1] = _letters()[raw]
-    blank = c == 32
-    c = c[np.concatenate([[True], ~(blank[1:] & blank[:-1])])]
-    return c if len(c) > 1 else c[:0]
-
-
-def _ngrams(c: np.ndarray) -> list[np.ndarray]:
-    """64-bit hashes of all n-grams, an array for each of SIZES; the hash of an n-gram extends that of its first n - 1."""
-    found, h = [], c
-    for n in range(2, SIZES[-1] + 1):
-        if len(c) < n:
-            break
-        h = (h[:-1] ^ c[n - 1:]) * _MIX
-        h ^= h >> np.uint64(29)
-        found.append(h)
-    return found
-
-
 def _slots(h: np.ndarray, bits: int, hashes: int) -> list[np.ndarray]:
     """Slots of n-gram hashes; double hashing with an odd step."""
     mask = np.uint64((1 << bits) - 1)
@@ -84,12 +48,6 @@ def _slots(h: np.ndarray, bits: int, hashes: int) -> list[np.ndarray]:
     return [((h + np.uint64(k) * step) & mask).view(np.int64) for k in range(hashes)]
 
 
-def _passes(text: str):
-    """Parts of a long text, cut anywhere: whole texts are read, a part at a time."""
-    for i in range(0, len(text), PASS_CHARS):
-        yield text[i:i + PASS_CHARS]
-
-
 @dataclass(frozen=True)
 class LanguageFilters:
     """``slices[b]``: one byte per slot, with a bit for each of languages 8 b to 8 b + 7."""
@@ -108,8 +66,8 @@ class LanguageFilters:
         """Per language the corrected share of the text's n-grams; None without a letter."""
         passed = np.zeros((len(self.slices), 256), dtype=np.int64)  # n-grams by the byte of languages that the filters return
         total, bits = 0, int(self.slices.shape[1]).bit_length() - 1
-        for part in _passes(text or ""):
-            for h in _ngrams(_clean(part)):
+        for part in passes(text or ""):
+            for h in ngrams(clean(part), *SIZES):
                 total += len(h)
                 slots = _slots(h, bits, self.hashes)
                 for k, own in enumerate(self.slices):
@@ -136,8 +94,8 @@ def fit(docs: DataFrame, bits: int = SLOT_BITS, hashes: int = HASHES, sample_cha
         held: dict[int, list] = {}
         for b in steps(batches, "text"):
             for text, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist()):
-                for part in _passes(text):
-                    held.setdefault(code[lang], []).extend(_ngrams(_clean(part)))
+                for part in passes(text):
+                    held.setdefault(code[lang], []).extend(ngrams(clean(part), *SIZES))
             for i, found in held.items():
                 if sum(map(len, found)) > 4_000_000:
                     yield from rows_of(i, found)

@@ -7,12 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratewise.llm import language, packing, token_counts
+from ratewise.llm import language, packing, secrets, token_counts, toxicity
 from ratewise.llm.common import held_out, table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs.where(~held_out()), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op2_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.where(~held_out()))
@@ -27,8 +33,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_filters, op3_best_fit_packing, op9_token_counts)
+    f.__name__: f for f in (op1_toxicity, op2_language_filters, op3_best_fit_packing, op9_token_counts, op10_secret_scan)
 }
 
 SQL: dict[str, str] = {}
