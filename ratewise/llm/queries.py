@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratewise.llm import language, packing, secrets, token_counts, toxicity
+from ratewise.llm import byte_bpe, fingerprints, language, packing, secrets, token_counts, toxicity
 from ratewise.llm.common import held_out, table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +30,16 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path(BYTE_RANKS)
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.digest(byte_bpe.decode(ids, ranks))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
 
@@ -38,7 +49,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_language_filters, op3_best_fit_packing, op9_token_counts, op10_secret_scan)
+    f.__name__: f for f in (op1_toxicity, op2_language_filters, op3_best_fit_packing, op5_byte_bpe, op8_fingerprints, op9_token_counts, op10_secret_scan)
 }
 
 SQL: dict[str, str] = {}
