@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratewise.llm import byte_bpe, fingerprints, language, packing, secrets, token_counts, toxicity
+from ratewise.llm import byte_bpe, fingerprints, language, packing, secrets, token_counts, toxicity, warc
 from ratewise.llm.common import held_out, table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -36,6 +36,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest(byte_bpe.decode(ids, ranks))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -49,7 +54,20 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_language_filters, op3_best_fit_packing, op5_byte_bpe, op8_fingerprints, op9_token_counts, op10_secret_scan)
+    f.__name__: f for f in (op1_toxicity, op2_language_filters, op3_best_fit_packing, op5_byte_bpe, op6_warc, op8_fingerprints, op9_token_counts, op10_secret_scan)
 }
 
-SQL: dict[str, str] = {}
+#: RFC 4648 base32 of a SHA-1: five hexadecimal digits make four characters (fixed alphabet).
+_BASE32 = """array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT)
+        >> (15 - 5 * (i % 4))) & 31)::INT, 1)), '')"""
+
+SQL: dict[str, str] = {
+    "op6_warc": f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+             f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+        SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM p JOIN f USING (h)""",
+}
