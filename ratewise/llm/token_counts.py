@@ -60,16 +60,11 @@ def _cut(chunk: int, overlap: int):
     return run
 
 
-def _starts(piece: str, offsets, ids, low: int, high: int):
+def _starts(piece: str, enc, low: int, high: int):
     """(char, token index, id) of tokens that start right after white space inside [low, high)."""
-    index = {}
-    for i, (a, b) in enumerate(offsets):
-        if a >= high:
-            break
-        if a >= low and b > a:
-            index.setdefault(a, i)
-    found = [m.start() for m in _AFTER_SPACE.finditer(piece, max(low, 1), high)]
-    return [(c, index[c], ids[index[c]]) for c in found if c in index]
+    found = ((m.start(), enc.char_to_token(m.start())) for m in _AFTER_SPACE.finditer(piece, max(low, 1), high))
+    ids = enc.ids
+    return [(c, i, ids[i]) for c, i in found if i is not None]
 
 
 def _encode(path: str, chunk: int, overlap: int):
@@ -88,7 +83,7 @@ def _encode(path: str, chunk: int, overlap: int):
                 enc = tok.encode(piece, add_special_tokens=False)
                 out = {"uid": row["uid"], "k": row["k"], "last": row["last"], "n": len(enc.ids)}
                 for side, low, high, used in (("left", 0, overlap, row["k"] > 0), ("right", stride, stride + overlap, not row["last"])):
-                    found = _starts(piece, enc.offsets, enc.ids, low, min(high, len(piece))) if used else []
+                    found = _starts(piece, enc, low, min(high, len(piece))) if used else []
                     out[side] = [{"at": c - low, "id": t} for c, _, t in found]
                     out[f"{side}_index"] = [i for _, i, _ in found]
                 yield pa.RecordBatch.from_pylist([out], schema=schema)
