@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratewise.llm import byte_bpe, fingerprints, language, packing, secrets, token_counts, toxicity, warc
+from ratewise.llm import byte_bpe, fingerprints, language, ngram_join, packing, secrets, token_counts, toxicity, warc
 from ratewise.llm.common import held_out, table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -41,6 +41,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_language_filters, op3_best_fit_packing, op5_byte_bpe, op6_warc, op8_fingerprints, op9_token_counts, op10_secret_scan)
+    f.__name__: f for f in (op1_toxicity, op2_language_filters, op3_best_fit_packing, op5_byte_bpe, op6_warc, op7_ngram_join, op8_fingerprints, op9_token_counts, op10_secret_scan)
 }
 
 #: RFC 4648 base32 of a SHA-1: five hexadecimal digits make four characters (fixed alphabet).
@@ -70,4 +74,15 @@ SQL: dict[str, str] = {
                CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> first THEN first END AS refers_to
         FROM p JOIN f USING (h)""",
+    "op7_ngram_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
+        n AS (SELECT w.doc_id, count(g) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id),
+        c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+        l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+        r(doc_id, other) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.other)
+        SELECT r.doc_id, n.n AS n_shingles, min(other) AS component_id FROM r JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id, n.n""",
 }
