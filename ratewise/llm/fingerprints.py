@@ -33,8 +33,6 @@ FULL = 24
 _DENSE_MASK, _LANE_MASK = (1 << 62) - 1, (1 << 16) - 1
 #: Bytes of text that one bucket of neighbouring documents is meant to hold.
 BUCKET_BYTES = 8 << 20
-#: Documents of one bucket by id; a copy of the next bucket's first one is last.
-BY_ID = Window.partitionBy("bucket").orderBy("ahead", "place")
 
 
 def paragraphs(text: Column) -> Column:
@@ -112,6 +110,11 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(same, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(share, F.lit(1.0))))
 
 
+def _lead(column: str) -> Column:
+    """The column of the next document: within a bucket by id, a copy of the next bucket's first one last."""
+    return F.lead(column).over(Window.partitionBy("bucket").orderBy("ahead", "place"))
+
+
 def with_next(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Rows with ``next_text``, and copies marked ``ahead`` to be dropped: the next document by ascending id (nulls first, ties by the text's hash); the last one's is the first.
 
@@ -134,7 +137,7 @@ def with_next(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     own, ahead = F.struct("bucket", F.lit(False).alias("ahead")), F.struct(before.alias("bucket"), F.lit(True).alias("ahead"))
     to = F.explode(F.when(F.array_contains(begin, F.col("place")), F.array(own, ahead)).otherwise(F.array(own)))
     rows = rows.select("doc_id", "text", "place", to.alias("to")).select("doc_id", "text", "place", "to.bucket", "to.ahead")
-    return rows.withColumn("next_text", F.lead("text").over(BY_ID))
+    return rows.withColumn("next_text", _lead("text"))
 
 
 def fingerprint_edits(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -145,7 +148,7 @@ def fingerprint_edits(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> Data
     """
     rows = with_next(docs, bucket_bytes)
     rows = with_fingerprint(rows, "text", "own")
-    rows = rows.withColumn("next", F.lead("own").over(BY_ID)).where(~F.col("ahead"))
+    rows = rows.withColumn("next", _lead("own")).where(~F.col("ahead"))
     chars, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
     rows = rows.withColumn("edited_text", F.concat(F.substring("text", F.lit(1), chars - half), F.substring("next_text", F.lit(1), half)))
     rows = with_fingerprint(rows, "edited_text", "edited")
