@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratewise.llm import byte_bpe, fingerprints, language, ngram_join, packing, secrets, token_counts, toxicity, warc
+from ratewise.llm import byte_bpe, fingerprints, language, ngram_join, packing, secrets, token_counts, toxicity, vector_join, warc
 from ratewise.llm.common import held_out, table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -30,6 +30,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
 
 
+def op4_lattice_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_join.join_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(BYTE_RANKS)
     ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -58,7 +62,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_language_filters, op3_best_fit_packing, op5_byte_bpe, op6_warc, op7_ngram_join, op8_fingerprints, op9_token_counts, op10_secret_scan)
+    f.__name__: f for f in (op1_toxicity, op2_language_filters, op3_best_fit_packing, op4_lattice_join, op5_byte_bpe, op6_warc, op7_ngram_join, op8_fingerprints, op9_token_counts, op10_secret_scan)
 }
 
 #: RFC 4648 base32 of a SHA-1: five hexadecimal digits make four characters (fixed alphabet).
@@ -67,6 +71,17 @@ _BASE32 = """array_to_string(list_transform(range(0, 32), lambda i:
         >> (15 - 5 * (i % 4))) & 31)::INT, 1)), '')"""
 
 SQL: dict[str, str] = {
+    "op4_lattice_join": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS x, embedding IS NOT NULL AND len(embedding) > 0
+                AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+                AND len(list_filter(embedding, lambda e: e <> 0)) > 0 AS ok FROM embeddings),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND a.ok AND b.ok AND len(a.x) = len(b.x)
+              WHERE list_cosine_similarity(a.x, b.x) >= 0.95),
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+        r(vec_id, other) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.vec_id, l.b FROM r JOIN l ON l.a = r.other),
+        c AS (SELECT vec_id, min(other) AS component_id FROM r GROUP BY vec_id)
+        SELECT c.vec_id, coalesce(n.n, 0) AS n_links, component_id, c.vec_id = component_id AS kept FROM c LEFT JOIN n ON n.a = c.vec_id""",
     "op6_warc": f"""
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
              f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
