@@ -151,3 +151,16 @@ def predict(docs: DataFrame, model: LanguageFilters, keep: tuple[str, ...] = ("d
     rows = docs.select(*keep, "text") if "text" not in keep else docs.select(*keep)
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return rows.mapInArrow(run, f"{fields}, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: LanguageFilters, least: float) -> DataFrame:
+    """The documents, all columns as they are, whose language is known with a score of ``least`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**bits bytes a slice, whatever the input
+
+    def run(batches):
+        model = shared.value
+        for b in steps(batches, "text"):
+            shares = [model.shares(t) if model.languages else None for t in b.column("text").to_pylist()]
+            yield b.filter(pa.array([s is not None and float(s.max()) >= least for s in shares], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

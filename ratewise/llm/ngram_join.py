@@ -382,13 +382,41 @@ def link_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     return members, links.unionByName(crossing)
 
 
-def join_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row."""
+def _groups(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, cid, n, component) of every row; component is null for the empty set, which links with nothing, not even itself."""
     members, links = link_classes(docs, percent)
     found = stored(components(links), "components")
-    # the empty set links with nothing, not even with itself
-    alone = F.when(F.col("n") == 0, F.lit(None)).otherwise(F.coalesce("component", "cid"))
-    rows = members.join(found, F.col("cid") == F.col("node"), "left").select("doc_id", "n", alone.alias("component"))
+    return members.join(found, F.col("cid") == F.col("node"), "left").select(
+        "doc_id", "cid", "n", F.when(F.col("n") > 0, F.coalesce("component", "cid")).alias("component"))
+
+
+def join_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row."""
+    rows = _groups(docs, percent)
     least = rows.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("least"))
     joined = rows.join(least, "component", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One document of each group, all columns as they are: the smallest id (null ids last, repeated rows once).
+
+    Documents without any word are in no group and all stay.
+    """
+    names = docs.columns
+    taken = {n.lower() for n in names}
+    cid = next(c for c in (f"class_{i}" for i in range(len(names) + 1)) if c not in taken)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+
+    def run(batches):
+        for b in steps(batches, "text"):
+            ids = [class_id(shingles(t)) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.int64())], [*names, cid])
+
+    marked = docs.mapInArrow(run, f"{fields}, {cid} long")
+    rows = _groups(docs, percent).where(F.col("component").isNotNull())
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "cid")
+    keepers = rows.groupBy("component").agg(F.min(place).alias("k")).select(F.col("k.cid").alias("kept_cid"), F.col("k.doc_id").alias("kept_id"))
+    same = (F.col(f"d.{cid}") == F.col("k.kept_cid")) & F.col("d.doc_id").eqNullSafe(F.col("k.kept_id"))
+    kept = marked.alias("d").join(keepers.alias("k"), same, "left_semi").dropDuplicates(["doc_id", cid])
+    return kept.unionByName(marked.where(F.col(cid) == 0)).select(*[f"`{n}`" for n in names])

@@ -253,3 +253,16 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, k
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     rows = docs.select(*keep) if "text" in keep else docs.select(*keep, "text")
     return rows.mapInArrow(run, f"{fields}, score double, predicted int")
+
+
+def accepted(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, all columns as they are, that score below ``threshold``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # MOST_FEATURES hashes and the terms'
+
+    def run(batches):
+        model = shared.value
+        filter_ = model.filter()
+        for b in steps(batches, "text"):
+            yield b.filter(pa.array([model.score(t, filter_) < threshold for t in b.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
