@@ -2,7 +2,7 @@
 
 Texts are exploded into pre-tokens with positions, block by block (a few
 megabytes of rows): a block is its distinct words plus, per position, the
-number of the word there. Words travel to the task that owns their hash, where
+number of the word there, counted by first occurrence. Words travel to the task that owns their hash, where
 each distinct word is encoded once whatever the number of blocks that have it;
 the ids travel back to the block and are put in place by position. A frequent
 word thus moves once per block, never once per occurrence, and no key gathers
@@ -70,6 +70,30 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, n).T).view("<u4").reshape(-1)
 
 
+def _pack_sequence(sequence: np.ndarray, words: int) -> bytes:
+    """Word numbers by position, numbered by first occurrence.
+
+    A first occurrence is always the next number, so 0 stands for it; another
+    is 1 plus the word's number among the words that occur more than once.
+    """
+    often = np.bincount(sequence, minlength=words) > 1
+    first = np.diff(np.maximum.accumulate(sequence.astype(np.int64)), prepend=-1) > 0
+    code = np.where(first, 0, np.cumsum(often)[sequence] if words else 0)
+    flags, packed = _pack(np.packbits(often)), _pack(code)
+    return len(flags).to_bytes(8, "little") + words.to_bytes(8, "little") + flags + packed
+
+
+def _unpack_sequence(data: bytes) -> np.ndarray:
+    cut, words = int.from_bytes(data[:8], "little") + 16, int.from_bytes(data[8:16], "little")
+    often = np.flatnonzero(np.unpackbits(_unpack(data[16:cut]).astype(np.uint8), count=words))
+    code = _unpack(data[cut:]).astype(np.int64)
+    first = code == 0
+    sequence = np.empty(len(code), np.int64)
+    sequence[first] = np.arange(np.count_nonzero(first))
+    sequence[~first] = often[code[~first] - 1]
+    return sequence
+
+
 def _pack_words(words: list[bytes]) -> tuple[bytes, bytes]:
     joined = b"".join(words)
     return _pack(np.array([len(w) for w in words], dtype="<u4")), len(joined).to_bytes(8, "little") + pa.Codec("zstd", 3).compress(joined, asbytes=True)
@@ -89,17 +113,15 @@ def _explode(pattern: str, buckets: int, schema: pa.Schema):
         block = TaskContext.get().partitionId() << 32
         for b in steps(batches, "text"):
             tokens = [find(t or "") for t in b.column("text").to_pylist()]
+            words = list(dict.fromkeys(chain.from_iterable(tokens)))  # by first occurrence
+            bucket = np.array([zlib.crc32(w.encode()) % buckets for w in words], dtype=np.uint32)
             own: list[list[str]] = [[] for _ in range(buckets)]
-            for w in set(chain.from_iterable(tokens)):
-                own[zlib.crc32(w.encode()) % buckets].append(w)
-            number = {w: i for i, w in enumerate(chain.from_iterable(own))}
+            for w, k in zip(words, bucket.tolist()):
+                own[k].append(w)
+            number = dict(zip(words, range(len(words))))
             counts = [len(t) for t in tokens]
             sequence = np.fromiter(map(number.__getitem__, chain.from_iterable(tokens)), np.uint32, sum(counts))
-            # by falling frequency the numbers compress best; the order goes along
-            order = np.argsort(-np.bincount(sequence, minlength=len(number)), kind="stable")
-            rank = np.empty_like(order)
-            rank[order] = np.arange(len(order))
-            rows = [{"key": block, "block": block, "slot": _SEQUENCE, "lengths": _pack(order), "data": _pack(rank[sequence]),
+            rows = [{"key": block, "block": block, "slot": _SEQUENCE, "lengths": _pack(bucket), "data": _pack_sequence(sequence, len(words)),
                      "doc_ids": b.column("doc_id").to_pylist(), "counts": counts}]
             for slot, words in enumerate(own):
                 if words:
@@ -141,7 +163,10 @@ def _reassemble(doc_type: pa.DataType):
         lengths = np.concatenate([*(_unpack(r["lengths"]) for r in words), np.zeros(0, "<u4")]).astype(np.int64)
         ids = np.concatenate([*(_unpack(r["data"]) for r in words), np.zeros(0, "<u4")]).astype("<i4")
         starts = np.cumsum(lengths) - lengths
-        at = _unpack(sequence["lengths"])[_unpack(sequence["data"])]  # the word at each position
+        bucket = _unpack(sequence["lengths"])
+        place = np.empty(len(bucket), np.int64)  # of each word when words are listed by bucket
+        place[np.argsort(bucket, kind="stable")] = np.arange(len(bucket))
+        at = place[_unpack_sequence(sequence["data"])]
         n = lengths[at]
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0
