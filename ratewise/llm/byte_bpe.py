@@ -20,13 +20,14 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 import zlib
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ratewise.llm.common import steps
@@ -196,26 +197,68 @@ def encode(docs: DataFrame, ranks: str, pattern: str, buckets: int | None = None
     return encoded.groupBy("block").applyInArrow(_reassemble(doc_type), f"doc_id {simple}, ids array<int>")
 
 
+def _joined(table: list[bytes], lists: pa.ListArray) -> pa.BinaryArray:
+    """Per list of ids the concatenation of their table entries; null for null."""
+    width = np.array([len(t) for t in table], dtype=np.int64)
+    begin = np.cumsum(width) - width
+    data = np.frombuffer(b"".join(table), np.uint8)
+    ids = lists.flatten().to_numpy(zero_copy_only=False)
+    n = width[ids]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    out = data[np.repeat(begin[ids] - ends[:-1], n) + np.arange(ends[-1])]
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    cut = ends[np.concatenate([[0], np.cumsum(sizes)])]
+    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(cut.astype(np.int64).tobytes()), pa.py_buffer(out)])
+    return pc.if_else(lists.is_valid(), found, pa.scalar(None, pa.large_binary())).cast(pa.binary())
+
+
+def _token_table(ranks: str) -> list[bytes]:
+    """Token bytes by id; ids that no token has are empty."""
+    by_id = {i: t for t, i in read_ranks(ranks).items()}
+    return [by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)]
+
+
+def _parts(batches):
+    """Batches of at most about a million ids, one row at least."""
+    for b in batches:
+        sizes = pc.fill_null(pc.list_value_length(b.column("ids")), 0).to_pylist()
+        start = held = 0
+        for i, n in enumerate(sizes):
+            if i > start and held + n > 1_000_000:
+                yield b.slice(start, i - start)
+                start, held = i, 0
+            held += n
+        if b.num_rows:
+            yield b.slice(start)
+
+
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     """The rows of ``encoded`` with ``decoded`` binary: the bytes of ``ids`` in order. Null ids decode to null."""
-    shared = encoded.sparkSession.sparkContext.broadcast({i: t for t, i in read_ranks(ranks).items()})  # the vocabulary
+    shared = encoded.sparkSession.sparkContext.broadcast(_token_table(ranks))  # the vocabulary
     names = encoded.columns
 
     def run(batches):
-        token = shared.value.__getitem__
-        at = names.index("ids")
-        for b in batches:
-            ids = b.column(at)
-            data = [None if x is None else b"".join(map(token, x)) for x in ids.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(data, pa.binary())], [*names, "decoded"])
+        for b in _parts(batches):
+            yield pa.RecordBatch.from_arrays([*b.columns, _joined(shared.value, b.column("ids"))], [*names, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     return encoded.mapInArrow(run, f"{fields}, decoded binary")
 
 
-def digest(decoded: DataFrame) -> DataFrame:
-    """Counts and digests of a round trip."""
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+def decoded_digest(encoded: DataFrame, ranks: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): ids decoded and digested where they are, without moving the texts on."""
+    shared = encoded.sparkSession.sparkContext.broadcast(_token_table(ranks))  # the vocabulary
+    rows = encoded.select("doc_id", "ids")
+
+    def run(batches):
+        table = shared.value
+        decimal = [b"%d," % i for i in range(len(table))]
+        for b in _parts(batches):
+            ids = b.column("ids")
+            text = [hashlib.sha256(x[:-1]).hexdigest() for x in _joined(decimal, ids).to_pylist()]
+            data = [hashlib.sha256(x).hexdigest() for x in _joined(table, ids).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pc.list_value_length(ids).cast(pa.int64()), pa.array(text), pa.array(data)],
+                                             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    simple = encoded.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {simple}, n_tokens long, ids_sha256 string, decoded_sha256 string")

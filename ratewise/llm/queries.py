@@ -37,7 +37,7 @@ def op4_lattice_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(BYTE_RANKS)
     ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return byte_bpe.digest(byte_bpe.decode(ids, ranks))
+    return byte_bpe.decoded_digest(ids, ranks)
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

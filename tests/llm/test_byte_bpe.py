@@ -25,7 +25,7 @@ def test_ids_and_bytes_equal_the_library(spark, awkward, library):
 
 
 def test_digest(awkward, library):
-    rows = byte_bpe.digest(byte_bpe.decode(byte_bpe.encode(awkward, PATH, PATTERN), PATH)).collect()
+    rows = byte_bpe.decoded_digest(byte_bpe.encode(awkward, PATH, PATTERN), PATH).collect()
     ids = library.encode_ordinary("日本語 ñandú 😀 it's")
     own = next(r for r in rows if r.doc_id == 8)
     assert own.n_tokens == len(ids)
@@ -34,5 +34,12 @@ def test_digest(awkward, library):
     assert next(r for r in rows if r.doc_id == 1).ids_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_null_ids_decode_to_null(spark):
+    ids = spark.createDataFrame([(1, [0, 255, 300]), (2, None), (3, [])], "doc_id long, ids array<int>")
+    rows = {r.doc_id: r.decoded for r in byte_bpe.decode(ids, PATH).collect()}
+    by_id = {i: t for t, i in byte_bpe.read_ranks(PATH).items()}
+    assert rows == {1: by_id[0] + by_id[255] + by_id[300], 2: None, 3: b""}
+
+
 def test_nothing(nothing):
-    assert byte_bpe.digest(byte_bpe.decode(byte_bpe.encode(nothing, PATH, PATTERN), PATH)).count() == 0
+    assert byte_bpe.decoded_digest(byte_bpe.encode(nothing, PATH, PATTERN), PATH).count() == 0
