@@ -19,10 +19,10 @@ CTE = {
          concat_ws('|', p_type, string_split(p_name, ' ')[1], string_split(p_name, ' ')[2]) AS genres
   FROM part)""",
     "item_factors": """item_factors AS (
-  SELECT vec_id::INTEGER AS mid, embedding[1:4]::DOUBLE[] AS features
+  SELECT vec_id::INTEGER AS mid, embedding::DOUBLE[] AS features
   FROM embeddings)""",
     "user_factors": """user_factors AS (
-  SELECT vec_id::INTEGER AS uid, embedding[5:8]::DOUBLE[] AS features
+  SELECT vec_id::INTEGER AS uid, embedding::DOUBLE[] AS features
   FROM embeddings)""",
     "ev": """ev AS (
   SELECT event_id, user_id::INTEGER AS uid, json_extract(props, '$.k')::INTEGER AS mid,
@@ -41,17 +41,13 @@ def with_(ctes: list[str], body: str) -> str:
     return "WITH " + ",\n".join(CTE[c] for c in ctes) + "\n" + body
 
 
-def dot_sql(a: str, b: str, n: int = 4) -> str:
-    """Left-to-right dot product of two n-vectors."""
-    terms = [f"{a}[{i}] * {b}[{i}]" for i in range(1, n + 1)]
-    expr = "0.0"
-    for t in terms:
-        expr = f"({expr} + {t})"
-    return expr
+def dot_sql(a: str, b: str, n: int | None = None) -> str:
+    """Dot product of two vectors, or of their first n elements."""
+    return f"list_dot_product({a}, {b})" if n is None else f"list_dot_product({a}[1:{n}], {b}[1:{n}])"
 
 
-def norm_sql(a: str, n: int = 4) -> str:
-    return f"sqrt({dot_sql(a, a, n)})"
+def norm_sql(a: str) -> str:
+    return f"sqrt({dot_sql(a, a)})"
 
 
 SQL: dict[str, str] = {}
@@ -98,7 +94,7 @@ CTE["edges"] = f"""edges AS (
   SELECT mid, sim_mid, score FROM (
     SELECT a.mid, b.mid AS sim_mid, {COS} AS score
     FROM item_factors a JOIN item_factors b ON a.mid <> b.mid)
-  WHERE score > 0.9)"""
+  WHERE score > 0.2)"""
 CTE["split"] = """split AS (
   SELECT *, CASE WHEN ((uid::BIGINT * 2654435761 + mid::BIGINT * 40503 + timestamp::BIGINT) % 1000003)::DOUBLE
                       < 0.2 * 1000003 THEN 'test' ELSE 'train' END AS split
@@ -131,7 +127,7 @@ terms AS (
   SELECT c.uid, c.mid, r.score AS recent_score, e.score AS sim
   FROM cands c JOIN recent r ON c.uid = r.uid
   JOIN edges e ON e.mid = c.mid AND e.sim_mid = r.mid
-  WHERE e.score > 0.7),
+  WHERE e.score > 0.25),
 scored AS (
   SELECT uid, mid, avg(sim * recent_score) AS base,
          count(*) FILTER (WHERE recent_score > 3) AS n_high,
@@ -164,7 +160,6 @@ SELECT mid, (row_number() OVER (PARTITION BY mid ORDER BY score DESC, sim_mid AS
        sim_mid, round(score, 9) AS score
 FROM edges""")
 SQL["item_similarity"] = _SIM_LISTS
-SQL["item_similarity_blocked"] = _SIM_LISTS
 
 SQL["rating_split"] = with_(["ratings", "split"], "SELECT uid, mid, score, timestamp, split FROM split")
 
@@ -175,7 +170,7 @@ FROM joined""")
 
 def _grid_sql() -> str:
     parts = []
-    for r in (1, 2, 3, 4):
+    for r in (16, 32, 48, 64):
         for lam in (0.01, 0.1, 1.0):
             pred = f"({dot_sql('uf', 'if_', r)} / {1.0 + lam!r})"
             parts.append(f"SELECT {r}::INTEGER AS rank, {lam!r}::DOUBLE AS \"lambda\", "

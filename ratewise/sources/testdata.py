@@ -6,7 +6,7 @@ pushes filters into the parquet scans:
 
 * ratings(uid, mid, score, timestamp)  lineitem JOIN orders
 * items(mid, title, genres)            part
-* item_factors / user_factors          embeddings (elements 1-4 / 5-8)
+* item_factors / user_factors          embeddings, whole vectors
 * rating_events(event_id, uid, mid, score, ts, event_type)  events
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import epoch_seconds_ntz, half_star
-from ..functions.vectors import slice_vector
+from ..functions.vectors import to_double_array
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,24 +46,19 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Length of the fixed factor vectors cut from the embeddings.
-FACTOR_DIM = 4
-
-
-def _factors(spark: SparkSession, sf_dir: str, start: int, name: str) -> DataFrame:
-    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return emb.select(F.col("vec_id").cast("int").alias(name),
-                      slice_vector("embedding", start, FACTOR_DIM).alias("features"))
+def _factors(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    emb = table(spark, sf_dir, "embeddings")
+    return emb.select(F.col("vec_id").cast("int").alias(name), to_double_array("embedding").alias("features"))
 
 
 def item_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(mid, features array<double>) -- elements 1..4 of each embedding."""
-    return _factors(spark, sf_dir, 1, "mid")
+    """(mid, features array<double>)"""
+    return _factors(spark, sf_dir, "mid")
 
 
 def user_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(uid, features array<double>) -- elements 5..8 of each embedding."""
-    return _factors(spark, sf_dir, 5, "uid")
+    """(uid, features array<double>)"""
+    return _factors(spark, sf_dir, "uid")
 
 
 def rating_events(spark: SparkSession, sf_dir: str) -> DataFrame:
