@@ -5,7 +5,7 @@
   offline     --base DIR [--rank N --iterations N --reg X --k N]
   tune        --base DIR [--ranks 50,100,200,300 --lambdas 0.01,0.1,1]
   stream      --base DIR --checkpoint DIR (--kafka SERVERS --topic T | --text-dir DIR)
-              [--recent PATH] [--interval "2 seconds" | --available-now]
+              [--group NAME --max-per-batch N] [--recent PATH] [--interval "2 seconds" | --available-now]
 
 ``--recent`` names stored recent lists (uid int, items array<string> of
 'mid:score', newest first); without it the newest stored ratings are used.
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import argparse
 
+from ratewise.operators import als, recommend
 from ratewise.plans import jobs
 from ratewise.session import get_session
 from ratewise.sources import text
@@ -41,17 +42,19 @@ def main(argv: list[str] | None = None) -> None:
         sp = ld if name == "load" else sub.add_parser(name)
         sp.add_argument("--base", required=True)
         if name == "offline":
-            sp.add_argument("--rank", type=int, default=200)
-            sp.add_argument("--iterations", type=int, default=5)
-            sp.add_argument("--reg", type=float, default=0.1)
-            sp.add_argument("--k", type=int, default=20)
+            sp.add_argument("--rank", type=int, default=als.REFERENCE_RANK)
+            sp.add_argument("--iterations", type=int, default=als.REFERENCE_ITERATIONS)
+            sp.add_argument("--reg", type=float, default=als.REFERENCE_LAMBDA)
+            sp.add_argument("--k", type=int, default=recommend.USER_TOP_K)
         if name == "tune":
-            sp.add_argument("--ranks", type=_ints, default=(50, 100, 200, 300))
-            sp.add_argument("--lambdas", type=_floats, default=(0.01, 0.1, 1.0))
+            sp.add_argument("--ranks", type=_ints, default=als.REFERENCE_GRID_RANKS)
+            sp.add_argument("--lambdas", type=_floats, default=als.REFERENCE_GRID_LAMBDAS)
         if name == "stream":
             sp.add_argument("--checkpoint", required=True)
             sp.add_argument("--kafka")
             sp.add_argument("--topic")
+            sp.add_argument("--group")
+            sp.add_argument("--max-per-batch", type=int)
             sp.add_argument("--text-dir")
             sp.add_argument("--recent")
             sp.add_argument("--interval", default="2 seconds")
@@ -69,13 +72,14 @@ def main(argv: list[str] | None = None) -> None:
         print(f"best rank={best['rank']} lambda={best['lambda']} rmse={best['rmse']}")
     elif a.job == "stream":
         if a.kafka:
-            lines = text.kafka_lines(spark, a.kafka, a.topic)
+            lines = text.kafka_lines(spark, a.kafka, a.topic, group=a.group, max_per_batch=a.max_per_batch)
         elif a.text_dir:
             lines = text.text_stream_lines(spark, a.text_dir)
         else:
             p.error("stream needs --kafka/--topic or --text-dir")
         trigger = {"availableNow": True} if a.available_now else {"processingTime": a.interval}
-        recent = text.parse_recent_lists(spark.read.parquet(a.recent)) if a.recent else None
+        # read anew for every micro-batch
+        recent = (lambda: text.parse_recent_lists(spark.read.parquet(a.recent))) if a.recent else None
         jobs.streaming_job(spark, a.base, lines, a.checkpoint, recent=recent, trigger=trigger).awaitTermination()
 
 

@@ -6,17 +6,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import split_pipe_list, year_month_of_epoch
-from .ranking import checked_broadcast, top_k
+from .ranking import top_k
 
 # Fixed parameters of the statistics job.
 GENRE_TOP_K = 10
-# Genre lists are broadcast to a nested-loop join (cost: items x genres) only
-# up to this many distinct genres.
-GENRE_BROADCAST_MAX_ROWS = 1_000
-# Length of the prefix key used by the shuffled genre match.
+# Longest prefix of a genre that the substring match joins on.
 GENRE_KEY_LEN = 3
 
 
+def monthly_totals(ratings: DataFrame) -> DataFrame:
+    """(mid, yearmonth, count, total): one scan from which all rating statistics follow.
+
+    Sums of half-star scores are exact, so averages of the totals equal
+    averages of the rows.
+    """
+    with_month = ratings.select("mid", "score", year_month_of_epoch("timestamp").alias("yearmonth"))
+    return with_month.groupBy("mid", "yearmonth").agg(F.count("mid").alias("count"), F.sum("score").alias("total"))
+
+
+def popularity_of_totals(totals: DataFrame) -> DataFrame:
+    """(mid, count)"""
+    return totals.groupBy("mid").agg(F.sum("count").alias("count"))
+
+
+def average_of_totals(totals: DataFrame) -> DataFrame:
+    """(mid, avg)"""
+    return totals.groupBy("mid").agg((F.sum("total") / F.sum("count")).alias("avg"))
+
+
 def item_popularity(ratings: DataFrame) -> DataFrame:
     """(mid, count): number of ratings per item."""
     return ratings.groupBy("mid").agg(F.count("mid").alias("count"))
@@ -44,11 +61,6 @@ def distinct_genres(items: DataFrame) -> DataFrame:
     return items.select(F.explode(split_pipe_list("genres")).alias("genre")).distinct()
 
 
-def _match_broadcast(genres: DataFrame, scored_items: DataFrame) -> DataFrame:
-    cond = F.contains(F.lower(scored_items["genres"]), F.lower(genres["genre"]))
-    return scored_items.join(genres, cond)
-
-
 def _grams(s, length: int):
     """Substrings of ``s`` with exactly ``length`` characters (length 0: the empty string); callers de-duplicate."""
     if length == 0:
@@ -58,53 +70,40 @@ def _grams(s, length: int):
     return F.filter(subs, lambda x: F.length(x) == length)
 
 
-def _match_by_key(genres: DataFrame, scored_items: DataFrame, lengths: list[int]) -> DataFrame:
-    """Exact substring match as a hash join on a prefix key.
+def _match_strings(genres: DataFrame, strings: DataFrame) -> DataFrame:
+    """(genre, genres) where the string contains the genre, case-insensitively: an equi-join on a prefix key.
 
-    A genre g of length n can only be inside a string s if g's first
-    min(n, L) characters occur in s, L = max(lengths). Items emit their
-    distinct substrings of the given lengths, genres emit their prefix, the
-    two meet in an equi-join, and the full ``contains`` test keeps the true
-    matches. No Cartesian product at any size.
+    A genre g can only be inside a string s if g's first min(length, L)
+    characters occur in s. Strings emit their distinct substrings of up to L
+    characters, genres emit their prefix, the two meet by key, and the full
+    ``contains`` test keeps the true matches. No Cartesian product at any size.
     """
     low = F.lower(F.col("genres"))
-    keys = F.array_distinct(F.flatten(F.array(*[_grams(low, n) for n in lengths])))
-    item_keys = scored_items.withColumn("gkey", F.explode(keys))
-    genre_keys = genres.withColumn("gkey", F.substring(F.lower(F.col("genre")), 1, max(lengths)))
-    joined = item_keys.join(genre_keys, "gkey")
-    return joined.where(F.contains(F.lower(F.col("genres")), F.lower(F.col("genre")))).drop("gkey")
-
-
-def _match_shuffled(genres: DataFrame, scored_items: DataFrame, broadcast_max_rows: int) -> DataFrame:
-    """Many genres: long ones join on trigrams; the short ones (few by nature) take their own path."""
-    L = GENRE_KEY_LEN
-    glen = F.length(F.col("genre"))
-    long_match = _match_by_key(genres.where(glen >= L), scored_items, [L])
-    short = genres.where(glen < L)
-    small = checked_broadcast(short, broadcast_max_rows)
-    short_match = (_match_broadcast(small, scored_items) if small is not None
-                   else _match_by_key(short, scored_items, list(range(L))))
-    return long_match.unionByName(short_match)
-
-
-def genre_item_match(genres: DataFrame, scored_items: DataFrame,
-                     broadcast_max_rows: int = GENRE_BROADCAST_MAX_ROWS) -> DataFrame:
+    keys = F.array_distinct(F.flatten(F.array(*[_grams(low, n) for n in range(GENRE_KEY_LEN + 1)])))
+    by_string = strings.withColumn("gkey", F.explode(keys))
+    by_genre = genres.withColumn("gkey", F.substring(F.lower(F.col("genre")), 1, GENRE_KEY_LEN))
+    joined = by_string.join(by_genre, "gkey")
+    return joined.where(F.contains(low, F.lower(F.col("genre")))).select("genre", "genres")
+
+
+def genre_item_match(genres: DataFrame, scored_items: DataFrame) -> DataFrame:
     """(genre, item columns...) for every item whose genres contain the genre.
 
-    Case-insensitive *substring* match (``old`` matches ``cold``). The genre
-    list is broadcast to a nested-loop join only when a count proves it small
-    (cost: items x genres); otherwise prefix-keyed hash joins do the work.
+    Case-insensitive *substring* match (``old`` matches ``cold``), done once
+    per distinct genre string (far fewer than items) and joined back.
     """
-    small = checked_broadcast(genres, broadcast_max_rows)
-    if small is not None:
-        return _match_broadcast(small, scored_items)
-    return _match_shuffled(genres, scored_items, broadcast_max_rows)
+    strings = scored_items.select("genres").where(F.col("genres").isNotNull()).distinct()
+    return scored_items.join(_match_strings(genres, strings), "genres")
 
 
-def genre_top_items(items: DataFrame, ratings: DataFrame, k: int = GENRE_TOP_K,
-                    broadcast_max_rows: int = GENRE_BROADCAST_MAX_ROWS) -> DataFrame:
+def genre_top_items(items: DataFrame, ratings: DataFrame, k: int = GENRE_TOP_K) -> DataFrame:
     """(genre, rank, mid, avg): the k best-rated items of each genre, avg desc, mid asc."""
-    scored = items_with_avg(items.select("mid", "genres"), item_avg_rating(ratings))
-    matched = genre_item_match(distinct_genres(items), scored, broadcast_max_rows)
+    return genre_top_of_averages(items, item_avg_rating(ratings), k)
+
+
+def genre_top_of_averages(items: DataFrame, averages: DataFrame, k: int = GENRE_TOP_K) -> DataFrame:
+    """The same from (mid, avg)."""
+    scored = items_with_avg(items.select("mid", "genres"), averages)
+    matched = genre_item_match(distinct_genres(items), scored)
     best = top_k(matched.select("genre", "mid", "avg"), "genre", "avg", k, tie="mid")
     return best.select("genre", F.col("rank").cast("int").alias("rank"), "mid", "avg")

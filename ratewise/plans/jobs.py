@@ -7,9 +7,9 @@ table                     columns                                        written
 ========================  ============================================  ==========
 Movie                     mid, title, genres                             load
 Rating                    uid, mid, score, timestamp                     load
-RateMoreMovies            mid, count            (count desc)             statistics
-RateMoreRecentlyMovies    mid, count, yearmonth (yearmonth, count desc)  statistics
-AverageMovies             mid, avg              (avg desc)               statistics
+RateMoreMovies            rank, mid, count (count desc)                 statistics
+RateMoreRecentlyMovies    rank, mid, count, yearmonth (both desc)       statistics
+AverageMovies             rank, mid, avg (avg desc)                     statistics
 GenresTopMovies           genres, recs array<struct<mid, score>>         statistics
 UserRecs                  uid, recs                                      offline
 MovieRecs                 mid, rank, sim_mid, score (flat edges)         offline
@@ -25,20 +25,28 @@ nested form for a bounded ``k`` when wanted.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.nested import encode_recs
 from ..operators import als, realtime, similarity, stats
+from ..operators.ranking import global_rank
 from ..schemas import ITEM_EDGES, MOVIE, RATING
+from ..session import materialize
 from ..sources import tables, text
 from ..sources.sinks import UpsertLog
 from ..streaming import realtime_stream
 
+# Fixed output names: users find the tables under these.
 MOVIE_T, RATING_T = "Movie", "Rating"
 RATE_MORE, RATE_MORE_RECENT, AVERAGE, GENRES_TOP = (
     "RateMoreMovies", "RateMoreRecentlyMovies", "AverageMovies", "GenresTopMovies")
+# Folders that Rating is cut into by a hash of the user.
+RATING_BUCKETS = 64
 USER_RECS, MOVIE_RECS, TUNING, STREAM_RECS = "UserRecs", "MovieRecs", "ALSTuning", "StreamRecs"
 
 
@@ -57,22 +65,30 @@ def load_job(spark: SparkSession, movies_path: str, ratings_path: str, base: str
     items = text.parse_item_lines(text.read_lines(spark, movies_path), header=None)
     ratings = text.parse_rating_lines(text.read_lines(spark, ratings_path), header=None)
     tables.write_lookup_layout(items, path(base, MOVIE_T), "mid")
-    # sorted by uid; bloom filters serve lookups by mid
+    # in folders by a hash of the user, sorted by uid; bloom filters serve lookups by mid
     tables.write_lookup_layout(ratings, path(base, RATING_T), "uid", tiebreak=["mid", "timestamp"],
-                               bloom_columns=["mid"])
+                               bloom_columns=["mid"], buckets=RATING_BUCKETS)
+
+
+def append_ratings(ratings: DataFrame, base: str) -> None:
+    """Add rows to Rating in its layout."""
+    tables.write_lookup_layout(ratings.select(*RATING.names), path(base, RATING_T), "uid", tiebreak=["mid", "timestamp"],
+                               bloom_columns=["mid"], buckets=RATING_BUCKETS, mode="append")
 
 
 # -- statistics -------------------------------------------------------------
 
 def statistics_job(spark: SparkSession, base: str, k: int = stats.GENRE_TOP_K) -> None:
-    ratings = read(spark, base, RATING_T, RATING)
+    """All statistics from one scan of Rating; the ordered tables carry their order as ``rank``."""
     items = read(spark, base, MOVIE_T, MOVIE)
-    tables.write_table(stats.item_popularity(ratings).orderBy(F.desc("count"), "mid"),
-                       path(base, RATE_MORE))
-    tables.write_table(stats.item_popularity_monthly(ratings).orderBy(F.desc("yearmonth"), F.desc("count"), "mid"),
-                       path(base, RATE_MORE_RECENT))
-    tables.write_table(stats.item_avg_rating(ratings).orderBy(F.desc("avg"), "mid"), path(base, AVERAGE))
-    top = stats.genre_top_items(items, ratings, k)
+    totals = materialize(stats.monthly_totals(read(spark, base, RATING_T, RATING)))
+    popular = global_rank(stats.popularity_of_totals(totals), [F.desc("count"), F.asc("mid")])
+    tables.write_table(popular, path(base, RATE_MORE))
+    monthly = global_rank(totals.select("mid", "count", "yearmonth"), [F.desc("yearmonth"), F.desc("count"), F.asc("mid")])
+    tables.write_table(monthly, path(base, RATE_MORE_RECENT))
+    averages = stats.average_of_totals(totals)
+    tables.write_table(global_rank(averages, [F.desc("avg"), F.asc("mid")]), path(base, AVERAGE))
+    top = stats.genre_top_of_averages(items, averages, k)
     nested = encode_recs(top.select(F.col("genre").alias("genres"), "mid", F.col("avg").alias("score")), "genres")
     tables.write_table(nested, path(base, GENRES_TOP))
 
@@ -110,24 +126,42 @@ def recent_from_ratings(ratings: DataFrame, k: int = realtime.RECENT_K) -> DataF
     return realtime.recent_ratings(ev, k)
 
 
+def user_tables(spark: SparkSession, base: str, newest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(recent, seen) of the batch's users from Rating as it is now.
+
+    Rating lies in folders by a hash of the user. Only the folders of the
+    batch's users are listed and read, whatever the number of users (at most
+    RATING_BUCKETS values are collected), and only those users' rows go on.
+    """
+    buckets = [r[0] for r in newest.select(tables.bucket_of("uid", RATING_BUCKETS)).distinct().collect()]
+    stored = spark.read.parquet(path(base, RATING_T)).where(F.col(tables.BUCKET).isin(buckets))
+    mine = stored.select(*RATING.names).join(newest.select("uid").distinct(), "uid", "left_semi")
+    return recent_from_ratings(mine), mine.select("uid", "mid")
+
+
 def streaming_job(spark: SparkSession, base: str, lines: DataFrame, checkpoint: str,
-                  recent: DataFrame | None = None, trigger: dict | None = None,
-                  n: int = realtime.CANDIDATES_N, threshold: float = realtime.PAIR_THRESHOLD) -> StreamingQuery:
+                  recent: Callable[[], DataFrame] | None = None, trigger: dict | None = None,
+                  n: int = realtime.CANDIDATES_N, threshold: float = realtime.PAIR_THRESHOLD,
+                  compact_every: int = realtime_stream.COMPACT_EVERY) -> StreamingQuery:
     """Score a stream of rating lines into StreamRecs.
 
-    ``recent`` is a (uid, pos, mid, score) table -- e.g. parsed recent lists or
-    the output of ``streaming.recent_state`` -- and defaults to the newest
-    stored ratings of each user.
+    Ratings are read anew for every micro-batch, so rows that were added or
+    rewritten since the last one count. ``recent`` may give other (uid, pos,
+    mid, score) lists -- e.g. parsed recent lists or the output of
+    ``streaming.recent_state`` -- and is called for every micro-batch too. The
+    similarity lists are read once.
     """
-    ratings = read(spark, base, RATING_T, RATING)
-    edges = read(spark, base, MOVIE_RECS, ITEM_EDGES).select("mid", "sim_mid", "score")
-    seen = ratings.select("uid", "mid").distinct()
-    recent = recent if recent is not None else recent_from_ratings(ratings)
+    edges = read(spark, base, MOVIE_RECS, ITEM_EDGES).select("mid", "rank", "sim_mid", "score").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def tables_now(newest: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        latest, seen = user_tables(spark, base, newest)
+        return (recent() if recent else latest), edges, seen
+
     events = text.parse_rating_events(lines).withColumn("event_id", F.xxhash64(F.concat_ws(
         "|", "uid", "mid", "score", "timestamp")))
     triggers = events.select("uid", "mid", F.col("timestamp").alias("ts"), "event_id")
     sink = UpsertLog(path(base, STREAM_RECS), "uid", realtime_stream.VERSION_COLS)
-    return realtime_stream.start(triggers, recent, edges, seen, sink, checkpoint, trigger, n, threshold)
+    return realtime_stream.start(triggers, tables_now, sink, checkpoint, trigger, n, threshold, compact_every=compact_every)
 
 
 def stream_recs(spark: SparkSession, base: str) -> DataFrame:

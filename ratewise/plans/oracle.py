@@ -61,6 +61,18 @@ SELECT mid, count(mid) AS count, yearmonth FROM (
   FROM (SELECT mid, DATE '1970-01-01' + floor(timestamp / 86400)::INTEGER AS d FROM ratings))
 GROUP BY yearmonth, mid""")
 
+SQL["item_popularity_order"] = with_(["ratings"], """
+SELECT row_number() OVER (ORDER BY count DESC, mid) AS rank, mid, count
+FROM (SELECT mid, count(mid) AS count FROM ratings GROUP BY mid)""")
+
+SQL["monthly_popularity_order"] = f"""
+SELECT row_number() OVER (ORDER BY yearmonth DESC, count DESC, mid) AS rank, mid, count, yearmonth
+FROM ({SQL["item_popularity_monthly"]})"""
+
+SQL["item_avg_order"] = with_(["ratings"], """
+SELECT row_number() OVER (ORDER BY avg DESC, mid) AS rank, mid, avg
+FROM (SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid)""")
+
 SQL["item_avg_rating"] = with_(["ratings"], """
 SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid""")
 
@@ -221,3 +233,21 @@ FROM trig t LEFT JOIN (
   SELECT uid, count(*) AS n_recs, arg_max(mid, (score, -mid)) AS best_mid, max(score) AS best_score,
          sum(score) AS sum_score
   FROM final GROUP BY uid) f ON t.uid = f.uid""")
+
+SQL["store_lookup"] = with_(["ratings"], """
+SELECT 'uid' AS by, * FROM ratings WHERE uid = (SELECT uid FROM ratings GROUP BY uid ORDER BY count(*) DESC, uid LIMIT 1)
+UNION ALL
+SELECT 'mid' AS by, * FROM ratings WHERE mid = (SELECT mid FROM ratings GROUP BY mid ORDER BY count(*) DESC, mid LIMIT 1)""")
+
+# what is determined of a fit: which rows there are, and that each obeys its rules
+CTE["train_test"] = """train AS (SELECT * FROM split WHERE split = 'train'),
+held AS (SELECT uid, mid, score FROM split WHERE split = 'test'
+         AND uid IN (SELECT uid FROM train) AND mid IN (SELECT mid FROM train))"""
+SQL["als_item_factors"] = with_(["ratings"], "SELECT DISTINCT mid, 200 AS length, true AS finite FROM ratings")
+SQL["als_predict"] = with_(["ratings", "split", "train_test"], "SELECT uid, mid, score, true AS predicted FROM held")
+SQL["als_user_recs"] = with_(["ratings"], "SELECT DISTINCT uid, true AS in_order, true AS in_bounds FROM ratings")
+SQL["als_item_sims"] = with_(["ratings"], "SELECT DISTINCT mid, true AS in_order, true AS in_bounds, true AS mirrored FROM ratings")
+SQL["als_grid_search"] = with_(["ratings", "split", "train_test"], """
+SELECT r.rank, l."lambda", (SELECT sum(c * c) FROM (SELECT count(*) AS c FROM held GROUP BY uid, mid))::BIGINT AS n_pairs,
+       true AS valid, true AS not_below_best
+FROM (SELECT unnest([50, 100, 200, 300]) AS rank) r, (SELECT unnest([0.01, 0.1, 1.0]::DOUBLE[]) AS "lambda") l""")

@@ -15,13 +15,6 @@ RATING = T.StructType([
     T.StructField("timestamp", T.IntegerType(), False),
 ])
 
-RATING_EVENT = T.StructType([
-    T.StructField("uid", T.IntegerType(), False),
-    T.StructField("mid", T.IntegerType(), False),
-    T.StructField("score", T.DoubleType(), False),
-    T.StructField("timestamp", T.IntegerType(), False),
-])
-
 RECOMMENDATION = T.StructType([
     T.StructField("mid", T.IntegerType(), False),
     T.StructField("score", T.DoubleType(), False),
@@ -29,26 +22,6 @@ RECOMMENDATION = T.StructType([
 
 RECS = T.ArrayType(RECOMMENDATION, False)
 
-USER_RECS = T.StructType([
-    T.StructField("uid", T.IntegerType(), False),
-    T.StructField("recs", RECS, False),
-])
-
-ITEM_RECS = T.StructType([
-    T.StructField("mid", T.IntegerType(), False),
-    T.StructField("recs", RECS, False),
-])
-
-GENRE_RECS = T.StructType([
-    T.StructField("genres", T.StringType(), False),
-    T.StructField("recs", RECS, False),
-])
-
-FACTORS = T.StructType([
-    T.StructField("id", T.IntegerType(), False),
-    T.StructField("features", T.ArrayType(T.DoubleType(), False), False),
-])
-
 # Flat similarity lists as stored by the offline job (MovieRecs).
 ITEM_EDGES = T.StructType([
     T.StructField("mid", T.IntegerType(), False),

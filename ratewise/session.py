@@ -6,7 +6,9 @@ here are for tests, the bench and command-line use.
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -59,9 +61,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` (or a directory already set on the context) wins;
-    only when neither is set -- a laptop or a unit test -- a private folder is
-    created so that ``checkpoint()`` and streaming checkpoints work.
+    ``spark.checkpoint.dir`` (or a directory already set on the context) wins.
+    Where neither is set, a private folder is made and removed at exit, but only
+    for a local master: on a cluster each machine would write to its own disk,
+    so there the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -69,7 +72,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="ratewise-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
     sc.setCheckpointDir(conf_dir)
     return (sc.getCheckpointDir() or conf_dir).rstrip("/")
 
@@ -84,12 +90,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, run-unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return f"{base}/ratewise/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for Python-side existence checks in tests)."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -6,9 +6,18 @@ can load by path works the same way.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Folder column of a bucketed lookup layout.
+BUCKET = "key_bucket"
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    """The bucket that holds a key's rows."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias(BUCKET)
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                fmt: str = "parquet") -> DataFrame:
@@ -33,7 +42,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 def write_lookup_layout(df: DataFrame, path: str, key: str, tiebreak: list[str] | None = None,
                         num_partitions: int | None = None, fmt: str = "parquet",
-                        max_records_per_file: int = 5_000_000, bloom_columns: list[str] | None = None) -> None:
+                        max_records_per_file: int = 5_000_000, bloom_columns: list[str] | None = None,
+                        buckets: int | None = None, mode: str = "overwrite") -> None:
     """Write so that point/range lookups on ``key`` read few files and row groups.
 
     Range partitioning puts each key range in its own files; sorting inside
@@ -46,12 +56,18 @@ def write_lookup_layout(df: DataFrame, path: str, key: str, tiebreak: list[str]
     A file has one sort order; further lookup keys (``bloom_columns``) get
     parquet bloom filters, so equality lookups on them skip row groups too.
     (A column chunk that is fully dictionary-encoded gets no bloom filter:
-    its dictionary already answers equality filters.)
+    its dictionary already answers equality filters.) With ``buckets``, rows
+    lie in folders by a hash of the key (column ``BUCKET``), so a reader that
+    looks up some keys lists only their folders.
     """
     cols = [key] + list(tiebreak or [])
+    if buckets:
+        df, cols = df.withColumn(BUCKET, bucket_of(key, buckets)), [BUCKET, *cols]
     ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
     writer = (ranged.sortWithinPartitions(*cols)
-              .write.format(fmt).mode("overwrite").option("maxRecordsPerFile", max_records_per_file))
+              .write.format(fmt).mode(mode).option("maxRecordsPerFile", max_records_per_file))
+    if buckets:
+        writer = writer.partitionBy(BUCKET)
     if fmt == "parquet":
         for c in bloom_columns or []:
             writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")

@@ -51,12 +51,11 @@ def drop_header(lines: DataFrame, header: str | None = None) -> DataFrame:
 def parse_item_lines(lines: DataFrame, header: str | None = ITEM_HEADER) -> DataFrame:
     """``mid,title,genres`` lines -> (mid int, title, genres); quotes stay in titles."""
     body = drop_header(lines, header)
+    # the first group is empty only where the line does not match (it needs a digit)
     g = lambda i: F.regexp_extract("value", ITEM_LINE_PATTERN, i)
-    matched = F.col("value").rlike(ITEM_LINE_PATTERN)
-    checked = body.where(F.when(matched, F.lit(True)).otherwise(
-        F.raise_error(F.concat(F.lit("bad item line: "), F.col("value")))))
-    return checked.select(
-        strict_cast(g(1), "int", "item id").alias("mid"),
+    mid = F.when(g(1) == "", F.raise_error(F.concat(F.lit("bad item line: "), F.col("value")))).otherwise(g(1))
+    return body.select(
+        strict_cast(mid, "int", "item id").alias("mid"),
         java_trim(g(2)).alias("title"),
         java_trim(g(3)).alias("genres"),
     )
@@ -100,14 +99,20 @@ def parse_recent_lists(lists: DataFrame, key: str = "uid", items: str = "items")
     )
 
 
-def kafka_lines(spark: SparkSession, servers: str, topic: str, starting: str = "latest") -> DataFrame:
-    """Streaming ``value`` lines from a Kafka topic (needs the Kafka connector jar)."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", starting)
-            .load()
-            .select(F.col("value").cast("string").alias("value")))
+def kafka_lines(spark: SparkSession, servers: str, topic: str, starting: str = "latest", group: str | None = None,
+                max_per_batch: int | None = None) -> DataFrame:
+    """Streaming ``value`` lines from a Kafka topic (needs the Kafka connector jar).
+
+    ``group`` names the consumer group; ``max_per_batch`` limits the offsets
+    that one micro-batch takes.
+    """
+    reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+              .option("subscribe", topic).option("startingOffsets", starting))
+    if group:
+        reader = reader.option("kafka.group.id", group)
+    if max_per_batch:
+        reader = reader.option("maxOffsetsPerTrigger", max_per_batch)
+    return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
 def text_stream_lines(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -1,51 +1,26 @@
-"""Per-user recent-ratings state kept by Spark (``transformWithState`` + ListState).
+"""Per-user recent-ratings state kept by Spark (``applyInPandasWithState``).
 
 Each user's state is the list of its k newest ratings by (event time,
-event id). A micro-batch merges its rows into the list with a bounded heap
--- memory is O(k) per user however many rows a user sends -- and emits the
-new list, which is upserted per user. Event order across batches does not
+event id). Rows come in Arrow batches and are merged chunk by chunk, so memory
+is O(k + chunk) per user however many rows a user sends. A micro-batch emits
+the new list, which is upserted per user. Event order across batches does not
 matter: a late, older event only enters the list if it is among the k newest.
 """
 
 from __future__ import annotations
 
-import heapq
-from typing import Iterator
-
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.scalar import epoch_micros_ntz
 from ..operators.realtime import RECENT_K
 from ..sources.sinks import UpsertLog
+from . import realtime_stream
 
-STATE_SCHEMA = "ts_us long, event_id long, mid int, score double"
 OUTPUT_SCHEMA = "uid int, items array<struct<pos:int, mid:int, score:double>>"
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-class RecentRatings(StatefulProcessor):
-    def __init__(self, k: int = RECENT_K):
-        self.k = k
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.recent = handle.getListState("recent", STATE_SCHEMA)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        def entries():
-            if self.recent.exists():
-                for t in self.recent.get():
-                    yield tuple(t)
-            for r in rows:
-                yield (r["ts_us"], r["event_id"], r["mid"], r["score"])
-
-        newest = heapq.nlargest(self.k, entries(), key=lambda e: (e[0], e[1]))
-        self.recent.put(newest)
-        yield Row(uid=key[0], items=[Row(pos=i, mid=e[2], score=e[3]) for i, e in enumerate(newest)])
-
-    def close(self) -> None:
-        pass
+STATE_SCHEMA = "ts_us array<long>, event_id array<long>, mid array<int>, score array<double>"
 
 
 def with_time_key(events: DataFrame) -> DataFrame:
@@ -57,36 +32,7 @@ def recent_lists_sink(path: str) -> UpsertLog:
     return UpsertLog(path, "uid", [])
 
 
-def start(events: DataFrame, sink: UpsertLog, checkpoint: str, k: int = RECENT_K,
-          trigger: dict | None = None, compact_every: int | None = None) -> StreamingQuery:
-    """``events``: streaming (uid, mid, score, ts, event_id)."""
-    spark = events.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    keyed = with_time_key(events).select("uid", "ts_us", "event_id", "mid", "score")
-    lists = keyed.groupBy("uid").transformWithState(RecentRatings(k), OUTPUT_SCHEMA, "Update", "None")
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        sink.write_batch(batch, batch_id)
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            sink.compact(batch.sparkSession, batch_id)
-
-    return (lists.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-            .outputMode("update").trigger(**(trigger or {"availableNow": True})).start())
-
-
-def latest_flat(spark, sink: UpsertLog) -> DataFrame:
-    latest = sink.read_latest(spark)
-    ex = latest.select("uid", F.explode("items").alias("it"))
-    return ex.select("uid", F.col("it.pos").alias("pos"), F.col("it.mid").alias("mid"),
-                     F.col("it.score").alias("score"))
-
-
-# -- the same state with applyInPandasWithState -------------------------------
-
-PANDAS_STATE_SCHEMA = "ts_us array<long>, event_id array<long>, mid array<int>, score array<double>"
-
-
-def _recent_pandas(k: int):
+def _merge(k: int):
     import numpy as np
     import pandas as pd
 
@@ -110,18 +56,16 @@ def _recent_pandas(k: int):
     return fn
 
 
-def start_pandas(events: DataFrame, sink: UpsertLog, checkpoint: str, k: int = RECENT_K,
-                 trigger: dict | None = None, compact_every: int | None = None) -> StreamingQuery:
-    """Recent lists with ``applyInPandasWithState``: state travels with the rows in Arrow batches."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
+def start(events: DataFrame, sink: UpsertLog, checkpoint: str, k: int = RECENT_K, trigger: dict | None = None,
+          compact_every: int | None = realtime_stream.COMPACT_EVERY) -> StreamingQuery:
+    """``events``: streaming (uid, mid, score, ts, event_id)."""
     keyed = with_time_key(events).select("uid", "ts_us", "event_id", "mid", "score")
-    lists = keyed.groupBy("uid").applyInPandasWithState(
-        _recent_pandas(k), OUTPUT_SCHEMA, PANDAS_STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+    lists = keyed.groupBy("uid").applyInPandasWithState(_merge(k), OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+    return realtime_stream.upsert_batches(lists, lambda b: b, sink, checkpoint, trigger, compact_every, mode="update")
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        sink.write_batch(batch, batch_id)
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            sink.compact(batch.sparkSession, batch_id)
 
-    return (lists.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-            .outputMode("update").trigger(**(trigger or {"availableNow": True})).start())
+def latest_flat(spark, sink: UpsertLog) -> DataFrame:
+    latest = sink.read_latest(spark)
+    ex = latest.select("uid", F.explode("items").alias("it"))
+    return ex.select("uid", F.col("it.pos").alias("pos"), F.col("it.mid").alias("mid"),
+                     F.col("it.score").alias("score"))

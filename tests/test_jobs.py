@@ -23,8 +23,11 @@ def test_four_jobs_end_to_end(spark):
     assert jobs.read(spark, out, jobs.RATING_T).count() == catalog.td.ratings(spark, SF_SMALL).count()
 
     jobs.statistics_job(spark, out)
-    assert sorted_rows(jobs.read(spark, out, jobs.AVERAGE)) == sorted_rows(
+    assert sorted_rows(jobs.read(spark, out, jobs.AVERAGE).select("mid", "avg")) == sorted_rows(
         catalog.QUERIES["item_avg_rating"](spark, SF_SMALL))
+    popular = jobs.read(spark, out, jobs.RATE_MORE).orderBy("rank").collect()
+    assert [r["rank"] for r in popular] == list(range(1, len(popular) + 1))
+    assert [(-r["count"], r["mid"]) for r in popular] == sorted((-r["count"], r["mid"]) for r in popular)
     genres = jobs.read(spark, out, jobs.GENRES_TOP)
     flat = genres.select("genres", F.posexplode("recs").alias("pos", "r")).select(
         F.col("genres").alias("genre"), (F.col("pos") + 1).cast("int").alias("rank"), "r.mid", F.col("r.score").alias("avg"))
@@ -57,5 +60,51 @@ def test_command_line_load_and_statistics(spark):
         .write.text(f"{base}/ratings")
     main(["load", "--movies", f"{base}/movies", "--ratings", f"{base}/ratings", "--base", f"{base}/t"])
     main(["statistics", "--base", f"{base}/t"])
-    pop = jobs.read(spark, f"{base}/t", jobs.RATE_MORE)
+    pop = jobs.read(spark, f"{base}/t", jobs.RATE_MORE).select("mid", "count")
     assert sorted_rows(pop) == sorted_rows(catalog.QUERIES["item_popularity"](spark, SF_SMALL))
+
+
+def test_statistics_scan_ratings_once(spark):
+    ratings = catalog.td.ratings(spark, SF_SMALL)
+    base = scratch_path(spark, "t-once")
+    jobs.append_ratings(ratings, base)
+    jobs.tables.write_table(catalog.td.items(spark, SF_SMALL), jobs.path(base, jobs.MOVIE_T))
+    reads, read = [], jobs.read
+    try:
+        jobs.read = lambda s, b, name, schema=None: (reads.append(name), read(s, b, name, schema))[1]
+        jobs.statistics_job(spark, base)
+    finally:
+        jobs.read = read
+    assert reads.count(jobs.RATING_T) == 1
+
+
+def test_ratings_added_between_batches_count(spark):
+    """A rating appended mid-stream hides its item from the next batch's candidates and joins the recent list."""
+    base = scratch_path(spark, "t-current")
+    rate = lambda rows: jobs.append_ratings(spark.createDataFrame(rows, "uid int, mid int, score double, timestamp int"), base)
+    rate([(1, 10, 5.0, 100), (2, 10, 5.0, 100)])
+    edges = [(20, 1, 30, 0.99), (20, 2, 40, 0.95), (30, 1, 20, 0.99), (30, 2, 10, 0.9), (40, 1, 20, 0.95), (40, 2, 10, 0.9), (10, 1, 30, 0.9), (10, 2, 40, 0.9)]
+    spark.createDataFrame(edges, "mid int, rank int, sim_mid int, score double").write.parquet(jobs.path(base, jobs.MOVIE_RECS))
+
+    def send(name, line):
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{base}/in")
+        q = jobs.streaming_job(spark, base, text.text_stream_lines(spark, f"{base}/in"), f"{base}/ckpt", compact_every=1)
+        q.awaitTermination()
+        assert q.exception() is None
+        return {r["uid"]: [x["mid"] for x in r["recs"]] for r in jobs.stream_recs(spark, base).collect()}
+
+    assert send("a", "1|20|4.0|200") == {1: [30, 40]}
+    rate([(1, 30, 4.0, 300)])
+    assert send("b", "1|20|4.0|400") == {1: [40]}
+    assert send("c", "2|20|4.0|500") == {1: [40], 2: [30, 40]}
+
+
+def test_a_batch_reads_only_its_users_folders(spark):
+    base = scratch_path(spark, "t-folders")
+    jobs.append_ratings(catalog.td.ratings(spark, SF_SMALL), base)
+    newest = spark.createDataFrame([(7, 1)], "uid int, mid int")
+    recent, seen = jobs.user_tables(spark, base, newest)
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_bucket" in plan or "PartitionFilters: [isnotnull(key_bucket" in plan
+    want = catalog.td.ratings(spark, SF_SMALL).where("uid = 7")
+    assert sorted_rows(seen) == sorted_rows(want.select("uid", "mid")) and recent.count() == min(20, want.count())

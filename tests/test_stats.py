@@ -43,40 +43,41 @@ def test_genre_top_items_substring_case_insensitive(spark):
     assert "Horror" not in got  # no rated item
 
 
-def test_genre_match_without_broadcast_is_identical(spark):
-    items, ratings = frames(spark)
-    a = stats.genre_top_items(items, ratings, k=1).collect()
-    b = stats.genre_top_items(items, ratings, k=1, broadcast_max_rows=0).collect()
-    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
-
-
 def test_empty_genre_matches_everything(spark):
     items = spark.createDataFrame([(1, "a", "x||y"), (2, "b", "zz")], "mid int, title string, genres string")
     ratings = spark.createDataFrame([(1, 1, 1.0, 0), (1, 2, 2.0, 0)], "uid int, mid int, score double, timestamp int")
-    for limit in (100, 0):
-        got = genre_lists(stats.genre_top_items(items, ratings, broadcast_max_rows=limit))
-        assert got[""] == [2, 1]
-        assert got["x"] == [1] and got["zz"] == [2]
+    got = genre_lists(stats.genre_top_items(items, ratings))
+    assert got[""] == [2, 1]
+    assert got["x"] == [1] and got["zz"] == [2]
 
 
-def test_shuffled_match_with_many_short_genres(spark):
-    # broadcast_max_rows=0 forces both short and long genres through the keyed joins
-    items = spark.createDataFrame([(1, "a", "ab|Xyz|q"), (2, "b", "xy||B"), (3, "c", "abc")],
+def test_short_and_long_genres_and_null(spark):
+    items = spark.createDataFrame([(1, "a", "ab|Xyz|q"), (2, "b", "xy||B"), (3, "c", "abc"), (4, "d", None)],
                                   "mid int, title string, genres string")
-    ratings = spark.createDataFrame([(1, m, float(m), 0) for m in (1, 2, 3)],
+    ratings = spark.createDataFrame([(1, m, float(m), 0) for m in (1, 2, 3, 4)],
                                     "uid int, mid int, score double, timestamp int")
-    a = stats.genre_top_items(items, ratings)
-    b = stats.genre_top_items(items, ratings, broadcast_max_rows=0)
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    got = genre_lists(b)
-    assert got["B"] == [3, 2, 1] and got["ab"] == [3, 1] and got[""] == [3, 2, 1]
+    got = genre_lists(stats.genre_top_items(items, ratings))
+    assert got["B"] == [3, 2, 1] and got["ab"] == [3, 1] and got[""] == [3, 2, 1] and got["Xyz"] == [1]
 
 
-def test_fallback_match_equals_broadcast_on_test_tables(spark):
+def test_match_equals_a_plain_loop_and_has_no_nested_loop(spark):
     from ratewise.sources import testdata as td
 
     from conftest import SF_SMALL
     items, ratings = td.items(spark, SF_SMALL), td.ratings(spark, SF_SMALL)
-    a = stats.genre_top_items(items, ratings).collect()
-    b = stats.genre_top_items(items, ratings, broadcast_max_rows=0).collect()
-    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) > 0
+    scored = stats.items_with_avg(items.select("mid", "genres"), stats.item_avg_rating(ratings))
+    matched = stats.genre_item_match(stats.distinct_genres(items), scored)
+    genres = [r["genre"] for r in stats.distinct_genres(items).collect()]
+    want = {(g, r["mid"]) for r in scored.collect() for g in genres if g.lower() in r["genres"].lower()}
+    assert {(r["genre"], r["mid"]) for r in matched.collect()} == want and want
+    assert "NestedLoop" not in matched._jdf.queryExecution().executedPlan().toString()
+
+
+def test_totals_give_all_statistics(spark):
+    items, ratings = frames(spark)
+    totals = stats.monthly_totals(ratings)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(stats.popularity_of_totals(totals)) == rows(stats.item_popularity(ratings))
+    assert rows(stats.average_of_totals(totals)) == rows(stats.item_avg_rating(ratings))
+    assert rows(totals.select("mid", "count", "yearmonth")) == rows(stats.item_popularity_monthly(ratings))
+    assert rows(stats.genre_top_of_averages(items, stats.average_of_totals(totals))) == rows(stats.genre_top_items(items, ratings))
