@@ -43,11 +43,14 @@ from ratewise.llm.components import components
 
 WORDS, PERCENT = 5, 75
 #: Keys that one bucket is meant to hold; sets of a key beyond which it is split; rows that are compared at a time.
-BUCKET_KEYS, SPLIT, BLOCK = 1_000_000, 4096, 256
+BUCKET_KEYS, SPLIT, BLOCK = 500_000, 4096, 256
 #: Shingles listed as frequent, at most; local counts below LOCAL are not reported; the list starts at FREQUENT.
 MOST_FREQUENT, LOCAL, FREQUENT = 1 << 18, 3, 16
 BITMAP_BITS, FILTER_BITS = 1024, 24
 
+#: Bytes of text that are hashed at a time; the arrays fit the processor's cache.
+TOGETHER = 1 << 17
+
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = np.array([c == 32 or 9 <= c <= 13 for c in range(256)])
 _BASE, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -64,25 +67,58 @@ def _powers(n: int) -> np.ndarray:
     return np.concatenate([[np.uint64(1)], np.cumprod(np.full(n - 1, _BASE, np.uint64))])
 
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's shingles."""
-    b = np.frombuffer((text or "").encode("utf-8", "surrogatepass").translate(_LOWER), np.uint8)
+def _distinct(h: np.ndarray) -> np.ndarray:
+    h = np.sort(h)
+    return h[np.concatenate([[True], h[1:] != h[:-1]])] if len(h) else h
+
+
+def _word_hashes(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, hash) of the words in lower-cased bytes."""
     inside = ~_SPACE[b]
     edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    begin, end = edge[::2], edge[1::2]
+    begin, size = edge[::2], edge[1::2] - edge[::2]
     if not len(begin):
-        return np.zeros(0, np.uint64)
-    size = end - begin
+        return begin, np.zeros(0, np.uint64)
     first = np.cumsum(size) - size
     place = np.arange(size.sum()) - np.repeat(first, size)
-    longest = int(size.max())
-    value = (b[inside].astype(np.uint64) + np.uint64(1)) * _powers(1 << max(10, longest.bit_length()))[place]
-    word = _mix(np.add.reduceat(value, first) + size.astype(np.uint64) * _STEP)
-    n = min(words, len(word))
+    value = (b[inside].astype(np.uint64) + np.uint64(1)) * _powers(1 << max(10, int(size.max()).bit_length()))[place]
+    return begin, _mix(np.add.reduceat(value, first) + size.astype(np.uint64) * _STEP)
+
+
+def _runs(word: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each run of n words."""
     h = np.full(len(word) - n + 1, n, np.uint64)
     for i in range(n):
         h = h * _BASE + word[i:len(word) - n + 1 + i]
-    return np.unique(_mix(h))
+    return _mix(h)
+
+
+def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
+    """Per text the sorted distinct 64-bit hashes of its shingles; many texts are hashed at a time."""
+    out: list[np.ndarray] = []
+    data = [(t or "").encode("utf-8", "surrogatepass").translate(_LOWER) for t in texts]
+    start = 0
+    while start < len(data):
+        end, size = start + 1, len(data[start])
+        while end < len(data) and size + len(data[end]) < TOGETHER:
+            size += len(data[end])
+            end += 1
+        own = data[start:end]
+        begin, word = _word_hashes(np.frombuffer(b"\n".join(own), np.uint8))
+        cut = np.concatenate([[0], np.searchsorted(begin, np.cumsum([len(d) + 1 for d in own]))])
+        all_runs = _runs(word, words) if len(word) >= words else word[:0]
+        for a, z in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            if z - a >= words:
+                out.append(_distinct(all_runs[a:z - words + 1]))
+            else:
+                out.append(_runs(word[a:z], z - a) if z > a else word[:0])
+        start = end
+    return out
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of one text's shingles."""
+    return shingle_sets([text], words)[0]
 
 
 def class_id(own: np.ndarray) -> int:
@@ -118,8 +154,8 @@ def _band(n, percent: int):
     return np.floor(np.log(n) / math.log(100 / percent) + 1e-9).astype(np.int64)
 
 
-def _read_sets(docs: DataFrame, percent: int) -> DataFrame:
-    """Stored rows: (doc_id, cid, n) per document; (null, shingle, -count) per shingle frequent in one task."""
+def _read_sets(docs: DataFrame) -> DataFrame:
+    """Stored rows: (doc_id, cid, n, bits) per document; (null, shingle, -count, null) per shingle frequent in one task."""
     doc_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -128,16 +164,16 @@ def _read_sets(docs: DataFrame, percent: int) -> DataFrame:
         def frequent():
             h, n = np.unique(np.concatenate(held), return_counts=True)
             h, n = h[n >= LOCAL], n[n >= LOCAL]
-            return pa.RecordBatch.from_arrays([pa.nulls(len(h), arrow_id), pa.array(h.view(np.int64)), pa.array(-n.astype(np.int64))],
-                                              ["doc_id", "cid", "n"])
+            return pa.RecordBatch.from_arrays([pa.nulls(len(h), arrow_id), pa.array(h.view(np.int64)), pa.array(-n.astype(np.int64)), pa.nulls(len(h), pa.binary())],
+                                              ["doc_id", "cid", "n", "bits"])
 
         arrow_id, seen = None, set()
         for b in steps(batches, "text"):
             arrow_id = b.column("doc_id").type
-            sets = [shingles(t) for t in b.column("text").to_pylist()]
+            sets = shingle_sets(b.column("text").to_pylist())
             ids = [class_id(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
-                                             ["doc_id", "cid", "n"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                                              pa.array([bitmap(s).tobytes() for s in sets], pa.binary())], ["doc_id", "cid", "n", "bits"])
             for i, s in zip(ids, sets):
                 if i not in seen:
                     seen.add(i)
@@ -149,7 +185,7 @@ def _read_sets(docs: DataFrame, percent: int) -> DataFrame:
         if held:
             yield frequent()
 
-    return stored(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {doc_type}, cid long, n long"), "sets")
+    return stored(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {doc_type}, cid long, n long, bits binary"), "sets")
 
 
 class _Order:
@@ -182,13 +218,34 @@ def _frequent(sets: DataFrame) -> _Order:
 _KEY = np.dtype([("key", "<u8"), ("cid", "<i8"), ("band", "<i2"), ("split", "?")])
 
 
+def _pack_keys(rows: np.ndarray) -> bytes:
+    """Rows of one bucket, those of a class next to each other: a class's id and band are written once."""
+    first = np.flatnonzero(np.concatenate([[True], rows["cid"][1:] != rows["cid"][:-1]]))
+    counts = np.diff(np.append(first, len(rows))).astype("<u4")
+    return b"".join([np.array([len(first), len(rows)], "<u4").tobytes(), rows["cid"][first].tobytes(), rows["band"][first].tobytes(),
+                     counts.tobytes(), rows["key"].tobytes(), np.packbits(rows["split"]).tobytes()])
+
+
+def _unpack_keys(data: bytes) -> np.ndarray:
+    classes, n = np.frombuffer(data, "<u4", 2).tolist()
+    at, parts = 8, []
+    for kind, count in (("<i8", classes), ("<i2", classes), ("<u4", classes), ("<u8", n), ("u1", -(-n // 8))):
+        parts.append(np.frombuffer(data, kind, count, at))
+        at += parts[-1].nbytes
+    cid, band, counts, key, split = parts
+    rows = np.empty(n, _KEY)
+    rows["key"], rows["cid"], rows["band"] = key, np.repeat(cid, counts), np.repeat(band, counts)
+    rows["split"] = np.unpackbits(split, count=n).astype(bool)
+    return rows
+
+
 def _keys(docs: DataFrame, order, buckets: int, percent: int) -> DataFrame:
     """(bucket, data): packed prefix keys; a frequent key's sets are dealt over several buckets."""
     def run(batches):
         order_, seen = order.value, set()
         for b in steps(batches, "text"):
             parts = []
-            for s in map(shingles, b.column("text").to_pylist()):
+            for s in shingle_sets(b.column("text").to_pylist()):
                 cid = class_id(s)
                 if len(s) and cid not in seen:
                     seen.add(cid)
@@ -208,7 +265,7 @@ def _keys(docs: DataFrame, order, buckets: int, percent: int) -> DataFrame:
             cut = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] + np.uint64(1)))
             ends = [*cut[1:].tolist(), len(rows)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[cut].astype(np.int64)), pa.array([rows[a:z].tobytes() for a, z in zip(cut.tolist(), ends)], pa.binary())],
+                [pa.array(bucket[cut].astype(np.int64)), pa.array([_pack_keys(rows[a:z]) for a, z in zip(cut.tolist(), ends)], pa.binary())],
                 ["bucket", "data"])
 
     return docs.select("text").mapInArrow(run, "bucket long, data binary")
@@ -216,7 +273,7 @@ def _keys(docs: DataFrame, order, buckets: int, percent: int) -> DataFrame:
 
 def _tiles(group: pa.Table) -> pa.Table:
     """Sets that share a key with another, each with the centres of the two tiles (of its band and of the band below) that it is in."""
-    rows = np.concatenate([np.frombuffer(x, _KEY) for x in group["data"].to_pylist()])
+    rows = np.concatenate([_unpack_keys(x) for x in group["data"].to_pylist()])
     rows = rows[np.lexsort((rows["cid"], rows["key"]))]
     fresh = np.concatenate([[True], (rows["key"][1:] != rows["key"][:-1]) | (rows["cid"][1:] != rows["cid"][:-1])])
     rows = rows[fresh]
@@ -246,35 +303,33 @@ def _chosen(spark: SparkSession, cids: DataFrame, bits: int):
 
 
 def _arrays(docs: DataFrame, chosen, bits: int) -> DataFrame:
-    """(cid, n, bits, own): bitmap and sorted array of the chosen classes."""
+    """(cid, own): sorted array of the chosen classes."""
     def run(batches):
         kept, seen = chosen.value, set()
         mask = (1 << bits) - 1
         for b in steps(batches, "text"):
             rows = []
-            for s in map(shingles, b.column("text").to_pylist()):
+            for s in shingle_sets(b.column("text").to_pylist()):
                 cid = class_id(s)
                 slot = cid & mask
                 if len(s) and kept[slot >> 5] >> (slot & 31) & 1 and cid not in seen:
                     seen.add(cid)
-                    rows.append((cid, len(s), bitmap(s).tobytes(), s.tobytes()))
+                    rows.append((cid, s.tobytes()))
             if len(seen) > 1_000_000:
                 seen = set()
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
-                                                 ["cid", "n", "bits", "own"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary()))], ["cid", "own"])
 
-    return docs.select("text").mapInArrow(run, "cid long, n long, bits binary, own binary").dropDuplicates(["cid"])
+    return docs.select("text").mapInArrow(run, "cid long, own binary").dropDuplicates(["cid"])
 
 
 def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
 
 
-def _bounded(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and bitmaps allow the threshold, with a salt for centres of many."""
-    signs = arrays.select("cid", "n", "bits")
-    side = lambda c: signs.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and bitmaps allow the threshold."""
+    side = lambda c: classes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def run(batches):
@@ -325,7 +380,7 @@ def _ordered(a, b):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
-def _crossing(tiles: DataFrame, linked: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+def _crossing(tiles: DataFrame, linked: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that share a key, lie in different components and pass the bounds.
 
     Only keys with several components take part. A key with more than SPLIT
@@ -335,7 +390,7 @@ def _crossing(tiles: DataFrame, linked: DataFrame, arrays: DataFrame, percent: i
         "key", "cid", F.coalesce("component", "cid").alias("component"))
     keys = rows.groupBy("key").agg(F.count("*").alias("sets"), F.min("component").alias("least"), F.max("component").alias("most"))
     keys = keys.where("least <> most").select("key", F.ceil(F.col("sets") / SPLIT).cast("int").alias("blocks"))
-    rows = rows.join(keys, "key").join(arrays.select("cid", "n", "bits"), "cid")
+    rows = rows.join(keys, "key").join(classes, "cid")
     block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", *[c.alias(n) for c, n in ((F.least("block", "other"), "low"), (F.greatest("block", "other"), "high"))],
@@ -362,24 +417,34 @@ def _crossing(tiles: DataFrame, linked: DataFrame, arrays: DataFrame, percent: i
     return pairs.select(*_ordered("a", "b")).distinct()
 
 
+def _cids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+
+
 def link_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(documents, links): (doc_id, cid, n) of every row, and (a, b) verified links that connect all linked classes."""
     spark = docs.sparkSession
-    sets = _read_sets(docs, percent)
-    members = sets.where("n >= 0")
+    sets = _read_sets(docs)
+    members = sets.where("n >= 0").select("doc_id", "cid", "n")
+    classes = stored(sets.where("n > 0").select("cid", "n", "bits").dropDuplicates(["cid"]), "classes")
     order = spark.sparkContext.broadcast(_frequent(sets))  # MOST_FREQUENT entries
-    keys = members.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1).alias("keys")).first()["keys"] or 0
-    buckets = max(1, math.ceil(keys / BUCKET_KEYS), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    tiles = stored(_keys(docs, order, buckets, percent).groupBy("bucket").applyInArrow(
+    keys = classes.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1).alias("keys")).first()["keys"] or 0
+    tiles = stored(_keys(docs, order, max(1, math.ceil(keys / BUCKET_KEYS)), percent).groupBy("bucket").applyInArrow(
         _tiles, "key long, cid long, centre long, centre_below long"), "tiles")
-    chosen = _chosen(spark, tiles.select("cid"), FILTER_BITS)
-    arrays = stored(_arrays(docs, chosen, FILTER_BITS), "arrays")
+
+    def arrays_of(cids: DataFrame) -> DataFrame:
+        return stored(_arrays(docs, _chosen(spark, cids, FILTER_BITS), FILTER_BITS), "arrays")
+
     stars = tiles.select("cid", F.explode(F.array("centre", "centre_below")).alias("centre")).where("cid <> centre")
-    pairs = stars.select(*_ordered("cid", "centre")).distinct()
-    links = stored(_verified(_bounded(pairs, arrays, percent), arrays, percent), "star-links")
+    pairs = stored(_bounded(stars.select(*_ordered("cid", "centre")).distinct(), classes, percent), "star-pairs")
+    arrays = arrays_of(_cids(pairs))
+    links = stored(_verified(pairs, arrays, percent), "star-links")
     linked = stored(components(links), "star-components")
-    crossing = stored(_verified(_crossing(tiles, linked, arrays, percent), arrays, percent), "cross-links")
-    return members, links.unionByName(crossing)
+    crossing = stored(_crossing(tiles, linked, classes, percent).join(pairs, ["a", "b"], "left_anti"), "cross-pairs")
+    missing = stored(_cids(crossing).join(arrays, "cid", "left_anti"), "cross-classes")
+    if not missing.isEmpty():
+        arrays = arrays.unionByName(arrays_of(missing).join(arrays, "cid", "left_anti"))
+    return members, links.unionByName(stored(_verified(crossing, arrays, percent), "cross-links"))
 
 
 def _groups(docs: DataFrame, percent: int) -> DataFrame:
@@ -410,7 +475,7 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     def run(batches):
         for b in steps(batches, "text"):
-            ids = [class_id(shingles(t)) for t in b.column("text").to_pylist()]
+            ids = [class_id(s) for s in shingle_sets(b.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.int64())], [*names, cid])
 
     marked = docs.mapInArrow(run, f"{fields}, {cid} long")
