@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
-Texts are exploded into pre-tokens with positions, block by block (a few
+Texts are exploded into pre-tokens with positions, block by block (some
 megabytes of rows): a block is its distinct words plus, per position, the
 number of the word there, counted by first occurrence. Words travel to the task that owns their hash, where
 each distinct word is encoded once whatever the number of blocks that have it;
@@ -22,7 +22,8 @@ import base64
 import functools
 import hashlib
 import zlib
-from itertools import chain
+from collections import defaultdict
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,9 @@ from ratewise.llm.vocab import WHITE_SPACE
 
 #: Distinct words that one task remembers; when full it starts anew (more work, same result).
 MEMO_WORDS = 1_000_000
+#: Rows and bytes of text that one block holds at most; the larger, the fewer times a word moves.
+BLOCK_ROWS, BLOCK_BYTES = 10_000, 12 << 20
+_ONE_BYTE = 192  # codes of a sequence below this take one byte
 _SEQUENCE = -1  # slot of a block's sequence row; words of bucket b have slot b
 
 
@@ -71,27 +75,42 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, n).T).view("<u4").reshape(-1)
 
 
+def _by_count(counts: np.ndarray) -> np.ndarray:
+    """Words that occur more than once, the most frequent first."""
+    often = np.flatnonzero(counts > 1)
+    return often[np.argsort(-counts[often], kind="stable")]
+
+
 def _pack_sequence(sequence: np.ndarray, words: int) -> bytes:
     """Word numbers by position, numbered by first occurrence.
 
     A first occurrence is always the next number, so 0 stands for it; another
-    is 1 plus the word's number among the words that occur more than once.
+    is 1 plus the word's place by count, which the counts tell. Small codes
+    take one byte; of larger ones that byte has the high part.
     """
-    often = np.bincount(sequence, minlength=words) > 1
+    counts = np.bincount(sequence, minlength=words)
+    ranked = _by_count(counts)
+    place = np.zeros(words, np.int64)
+    place[ranked] = np.arange(1, len(ranked) + 1)
     first = np.diff(np.maximum.accumulate(sequence.astype(np.int64)), prepend=-1) > 0
-    code = np.where(first, 0, np.cumsum(often)[sequence] if words else 0)
-    flags, packed = _pack(np.packbits(often)), _pack(code)
-    return len(flags).to_bytes(8, "little") + words.to_bytes(8, "little") + flags + packed
+    code = np.where(first, 0, place[sequence])
+    high = np.minimum((code - _ONE_BYTE) >> 10, 254 - _ONE_BYTE)
+    lead = np.where(code < _ONE_BYTE, code, _ONE_BYTE + high).astype(np.uint8)
+    rest = (code - _ONE_BYTE - (high << 10))[code >= _ONE_BYTE]
+    parts = [_pack(counts), _pack(rest), pa.Codec("zstd", 3).compress(lead.tobytes(), asbytes=True)]
+    return b"".join([np.array([len(parts[0]), len(parts[1]), len(lead)], "<i8").tobytes(), *parts])
 
 
 def _unpack_sequence(data: bytes) -> np.ndarray:
-    cut, words = int.from_bytes(data[:8], "little") + 16, int.from_bytes(data[8:16], "little")
-    often = np.flatnonzero(np.unpackbits(_unpack(data[16:cut]).astype(np.uint8), count=words))
-    code = _unpack(data[cut:]).astype(np.int64)
+    a, b, n = np.frombuffer(data, "<i8", 3).tolist()
+    ranked = _by_count(_unpack(data[24:24 + a]).astype(np.int64))
+    code = np.frombuffer(pa.Codec("zstd", 3).decompress(data[24 + a + b:], n, asbytes=True), np.uint8).astype(np.int64)
+    large = code >= _ONE_BYTE
+    code[large] = _ONE_BYTE + ((code[large] - _ONE_BYTE) << 10) + _unpack(data[24 + a:24 + a + b])
     first = code == 0
     sequence = np.empty(len(code), np.int64)
     sequence[first] = np.arange(np.count_nonzero(first))
-    sequence[~first] = often[code[~first] - 1]
+    sequence[~first] = ranked[code[~first] - 1]
     return sequence
 
 
@@ -112,16 +131,18 @@ def _explode(pattern: str, buckets: int, schema: pa.Schema):
 
         find = _splitter(pattern).findall
         block = TaskContext.get().partitionId() << 32
-        for b in steps(batches, "text"):
-            tokens = [find(t or "") for t in b.column("text").to_pylist()]
-            words = list(dict.fromkeys(chain.from_iterable(tokens)))  # by first occurrence
+        for b in steps(batches, "text", BLOCK_ROWS, BLOCK_BYTES):
+            number = defaultdict(count().__next__)  # words by first occurrence
+            parts, counts = [], []
+            for text in b.column("text").to_pylist():
+                found = find(text or "")
+                counts.append(len(found))
+                parts.append(np.fromiter(map(number.__getitem__, found), np.uint32, len(found)))
+            sequence, words = np.concatenate(parts), list(number)
             bucket = np.array([zlib.crc32(w.encode()) % buckets for w in words], dtype=np.uint32)
             own: list[list[str]] = [[] for _ in range(buckets)]
             for w, k in zip(words, bucket.tolist()):
                 own[k].append(w)
-            number = dict(zip(words, range(len(words))))
-            counts = [len(t) for t in tokens]
-            sequence = np.fromiter(map(number.__getitem__, chain.from_iterable(tokens)), np.uint32, sum(counts))
             rows = [{"key": block, "block": block, "slot": _SEQUENCE, "lengths": _pack(bucket), "data": _pack_sequence(sequence, len(words)),
                      "doc_ids": b.column("doc_id").to_pylist(), "counts": counts}]
             for slot, words in enumerate(own):

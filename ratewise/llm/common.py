@@ -36,7 +36,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def steps(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+def steps(batches: Iterator[pa.RecordBatch], text: str, most_rows: int = STEP_ROWS, most_bytes: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of bounded rows and bytes (of column ``text``); a longer text is a slice of its own."""
     for batch in batches:
         if not batch.num_rows:
@@ -44,7 +44,7 @@ def steps(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBat
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         start = held = 0
         for i, size in enumerate(sizes):
-            if i > start and (held + size > STEP_BYTES or i - start >= STEP_ROWS):
+            if i > start and (held + size > most_bytes or i - start >= most_rows):
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += size
