@@ -32,7 +32,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to a fresh table in the shared folder and read it back: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -15,7 +15,7 @@ without comparing all pairs and without emitting the pairs inside a group:
 3. Every class has a hashed bitmap (parities of its shingles by bit). The
    differing bits of two bitmaps bound the overlap from above; pairs that
    cannot reach the threshold end there. The others get the exact intersection
-   of their sorted arrays.
+   of their sorted arrays (48 bits of each hash travel).
 4. Sets that verified links join already need no more comparison. Tiles whose
    sets still belong to several components compare all pairs across them,
    block by block, by bitmap, then exactly. So no link is lost and a group of n near
@@ -42,11 +42,11 @@ from ratewise.llm.common import steps, stored
 from ratewise.llm.components import components
 
 WORDS, PERCENT = 5, 75
-#: Keys that one bucket is meant to hold; sets of a key beyond which it is split; rows that are compared at a time.
-BUCKET_KEYS, SPLIT, BLOCK = 500_000, 4096, 256
+#: Keys that one bucket is meant to hold; sets of a key beyond which it is split; rows that are compared at a time; partners that one place takes.
+BUCKET_KEYS, SPLIT, BLOCK, PARTNERS = 2_000_000, 4096, 256, 1000
 #: Shingles listed as frequent, at most; local counts below LOCAL are not reported; the list starts at FREQUENT.
 MOST_FREQUENT, LOCAL, FREQUENT = 1 << 18, 3, 16
-BITMAP_BITS, FILTER_BITS = 1024, 24
+BITMAP_BITS, FILTER_BITS, ORDERS = 1024, 24, 8
 
 #: Bytes of text that are hashed at a time; the arrays fit the processor's cache.
 TOGETHER = 1 << 17
@@ -121,6 +121,20 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return shingle_sets([text], words)[0]
 
 
+def pack_set(own: np.ndarray) -> bytes:
+    """48 bits of each hash, as differences of the sorted array, compressed by byte planes."""
+    short = _distinct(own >> np.uint64(16))
+    planes = np.diff(short, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return len(short).to_bytes(4, "little") + pa.Codec("zstd", 1).compress(np.ascontiguousarray(planes.T).tobytes(), asbytes=True)
+
+
+def unpack_set(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:4], "little")
+    planes = np.zeros((n, 8), np.uint8)
+    planes[:, :6] = np.frombuffer(pa.Codec("zstd", 1).decompress(data[4:], 6 * n, asbytes=True), np.uint8).reshape(6, n).T
+    return np.cumsum(planes.view("<u8").reshape(-1), dtype=np.uint64)
+
+
 def class_id(own: np.ndarray) -> int:
     """64-bit id of a set (order-free sums of two mixes of its elements)."""
     if not len(own):
@@ -219,22 +233,25 @@ _KEY = np.dtype([("key", "<u8"), ("cid", "<i8"), ("band", "<i2"), ("split", "?")
 
 
 def _pack_keys(rows: np.ndarray) -> bytes:
-    """Rows of one bucket, those of a class next to each other: a class's id and band are written once."""
+    """Rows of one bucket, those of a class next to each other: a class's id and band are written once, of a key 48 bits."""
     first = np.flatnonzero(np.concatenate([[True], rows["cid"][1:] != rows["cid"][:-1]]))
     counts = np.diff(np.append(first, len(rows))).astype("<u4")
     return b"".join([np.array([len(first), len(rows)], "<u4").tobytes(), rows["cid"][first].tobytes(), rows["band"][first].tobytes(),
-                     counts.tobytes(), rows["key"].tobytes(), np.packbits(rows["split"]).tobytes()])
+                     counts.tobytes(), np.ascontiguousarray(rows["key"].copy().view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes(),
+                     np.packbits(rows["split"]).tobytes()])
 
 
 def _unpack_keys(data: bytes) -> np.ndarray:
     classes, n = np.frombuffer(data, "<u4", 2).tolist()
     at, parts = 8, []
-    for kind, count in (("<i8", classes), ("<i2", classes), ("<u4", classes), ("<u8", n), ("u1", -(-n // 8))):
+    for kind, count in (("<i8", classes), ("<i2", classes), ("<u4", classes), ("u1", 6 * n), ("u1", -(-n // 8))):
         parts.append(np.frombuffer(data, kind, count, at))
         at += parts[-1].nbytes
     cid, band, counts, key, split = parts
+    whole = np.zeros((n, 8), np.uint8)
+    whole[:, 2:] = key.reshape(n, 6)
     rows = np.empty(n, _KEY)
-    rows["key"], rows["cid"], rows["band"] = key, np.repeat(cid, counts), np.repeat(band, counts)
+    rows["key"], rows["cid"], rows["band"] = whole.view("<u8").reshape(-1), np.repeat(cid, counts), np.repeat(band, counts)
     rows["split"] = np.unpackbits(split, count=n).astype(bool)
     return rows
 
@@ -272,7 +289,7 @@ def _keys(docs: DataFrame, order, buckets: int, percent: int) -> DataFrame:
 
 
 def _tiles(group: pa.Table) -> pa.Table:
-    """Sets that share a key with another, each with the centres of the two tiles (of its band and of the band below) that it is in."""
+    """Sets that share a key with another, each with the centres of the two tiles (of its band and of the band below) that it is in; null for itself and repeats."""
     rows = np.concatenate([_unpack_keys(x) for x in group["data"].to_pylist()])
     rows = rows[np.lexsort((rows["cid"], rows["key"]))]
     fresh = np.concatenate([[True], (rows["key"][1:] != rows["key"][:-1]) | (rows["cid"][1:] != rows["cid"][:-1])])
@@ -283,12 +300,15 @@ def _tiles(group: pa.Table) -> pa.Table:
     # tile b of a key holds its sets of bands b and b + 1
     own = key * (1 << 16) + rows["band"]
     tile, cid = np.concatenate([own, own - 1]), np.concatenate([rows["cid"], rows["cid"]])
-    rank = _mix(cid.view(np.uint64) ^ _mix(np.concatenate([rows["key"], rows["key"]])))
+    # ORDERS different orders of the sets: a group's tiles share few centres, but more than one
+    rank = _mix(cid.view(np.uint64) ^ _mix(np.concatenate([rows["key"], rows["key"]]) % np.uint64(ORDERS)))
     by = np.lexsort((rank, tile))
     tiles, first = np.unique(tile[by], return_index=True)
     centre = cid[by][first]
-    return pa.table({"key": rows["key"].copy().view(np.int64), "cid": rows["cid"].copy(),
-                     "centre": centre[np.searchsorted(tiles, own)], "centre_below": centre[np.searchsorted(tiles, own - 1)]})
+    mine = rows["cid"].copy()
+    here, below = centre[np.searchsorted(tiles, own)], centre[np.searchsorted(tiles, own - 1)]
+    return pa.table({"key": rows["key"].copy().view(np.int64), "cid": mine, "centre": pa.array(here, mask=here == mine),
+                     "centre_below": pa.array(below, mask=(below == mine) | (below == here))})
 
 
 def _chosen(spark: SparkSession, cids: DataFrame, bits: int):
@@ -303,7 +323,7 @@ def _chosen(spark: SparkSession, cids: DataFrame, bits: int):
 
 
 def _arrays(docs: DataFrame, chosen, bits: int) -> DataFrame:
-    """(cid, own): sorted array of the chosen classes."""
+    """(cid, own): sorted array of the chosen classes, once a task."""
     def run(batches):
         kept, seen = chosen.value, set()
         mask = (1 << bits) - 1
@@ -314,13 +334,13 @@ def _arrays(docs: DataFrame, chosen, bits: int) -> DataFrame:
                 slot = cid & mask
                 if len(s) and kept[slot >> 5] >> (slot & 31) & 1 and cid not in seen:
                     seen.add(cid)
-                    rows.append((cid, s.tobytes()))
+                    rows.append((cid, pack_set(s)))
             if len(seen) > 1_000_000:
                 seen = set()
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary()))], ["cid", "own"])
 
-    return docs.select("text").mapInArrow(run, "cid long, own binary").dropDuplicates(["cid"])
+    return docs.select("text").mapInArrow(run, "cid long, own binary")
 
 
 def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -328,7 +348,7 @@ def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and bitmaps allow the threshold."""
+    """(a, b, apart): the pairs whose sizes and bitmaps allow the threshold, and the share of bits that differ."""
     side = lambda c: classes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
@@ -337,20 +357,53 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             if t.num_rows:
                 n_a, n_b = (t.column(c).to_numpy() for c in ("n_a", "n_b"))
                 bits = [np.frombuffer(b"".join(t.column(c).to_pylist()), np.uint64).reshape(t.num_rows, -1) for c in ("bits_a", "bits_b")]
-                ok = may_reach(n_a, n_b, _differing(*bits), percent)
-                yield pa.RecordBatch.from_arrays([t.column("a").filter(pa.array(ok)), t.column("b").filter(pa.array(ok))], ["a", "b"])
+                differing = _differing(*bits)
+                ok = may_reach(n_a, n_b, differing, percent)
+                apart = pa.array(differing / (n_a + n_b))
+                yield pa.RecordBatch.from_arrays([t.column("a"), t.column("b"), apart], ["a", "b", "apart"]).filter(pa.array(ok))
+
+    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long, apart double")
 
-    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
+
+def _only(arrays: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The arrays of the pairs' classes, and a few more by chance, picked before anything moves."""
+    kept = _chosen(arrays.sparkSession, _cids(pairs), FILTER_BITS)
+
+    def run(batches):
+        for b in batches:
+            slot = b.column("cid").to_numpy() & ((1 << FILTER_BITS) - 1)
+            yield b.filter(pa.array((kept.value[slot >> 5] >> (slot & 31).astype(np.uint32) & 1).astype(bool)))
+
+    return arrays.mapInArrow(run, "cid long, own binary")
+
+
+def _cids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    """(a, b): for each class the pair that looks closest."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("cid"), "a", "b", "apart")
+    best = ends.groupBy("cid").agg(F.min(F.struct("apart", "a", "b")).alias("p"))
+    return best.select("p.a", "p.b").distinct()
+
+
+def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    side = lambda c: linked.select(F.col("node").alias(c), F.col("component").alias(f"component_{c}"))
+    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return both.where(F.coalesce("component_a", "a") != F.coalesce("component_b", "b")).select("a", "b")
 
 
 def _verified(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose exact similarity reaches the threshold.
 
-    The array of ``b`` goes to ``a`` (with a salt, so that no task gets all
-    partners of one class), then arrays are intersected one by one.
+    The array of ``b`` goes to ``a``, then arrays are intersected one by one. A
+    class with more than PARTNERS partners meets them in several places.
     """
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(64)))
-    sets = arrays.select("cid", "own")
+    many = pairs.groupBy("a").count().where(F.col("count") > PARTNERS).select("a", F.ceil(F.col("count") / PARTNERS).alias("places"))
+    salted = pairs.join(many, "a", "left").select("a", "b", F.coalesce(F.pmod(F.xxhash64("b"), F.col("places")), F.lit(0)).alias("salt"))
+    sets = _only(arrays, pairs).repartition("cid").dropDuplicates(["cid"])
     members = salted.join(sets, F.col("b") == F.col("cid")).select("a", "salt", F.col("b").alias("id"), "own")
     centres = salted.select("a", "salt").distinct().join(sets, F.col("a") == F.col("cid")).select(
         "a", "salt", F.lit(None).cast("long").alias("id"), "own")
@@ -361,7 +414,7 @@ def _verified(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
         for t in batches:
             found = []
             for a, b, own in zip(*(t.column(c).to_pylist() for c in ("a", "id", "own"))):
-                own = np.frombuffer(own, np.uint64)
+                own = unpack_set(own)
                 if b is None:
                     centre = own
                     continue
@@ -383,13 +436,14 @@ def _ordered(a, b):
 def _crossing(tiles: DataFrame, linked: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that share a key, lie in different components and pass the bounds.
 
-    Only keys with several components take part. A key with more than SPLIT
+    Only keys of three sets or more and several components take part. A key with more than SPLIT
     sets is cut into blocks and every pair of blocks is a task of its own.
     """
     rows = tiles.select("key", "cid").join(linked, F.col("cid") == F.col("node"), "left").select(
         "key", "cid", F.coalesce("component", "cid").alias("component"))
     keys = rows.groupBy("key").agg(F.count("*").alias("sets"), F.min("component").alias("least"), F.max("component").alias("most"))
-    keys = keys.where("least <> most").select("key", F.ceil(F.col("sets") / SPLIT).cast("int").alias("blocks"))
+    # of two sets one is the star's centre, so their pair has been seen
+    keys = keys.where("least <> most AND sets > 2").select("key", F.ceil(F.col("sets") / SPLIT).cast("int").alias("blocks"))
     rows = rows.join(keys, "key").join(classes, "cid")
     block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -417,10 +471,6 @@ def _crossing(tiles: DataFrame, linked: DataFrame, classes: DataFrame, percent:
     return pairs.select(*_ordered("a", "b")).distinct()
 
 
-def _cids(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-
-
 def link_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(documents, links): (doc_id, cid, n) of every row, and (a, b) verified links that connect all linked classes."""
     spark = docs.sparkSession
@@ -435,15 +485,19 @@ def link_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     def arrays_of(cids: DataFrame) -> DataFrame:
         return stored(_arrays(docs, _chosen(spark, cids, FILTER_BITS), FILTER_BITS), "arrays")
 
-    stars = tiles.select("cid", F.explode(F.array("centre", "centre_below")).alias("centre")).where("cid <> centre")
+    stars = tiles.select("cid", F.explode(F.array("centre", "centre_below")).alias("centre")).where("centre IS NOT NULL")
     pairs = stored(_bounded(stars.select(*_ordered("cid", "centre")).distinct(), classes, percent), "star-pairs")
     arrays = arrays_of(_cids(pairs))
-    links = stored(_verified(pairs, arrays, percent), "star-links")
+    # the closest-looking pair of each class first: few of the others are left to verify then
+    links = stored(_verified(stored(_best(pairs), "best-pairs"), arrays, percent), "best-links")
+    linked = stored(components(links), "best-components")
+    rest = stored(_apart(pairs, linked), "other-pairs")
+    links = links.unionByName(stored(_verified(rest, arrays, percent), "other-links"))
     linked = stored(components(links), "star-components")
     crossing = stored(_crossing(tiles, linked, classes, percent).join(pairs, ["a", "b"], "left_anti"), "cross-pairs")
     missing = stored(_cids(crossing).join(arrays, "cid", "left_anti"), "cross-classes")
     if not missing.isEmpty():
-        arrays = arrays.unionByName(arrays_of(missing).join(arrays, "cid", "left_anti"))
+        arrays = arrays.unionByName(arrays_of(missing))
     return members, links.unionByName(stored(_verified(crossing, arrays, percent), "cross-links"))
 
 

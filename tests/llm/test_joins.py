@@ -61,7 +61,7 @@ def near(spark):
 
 @pytest.mark.parametrize("split, block, frequent", [(4096, 256, 16), (7, 3, 2)])
 def test_join_equals_brute_force(near, monkeypatch, split, block, frequent):
-    for name, value in (("SPLIT", split), ("BLOCK", block), ("FREQUENT", frequent), ("LOCAL", 2), ("BUCKET_KEYS", 500 if split == 7 else 1_000_000)):
+    for name, value in (("SPLIT", split), ("BLOCK", block), ("FREQUENT", frequent), ("LOCAL", 2), ("BUCKET_KEYS", 500 if split == 7 else 1_000_000), ("PARTNERS", split)):
         monkeypatch.setattr(ngram_join, name, value)
     docs, rows = near
     got = sorted((tuple(r) for r in ngram_join.join_documents(docs).collect()), key=repr)
@@ -89,6 +89,12 @@ def test_nothing_to_join(nothing):
     assert ngram_join.join_documents(nothing).count() == 0 and ngram_join.one_of_each(nothing).count() == 0
 
 
+def test_sets_travel_whole():
+    for n in (0, 1, 5, 3000):
+        own = ngram_join._distinct(np.random.default_rng(n).integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+        assert (ngram_join.unpack_set(ngram_join.pack_set(own)) == own >> np.uint64(16)).all()
+
+
 def test_bitmap_bound_holds():
     rng = np.random.default_rng(1)
     for _ in range(300):
