@@ -33,6 +33,8 @@ FULL = 24
 _DENSE_MASK, _LANE_MASK = (1 << 62) - 1, (1 << 16) - 1
 #: Bytes of text that one bucket of neighbouring documents is meant to hold.
 BUCKET_BYTES = 8 << 20
+#: Buckets at most; beyond MOST_BUCKETS * BUCKET_BYTES they hold more.
+MOST_BUCKETS = (1 << 17) - 1
 
 
 def paragraphs(text: Column) -> Column:
@@ -126,16 +128,17 @@ def with_next(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     rows = rows.withColumn("place", F.struct(F.coalesce("doc_id", F.lit(-1 << 63)).alias("id"), F.xxhash64("text").alias("hash")))
     ids = stored(rows.select("place", F.octet_length("text").cast("long").alias("bytes")), "document-ids")
     size = ids.agg(F.sum("bytes").alias("bytes")).first()["bytes"] or 0
-    ranged = ids.repartitionByRange(max(1, -(-size // bucket_bytes)), "place")
-    first = ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.min("place").alias("place"))
-    begins = sorted((r["place"]["id"], r["place"]["hash"]) for r in first.collect())  # a row per bucket
-    begins = begins or [(0, 0)]
-    begin = F.array(*[F.struct(F.lit(i).cast("long").alias("id"), F.lit(h).cast("long").alias("hash")) for i, h in begins])
-    bucket = F.size(F.filter(begin, lambda b: b <= F.col("place"))) - 1
-    rows = rows.withColumn("bucket", bucket)
-    before = F.pmod(F.col("bucket") - 1, F.lit(len(begins)))
+    ranged = ids.repartitionByRange(max(1, min(MOST_BUCKETS, -(-size // bucket_bytes))), "place")
+    firsts = stored(ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.min("place").alias("place")), "bucket-begins")
+    begins = firsts.agg(F.sort_array(F.collect_list("place")).alias("begins")).scalar()  # MOST_BUCKETS entries at most
+    # how many buckets begin at or before a place, found bit by bit
+    bits = F.array(*[F.lit(1 << k) for k in reversed(range(MOST_BUCKETS.bit_length()))])
+    passed = F.aggregate(bits, F.lit(0), lambda n, step: F.when(F.get("begins", n + step - 1) <= F.col("place"), n + step).otherwise(n))
+    rows = rows.withColumn("begins", begins).withColumn("bucket", passed - 1)
+    first = F.get("begins", F.col("bucket")) == F.col("place")
+    before = F.pmod(F.col("bucket") - 1, F.size("begins"))
     own, ahead = F.struct("bucket", F.lit(False).alias("ahead")), F.struct(before.alias("bucket"), F.lit(True).alias("ahead"))
-    to = F.explode(F.when(F.array_contains(begin, F.col("place")), F.array(own, ahead)).otherwise(F.array(own)))
+    to = F.explode(F.when(first, F.array(own, ahead)).otherwise(F.array(own)))
     rows = rows.select("doc_id", "text", "place", to.alias("to")).select("doc_id", "text", "place", "to.bucket", "to.ahead")
     return rows.withColumn("next_text", _lead("text"))
 
