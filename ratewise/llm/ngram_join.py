@@ -46,7 +46,7 @@ WORDS, PERCENT = 5, 75
 BUCKET_KEYS, SPLIT, BLOCK, PARTNERS = 2_000_000, 4096, 256, 1000
 #: Shingles listed as frequent, at most; local counts below LOCAL are not reported; the list starts at FREQUENT.
 MOST_FREQUENT, LOCAL, FREQUENT = 1 << 18, 3, 16
-BITMAP_BITS, FILTER_BITS, ORDERS = 1024, 24, 8
+LEAST_BITS, MOST_BITS, FILTER_BITS, ORDERS, BEST_TURNS = 1024, 1 << 16, 24, 8, 2
 
 #: Bytes of text that are hashed at a time; the arrays fit the processor's cache.
 TOGETHER = 1 << 17
@@ -143,10 +143,29 @@ def class_id(own: np.ndarray) -> int:
     return int(_mix(total ^ np.bitwise_xor.reduce(_mix(own * _STEP))).view(np.int64)[0])
 
 
-def bitmap(own: np.ndarray, bits: int = BITMAP_BITS) -> np.ndarray:
-    """Parity of the number of elements that hash to each bit."""
+def bitmap(own: np.ndarray) -> bytes:
+    """Parity of the number of elements that hash to each bit; two to four bits an element, LEAST_BITS at least."""
+    bits = max(LEAST_BITS, min(MOST_BITS, 2 << max(0, len(own) - 1).bit_length()))
     odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _folded(data: bytes, width: int) -> np.ndarray:
+    """A bitmap at a smaller width (bytes): parities of the halves, quarters, ... add up."""
+    return np.bitwise_xor.reduce(np.frombuffer(data, np.uint64).reshape(-1, width // 8), axis=0)
+
+
+def differing(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Bits in which bitmaps differ, pair by pair, at the smaller width of each two."""
+    width = np.minimum([len(x) for x in a], [len(x) for x in b]) if a else np.zeros(0, np.int64)
+    out = np.zeros(len(a), np.int64)
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero(width == w).tolist()
+        for i in range(0, len(at), BLOCK):
+            part = at[i:i + BLOCK]
+            x, y = (np.stack([_folded(side[k], w) for k in part]) for side in (a, b))
+            out[part] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def may_reach(n_a, n_b, differing, percent: int):
@@ -187,7 +206,7 @@ def _read_sets(docs: DataFrame) -> DataFrame:
             sets = shingle_sets(b.column("text").to_pylist())
             ids = [class_id(s) for s in sets]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                                              pa.array([bitmap(s).tobytes() for s in sets], pa.binary())], ["doc_id", "cid", "n", "bits"])
+                                              pa.array([bitmap(s) for s in sets], pa.binary())], ["doc_id", "cid", "n", "bits"])
             for i, s in zip(ids, sets):
                 if i not in seen:
                     seen.add(i)
@@ -343,10 +362,6 @@ def _arrays(docs: DataFrame, chosen, bits: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "cid long, own binary")
 
 
-def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
-
-
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(a, b, apart): the pairs whose sizes and bitmaps allow the threshold, and the share of bits that differ."""
     side = lambda c: classes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
@@ -356,10 +371,9 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         for t in batches:
             if t.num_rows:
                 n_a, n_b = (t.column(c).to_numpy() for c in ("n_a", "n_b"))
-                bits = [np.frombuffer(b"".join(t.column(c).to_pylist()), np.uint64).reshape(t.num_rows, -1) for c in ("bits_a", "bits_b")]
-                differing = _differing(*bits)
-                ok = may_reach(n_a, n_b, differing, percent)
-                apart = pa.array(differing / (n_a + n_b))
+                bits = differing(t.column("bits_a").to_pylist(), t.column("bits_b").to_pylist())
+                ok = may_reach(n_a, n_b, bits, percent)
+                apart = pa.array(bits / (n_a + n_b))
                 yield pa.RecordBatch.from_arrays([t.column("a"), t.column("b"), apart], ["a", "b", "apart"]).filter(pa.array(ok))
 
     return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long, apart double")
@@ -381,28 +395,38 @@ def _cids(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
 
 
+def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components, with these."""
+    side = lambda c: linked.select(F.col("node").alias(c), F.col("component").alias(f"component_{c}"))
+    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    both = both.withColumns({f"component_{c}": F.coalesce(f"component_{c}", c) for c in ("a", "b")})
+    return both.where("component_a <> component_b")
+
+
 def _best(pairs: DataFrame) -> DataFrame:
-    """(a, b): for each class the pair that looks closest."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("cid"), "a", "b", "apart")
-    best = ends.groupBy("cid").agg(F.min(F.struct("apart", "a", "b")).alias("p"))
+    """(a, b): for each component the pair to another one that looks closest."""
+    ends = pairs.select(F.explode(F.array("component_a", "component_b")).alias("component"), "a", "b", "apart")
+    best = ends.groupBy("component").agg(F.min(F.struct("apart", "a", "b")).alias("p"))
     return best.select("p.a", "p.b").distinct()
 
 
-def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components."""
-    side = lambda c: linked.select(F.col("node").alias(c), F.col("component").alias(f"component_{c}"))
-    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-    return both.where(F.coalesce("component_a", "a") != F.coalesce("component_b", "b")).select("a", "b")
+def _centred(pairs: DataFrame) -> DataFrame:
+    """(a, b, salt): ``a`` is the end with more partners; beyond PARTNERS it meets them in several places."""
+    partners = pairs.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").count()
+    side = lambda c: partners.select(F.col("cid").alias(c), F.col("count").alias(f"n_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    first = F.col("n_a") >= F.col("n_b")
+    both = both.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("b"),
+                       F.ceil(F.greatest("n_a", "n_b") / PARTNERS).alias("places"))
+    return both.select("a", "b", F.pmod(F.xxhash64("b"), F.col("places")).alias("salt"))
 
 
 def _verified(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose exact similarity reaches the threshold.
 
-    The array of ``b`` goes to ``a``, then arrays are intersected one by one. A
-    class with more than PARTNERS partners meets them in several places.
+    The array of one end goes to that of the other, and the two are intersected.
     """
-    many = pairs.groupBy("a").count().where(F.col("count") > PARTNERS).select("a", F.ceil(F.col("count") / PARTNERS).alias("places"))
-    salted = pairs.join(many, "a", "left").select("a", "b", F.coalesce(F.pmod(F.xxhash64("b"), F.col("places")), F.lit(0)).alias("salt"))
+    salted = stored(_centred(pairs), "centred-pairs")
     sets = _only(arrays, pairs).repartition("cid").dropDuplicates(["cid"])
     members = salted.join(sets, F.col("b") == F.col("cid")).select("a", "salt", F.col("b").alias("id"), "own")
     centres = salted.select("a", "salt").distinct().join(sets, F.col("a") == F.col("cid")).select(
@@ -452,7 +476,7 @@ def _crossing(tiles: DataFrame, linked: DataFrame, classes: DataFrame, percent:
 
     def run(group: pa.Table) -> pa.Table:
         cid, component, n, block = (group[c].to_numpy() for c in ("cid", "component", "n", "block"))
-        bits = np.frombuffer(b"".join(group["bits"].to_pylist()), np.uint64).reshape(len(cid), -1)
+        bits = group["bits"].to_pylist()
         low, high = group["low"][0].as_py(), group["high"][0].as_py()
         left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
         found_a, found_b = [], []
@@ -462,7 +486,7 @@ def _crossing(tiles: DataFrame, linked: DataFrame, classes: DataFrame, percent:
                 y = right[j:j + BLOCK]
                 n_x, n_y = n[x][:, None], n[y][None, :]
                 p, q = np.nonzero((component[x][:, None] != component[y][None, :]) & (100 * np.minimum(n_x, n_y) >= percent * np.maximum(n_x, n_y)))
-                keep = may_reach(n[x][p], n[y][q], _differing(bits[x][p], bits[y][q]), percent)
+                keep = may_reach(n[x][p], n[y][q], differing([bits[k] for k in x[p]], [bits[k] for k in y[q]]), percent)
                 found_a.append(cid[x][p[keep]])
                 found_b.append(cid[y][q[keep]])
         return pa.table({"a": np.concatenate([*found_a, np.zeros(0, np.int64)]), "b": np.concatenate([*found_b, np.zeros(0, np.int64)])})
@@ -488,12 +512,15 @@ def link_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     stars = tiles.select("cid", F.explode(F.array("centre", "centre_below")).alias("centre")).where("centre IS NOT NULL")
     pairs = stored(_bounded(stars.select(*_ordered("cid", "centre")).distinct(), classes, percent), "star-pairs")
     arrays = arrays_of(_cids(pairs))
-    # the closest-looking pair of each class first: few of the others are left to verify then
-    links = stored(_verified(stored(_best(pairs), "best-pairs"), arrays, percent), "best-links")
-    linked = stored(components(links), "best-components")
-    rest = stored(_apart(pairs, linked), "other-pairs")
-    links = links.unionByName(stored(_verified(rest, arrays, percent), "other-links"))
-    linked = stored(components(links), "star-components")
+    # the closest-looking pairs first, one for each component: few of the others are left to verify then
+    untested, found, linked = pairs, [], spark.createDataFrame([], "node long, component long")
+    for turn in range(BEST_TURNS + 1):
+        between = stored(_apart(untested, linked), "pairs-between")
+        chosen = stored(_best(between), "best-pairs") if turn < BEST_TURNS else between.select("a", "b")
+        found.append(stored(_verified(chosen, arrays, percent), "links"))
+        untested = between.select("a", "b", "apart").join(chosen, ["a", "b"], "left_anti")
+        linked = stored(components(functools.reduce(DataFrame.unionByName, found)), "components")
+    links = functools.reduce(DataFrame.unionByName, found)
     crossing = stored(_crossing(tiles, linked, classes, percent).join(pairs, ["a", "b"], "left_anti"), "cross-pairs")
     missing = stored(_cids(crossing).join(arrays, "cid", "left_anti"), "cross-classes")
     if not missing.isEmpty():

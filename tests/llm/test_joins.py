@@ -97,13 +97,20 @@ def test_sets_travel_whole():
 
 def test_bitmap_bound_holds():
     rng = np.random.default_rng(1)
-    for _ in range(300):
-        a, b = (np.unique(rng.integers(0, 400, rng.integers(1, 300)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(2))
-        both = len(np.intersect1d(a, b))
-        if 100 * both >= 75 * (len(a) + len(b) - both):
-            assert ngram_join.may_reach(len(a), len(b), ngram_join._differing(ngram_join.bitmap(a), ngram_join.bitmap(b)), 75)
-        same = ngram_join._differing(ngram_join.bitmap(a), ngram_join.bitmap(b))
-        assert both <= (len(a) + len(b) - same) / 2
+    pool = rng.integers(0, 1 << 63, 6000).astype(np.uint64)
+    widths = set()
+    for most in (300, 5000):
+        for _ in range(150):
+            a = np.sort(rng.choice(pool, rng.integers(1, most), replace=False))
+            b = np.sort(np.concatenate([rng.choice(a, rng.integers(0, len(a) + 1), replace=False), rng.integers(1 << 63, (1 << 64) - 1, rng.integers(0, 200), dtype=np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            bits = [ngram_join.bitmap(a)], [ngram_join.bitmap(b)]
+            widths |= {len(x[0]) for x in bits}
+            apart = ngram_join.differing(*bits)[0]
+            assert both <= (len(a) + len(b) - apart) / 2
+            if 100 * both >= 75 * (len(a) + len(b) - both):
+                assert ngram_join.may_reach(len(a), len(b), apart, 75)
+    assert len(widths) >= 4
 
 
 def test_shingles_of_text():
