@@ -46,7 +46,7 @@ WORDS, PERCENT = 5, 75
 BUCKET_KEYS, SPLIT, BLOCK, PARTNERS = 2_000_000, 4096, 256, 1000
 #: Shingles listed as frequent, at most; local counts below LOCAL are not reported; the list starts at FREQUENT.
 MOST_FREQUENT, LOCAL, FREQUENT = 1 << 18, 3, 16
-LEAST_BITS, MOST_BITS, FILTER_BITS, ORDERS, BEST_TURNS = 1024, 1 << 16, 24, 8, 2
+LEAST_BITS, MOST_BITS, FILTER_BITS, ORDERS = 1024, 1 << 16, 24, 8
 
 #: Bytes of text that are hashed at a time; the arrays fit the processor's cache.
 TOGETHER = 1 << 17
@@ -363,7 +363,7 @@ def _arrays(docs: DataFrame, chosen, bits: int) -> DataFrame:
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b, apart): the pairs whose sizes and bitmaps allow the threshold, and the share of bits that differ."""
+    """The pairs (a, b) whose sizes and bitmaps allow the threshold."""
     side = lambda c: classes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
@@ -373,10 +373,9 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 n_a, n_b = (t.column(c).to_numpy() for c in ("n_a", "n_b"))
                 bits = differing(t.column("bits_a").to_pylist(), t.column("bits_b").to_pylist())
                 ok = may_reach(n_a, n_b, bits, percent)
-                apart = pa.array(bits / (n_a + n_b))
-                yield pa.RecordBatch.from_arrays([t.column("a"), t.column("b"), apart], ["a", "b", "apart"]).filter(pa.array(ok))
+                yield pa.RecordBatch.from_arrays([t.column("a"), t.column("b")], ["a", "b"]).filter(pa.array(ok))
 
-    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long, apart double")
+    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
 
 
 def _only(arrays: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -395,21 +394,6 @@ def _cids(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
 
 
-def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components, with these."""
-    side = lambda c: linked.select(F.col("node").alias(c), F.col("component").alias(f"component_{c}"))
-    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-    both = both.withColumns({f"component_{c}": F.coalesce(f"component_{c}", c) for c in ("a", "b")})
-    return both.where("component_a <> component_b")
-
-
-def _best(pairs: DataFrame) -> DataFrame:
-    """(a, b): for each component the pair to another one that looks closest."""
-    ends = pairs.select(F.explode(F.array("component_a", "component_b")).alias("component"), "a", "b", "apart")
-    best = ends.groupBy("component").agg(F.min(F.struct("apart", "a", "b")).alias("p"))
-    return best.select("p.a", "p.b").distinct()
-
-
 def _centred(pairs: DataFrame) -> DataFrame:
     """(a, b, salt): ``a`` is the end with more partners; beyond PARTNERS it meets them in several places."""
     partners = pairs.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").count()
@@ -512,15 +496,8 @@ def link_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     stars = tiles.select("cid", F.explode(F.array("centre", "centre_below")).alias("centre")).where("centre IS NOT NULL")
     pairs = stored(_bounded(stars.select(*_ordered("cid", "centre")).distinct(), classes, percent), "star-pairs")
     arrays = arrays_of(_cids(pairs))
-    # the closest-looking pairs first, one for each component: few of the others are left to verify then
-    untested, found, linked = pairs, [], spark.createDataFrame([], "node long, component long")
-    for turn in range(BEST_TURNS + 1):
-        between = stored(_apart(untested, linked), "pairs-between")
-        chosen = stored(_best(between), "best-pairs") if turn < BEST_TURNS else between.select("a", "b")
-        found.append(stored(_verified(chosen, arrays, percent), "links"))
-        untested = between.select("a", "b", "apart").join(chosen, ["a", "b"], "left_anti")
-        linked = stored(components(functools.reduce(DataFrame.unionByName, found)), "components")
-    links = functools.reduce(DataFrame.unionByName, found)
+    links = stored(_verified(pairs, arrays, percent), "star-links")
+    linked = stored(components(links), "star-components")
     crossing = stored(_crossing(tiles, linked, classes, percent).join(pairs, ["a", "b"], "left_anti"), "cross-pairs")
     missing = stored(_cids(crossing).join(arrays, "cid", "left_anti"), "cross-classes")
     if not missing.isEmpty():
