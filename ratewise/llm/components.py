@@ -23,6 +23,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node is either linked to one smaller node that has no smaller one, or to larger ones only."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(0).alias("child")).unionByName(edges.select(F.col("b").alias("node"), F.lit(1).alias("child")))
+    roles = ends.groupBy("node").agg(F.sum("child").alias("parents"), F.min("child").alias("least"))
+    return roles.where("parents > 1 OR (parents = 1 AND least = 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of (a, b): the smallest node reachable. Self-links and repeats are harmless.
 
@@ -32,16 +39,8 @@ def components(edges: DataFrame) -> DataFrame:
     start = stored(edges.select("a", "b"), "links")
     now = stored(start.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
 
-    def mark(e: DataFrame):
-        return tuple(e.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first())
-
-    before = mark(now)
-    while before[0]:
+    while not _all_stars(now):
         now = stored(_star(_star(now, large=True), large=False), "stars")
-        after = mark(now)
-        if after == before:
-            break
-        before = after
     nodes = start.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     found = now.select(F.col("b").alias("node"), F.col("a").alias("component"))
     return nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
