@@ -46,7 +46,7 @@ WORDS, PERCENT = 5, 75
 BUCKET_KEYS, SPLIT, BLOCK, PARTNERS = 2_000_000, 4096, 256, 1000
 #: Shingles listed as frequent, at most; local counts below LOCAL are not reported; the list starts at FREQUENT.
 MOST_FREQUENT, LOCAL, FREQUENT = 1 << 18, 3, 16
-LEAST_BITS, MOST_BITS, FILTER_BITS, ORDERS = 1024, 1 << 16, 24, 8
+LEAST_BITS, MOST_BITS, FILTER_BITS, ORDERS, FIRST_KEYS = 1024, 1 << 16, 24, 8, 8
 
 #: Bytes of text that are hashed at a time; the arrays fit the processor's cache.
 TOGETHER = 1 << 17
@@ -445,22 +445,29 @@ def _crossing(tiles: DataFrame, linked: DataFrame, classes: DataFrame, percent:
     """Pairs (a, b) that share a key, lie in different components and pass the bounds.
 
     Only keys of three sets or more and several components take part. A key with more than SPLIT
-    sets is cut into blocks and every pair of blocks is a task of its own.
+    sets is cut into blocks and every pair of blocks is a task of its own. Sets
+    carry their FIRST_KEYS smallest keys, so that a pair which shares many is
+    mostly compared once.
     """
     rows = tiles.select("key", "cid").join(linked, F.col("cid") == F.col("node"), "left").select(
         "key", "cid", F.coalesce("component", "cid").alias("component"))
     keys = rows.groupBy("key").agg(F.count("*").alias("sets"), F.min("component").alias("least"), F.max("component").alias("most"))
     # of two sets one is the star's centre, so their pair has been seen
     keys = keys.where("least <> most AND sets > 2").select("key", F.ceil(F.col("sets") / SPLIT).cast("int").alias("blocks"))
-    rows = rows.join(keys, "key").join(classes, "cid")
+    rows = stored(rows.join(keys, "key"), "cross-keys")
+    first = rows.groupBy("cid").agg(F.slice(F.sort_array(F.collect_set("key")), 1, FIRST_KEYS).alias("first"))
+    rows = rows.join(classes.join(first, "cid"), "cid")
     block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", *[c.alias(n) for c, n in ((F.least("block", "other"), "low"), (F.greatest("block", "other"), "high"))],
-                       "cid", "component", "n", "bits", "block")
+                       "cid", "component", "n", "bits", "block", "first")
 
     def run(group: pa.Table) -> pa.Table:
         cid, component, n, block = (group[c].to_numpy() for c in ("cid", "component", "n", "block"))
-        bits = group["bits"].to_pylist()
+        bits, key = group["bits"].to_pylist(), group["key"][0].as_py()
+        first = np.full((len(cid), FIRST_KEYS), key)
+        for i, own in enumerate(group["first"].to_pylist()):
+            first[i, :len(own)] = own
         low, high = group["low"][0].as_py(), group["high"][0].as_py()
         left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
         found_a, found_b = [], []
@@ -470,6 +477,10 @@ def _crossing(tiles: DataFrame, linked: DataFrame, classes: DataFrame, percent:
                 y = right[j:j + BLOCK]
                 n_x, n_y = n[x][:, None], n[y][None, :]
                 p, q = np.nonzero((component[x][:, None] != component[y][None, :]) & (100 * np.minimum(n_x, n_y) >= percent * np.maximum(n_x, n_y)))
+                # a pair that shares a smaller key is compared there; its smallest one is never skipped
+                earlier = (first[x][p][:, :, None] == first[y][q][:, None, :]) & (first[x][p] < key)[:, :, None]
+                here = ~earlier.any(axis=(1, 2))
+                p, q = p[here], q[here]
                 keep = may_reach(n[x][p], n[y][q], differing([bits[k] for k in x[p]], [bits[k] for k in y[q]]), percent)
                 found_a.append(cid[x][p[keep]])
                 found_b.append(cid[y][q[keep]])
