@@ -542,15 +542,29 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     cid = next(c for c in (f"class_{i}" for i in range(len(names) + 1)) if c not in taken)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
-    def run(batches):
-        for b in steps(batches, "text"):
-            ids = [class_id(s) for s in shingle_sets(b.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.int64())], [*names, cid])
-
-    marked = docs.mapInArrow(run, f"{fields}, {cid} long")
     rows = _groups(docs, percent).where(F.col("component").isNotNull())
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "cid")
-    keepers = rows.groupBy("component").agg(F.min(place).alias("k")).select(F.col("k.cid").alias("kept_cid"), F.col("k.doc_id").alias("kept_id"))
+    keepers = stored(rows.groupBy("component").agg(F.min(place).alias("k"), F.count("*").alias("rows")), "keepers")
+    shared = rows.join(keepers.where("rows > 1").select("component"), "component", "left_semi").select("cid").distinct()
+    chosen = _chosen(docs.sparkSession, shared, FILTER_BITS)
+
+    def split(grouped: bool):
+        """Rows that may be in a group of several, with their class; or all others, as they are."""
+        def run(batches):
+            for b in steps(batches, "text"):
+                ids = np.array([class_id(s) for s in shingle_sets(b.column("text").to_pylist())], np.int64)
+                slot = ids & ((1 << FILTER_BITS) - 1)
+                may = (chosen.value[slot >> 5] >> (slot & 31).astype(np.uint32) & 1).astype(bool) & (ids != 0)
+                if grouped:
+                    b = pa.RecordBatch.from_arrays([*b.columns, pa.array(ids)], [*names, cid])
+                yield b.filter(pa.array(may if grouped else ~may))
+
+        return run
+
+    # only rows of groups, and a few more by chance, move
+    alone = docs.mapInArrow(split(False), docs.schema)
+    marked = docs.mapInArrow(split(True), f"{fields}, {cid} long")
+    kept_ids = keepers.select(F.col("k.cid").alias("kept_cid"), F.col("k.doc_id").alias("kept_id"))
     same = (F.col(f"d.{cid}") == F.col("k.kept_cid")) & F.col("d.doc_id").eqNullSafe(F.col("k.kept_id"))
-    kept = marked.alias("d").join(keepers.alias("k"), same, "left_semi").dropDuplicates(["doc_id", cid])
-    return kept.unionByName(marked.where(F.col(cid) == 0)).select(*[f"`{n}`" for n in names])
+    kept = marked.alias("d").join(kept_ids.alias("k"), same, "left_semi").dropDuplicates(["doc_id", cid])
+    return alone.unionByName(kept.select(*[f"`{n}`" for n in names]))
