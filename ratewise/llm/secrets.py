@@ -17,7 +17,6 @@ gives an empty result.
 from __future__ import annotations
 
 import functools
-import hashlib
 import re
 from collections.abc import Iterable
 from dataclasses import dataclass

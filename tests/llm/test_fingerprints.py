@@ -46,10 +46,8 @@ def test_edits_and_likeness(spark, bucket_bytes):
 
 
 def test_order_does_not_matter_and_parts_add_up(spark):
-    rows = [("ab", "One. Two.\nThree! "), ("ba", "Two.\nThree! One. "), ("a", "One. "), ("b", " Two.\nThree! "), ("twice", "One. One. ")]
     texts = {"whole": "One.Two.Three.", "turned": "Three.One.Two.", "part": "One.", "rest": "Two.Three.", "twice": "One.One."}
     df = spark.createDataFrame(list(texts.items()), "name string, text string")
-    del rows
     f = {r["name"]: r["f"] for r in fingerprints.with_fingerprint(df, "text", "f").collect()}
     assert f["whole"] == f["turned"] and f["part"] != f["twice"]
     both = fingerprints.with_fingerprint(df, "text", "f").where("name IN ('part', 'rest')").groupBy().pivot("name", ["part", "rest"]).agg(F.first("f"))
