@@ -49,7 +49,7 @@ class WordIds(dict):
 
     _MARKS = ".,;:!?"
 
-    def __init__(self, path: str, limit: int = 1_500_000):
+    def __init__(self, path: str, limit: int = 600_000):
         super().__init__()
         self.tok, self.limit = load_json_tokenizer(path), limit
         self.model = self.tok.model
