@@ -390,13 +390,17 @@ def _only(arrays: DataFrame, pairs: DataFrame) -> DataFrame:
     return arrays.mapInArrow(run, "cid long, own binary")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid")))
+
+
 def _cids(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    return _ends(pairs).distinct()
 
 
 def _centred(pairs: DataFrame) -> DataFrame:
     """(a, b, salt): ``a`` is the end with more partners; beyond PARTNERS it meets them in several places."""
-    partners = pairs.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").count()
+    partners = _ends(pairs).groupBy("cid").count()
     side = lambda c: partners.select(F.col("cid").alias(c), F.col("count").alias(f"n_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     first = F.col("n_a") >= F.col("n_b")
