@@ -16,8 +16,10 @@ text (rows chosen by hash; the bound limits the fit only):
 
 Null and empty texts have no features and get the model's base score. Rows
 without a label, and labels without a text, teach nothing; of repeated labels
-of one document the higher counts. Without both classes the score is the
-smoothed share of toxic labels. Columns besides the named ones are ignored.
+of one document the higher counts. If the sample lacks a class, the score is the
+smoothed share of toxic ones among all labelled texts. Without any labelled text
+there is no evidence against a document: the score is 0, below every threshold,
+and ``accepted`` keeps all. Columns besides the named ones are ignored.
 """
 
 from __future__ import annotations
@@ -104,15 +106,21 @@ class ToxicityModel:
 _FILTER_MASK = np.uint64((1 << 20) - 1)
 
 
-def _sample(docs: DataFrame, labels: DataFrame, sample_chars: int) -> DataFrame:
-    """(key, text, toxic): labelled texts, of at most about ``sample_chars`` characters, chosen by the text's hash."""
+def _sample(docs: DataFrame, labels: DataFrame, sample_chars: int) -> tuple[DataFrame, int, int]:
+    """(text, toxic) of labelled texts, of at most about ``sample_chars`` characters, chosen by the text's hash; the numbers of all labelled texts and of toxic ones."""
     one = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
     sizes = texts.select("doc_id", F.length("text").alias("n")).join(one, "doc_id")
-    total = sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
-    share = min(1.0, sample_chars / max(1, total))
-    chosen = texts.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
-    return chosen.join(one, "doc_id").select("text", "toxic")
+    found = sizes.agg(F.sum("n").alias("n"), F.count("*").alias("texts"), F.count_if(F.col("toxic") > 0).alias("toxic")).first()
+    # all 64 bits of the hash decide: a share of any size keeps its texts
+    last = max((1 << 64) * sample_chars // max(1, found["n"] or 0) - 1, 0) - (1 << 63)
+    chosen = texts.where(F.xxhash64("text") <= F.lit(last)) if last < (1 << 63) - 1 else texts
+    return chosen.join(one, "doc_id").select("text", "toxic"), found["texts"], found["toxic"]
+
+
+def _unlearned(texts: int, toxic: int) -> ToxicityModel:
+    """The model that gives every text the smoothed share of toxic labels, or 0 without any label."""
+    return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log((toxic + 0.5) / (texts - toxic + 0.5))) if texts else -np.inf)
 
 
 def _sentence_counts(sample: DataFrame) -> DataFrame:
@@ -197,7 +205,8 @@ def _calibrate(z: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, sample_chars: int = SAMPLE_CHARS) -> ToxicityModel:
     """Learn from (doc_id, text) and (doc_id, toxic); pass training documents only."""
-    sample = stored(_sample(docs, labels, sample_chars), "labelled-texts")
+    chosen, *number = _sample(docs, labels, sample_chars)
+    sample = stored(chosen, "labelled-texts")
     features = _features(stored(_sentence_counts(sample), "sentence-ngrams"))
     empty = ToxicityModel(features, np.zeros(len(features)), 0.0)
     shared = docs.sparkSession.sparkContext.broadcast(empty)  # MOST_FEATURES hashes and the terms'
@@ -224,7 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_chars: int = SAMPLE_CHARS) ->
     got = sample.mapInArrow(encode, "toxic int, whole boolean, present array<long>, pair array<array<long>>").toArrow()  # a bounded sample
     toxic = got["toxic"].to_numpy().astype(float)
     if not 0 < toxic.sum() < len(toxic):
-        return ToxicityModel(features[:0], np.zeros(0), float(np.log((toxic.sum() + 0.5) / (len(toxic) - toxic.sum() + 0.5))))
+        return _unlearned(*number)
     present = [np.array(x, np.int64) for x in got["present"].to_pylist()]
     rows = np.repeat(np.arange(len(present)), [len(x) for x in present])
     cols = np.concatenate(present)

@@ -110,6 +110,13 @@ def test_toxicity_edge_cases(awkward, nothing, labelled):
     assert toxicity.score(nothing.drop("score"), model).count() == 0
 
 
+def test_share_below_one_in_a_million_keeps_texts(spark):
+    docs = spark.range(4_000_000).selectExpr("id AS doc_id", "CAST(id AS STRING) AS text")
+    sample, texts, toxic = toxicity._sample(docs, docs.selectExpr("doc_id", "CAST(doc_id % 5 = 0 AS INT) AS toxic"), 25)
+    assert (texts, toxic) == (4_000_000, 800_000)
+    assert 0 < sum(len(r.text) for r in sample.collect()) < 250
+
+
 def test_queries_on_the_small_tables(spark):
     n = table(spark, SF, "documents").count()
     out = queries.QUERIES["op1_toxicity"](spark, SF)

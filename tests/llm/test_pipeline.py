@@ -71,3 +71,16 @@ def test_stages_take_awkward_and_empty_tables(spark, awkward, nothing):
             docs = stored(stage(spark, docs, SF), f"awkward-{name}")
             assert docs.columns == columns
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= docs.count()
+
+
+def test_toxicity_stage_keeps_all_without_evidence(spark, awkward, tmp_path, monkeypatch):
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(20, 40)], "doc_id long, toxic int")
+    labels.where("doc_id < 0").write.parquet(f"{tmp_path}/none/labels.parquet")
+    labels.write.parquet(f"{tmp_path}/some/labels.parquet")
+    kept = corpus_pipeline.remove_toxic(spark, awkward, f"{tmp_path}/none")
+    assert kept.columns == awkward.columns and kept.count() == awkward.count()
+    model = toxicity.fit(awkward, labels.where("doc_id < 0"))
+    assert {(r.score, r.predicted) for r in toxicity.score(awkward.drop("score"), model).collect()} == {(0.0, 0)}
+    monkeypatch.setattr(toxicity.fit, "__defaults__", (0,))  # no text is sampled
+    kept = corpus_pipeline.remove_toxic(spark, awkward, f"{tmp_path}/some")
+    assert kept.count() == awkward.count()
