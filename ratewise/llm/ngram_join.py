@@ -326,7 +326,7 @@ def _tiles(group: pa.Table) -> pa.Table:
     centre = cid[by][first]
     mine = rows["cid"].copy()
     here, below = centre[np.searchsorted(tiles, own)], centre[np.searchsorted(tiles, own - 1)]
-    return pa.table({"key": rows["key"].copy().view(np.int64), "cid": mine, "centre": pa.array(here, mask=here == mine),
+    return pa.table({"key": rows["key"].copy().view(np.int64), "cid": mine, "split": rows["split"].copy(), "centre": pa.array(here, mask=here == mine),
                      "centre_below": pa.array(below, mask=(below == mine) | (below == here))})
 
 
@@ -448,17 +448,18 @@ def _ordered(a, b):
 def _crossing(tiles: DataFrame, linked: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that share a key, lie in different components and pass the bounds.
 
-    Only keys of three sets or more and several components take part. A key with more than SPLIT
-    sets is cut into blocks and every pair of blocks is a task of its own. Sets
+    Only keys of several components take part, and of those that are in one bucket
+    only keys of three sets or more. A key with more than SPLIT sets is cut into blocks and every pair of blocks is a task of its own. Sets
     carry their FIRST_KEYS smallest keys, so that a pair which shares many is
     mostly compared once.
     """
-    rows = tiles.select("key", "cid").join(linked, F.col("cid") == F.col("node"), "left").select(
-        "key", "cid", F.coalesce("component", "cid").alias("component"))
-    keys = rows.groupBy("key").agg(F.count("*").alias("sets"), F.min("component").alias("least"), F.max("component").alias("most"))
-    # of two sets one is the star's centre, so their pair has been seen
-    keys = keys.where("least <> most AND sets > 2").select("key", F.ceil(F.col("sets") / SPLIT).cast("int").alias("blocks"))
-    rows = stored(rows.join(keys, "key"), "cross-keys")
+    rows = tiles.select("key", "cid", "split").join(linked, F.col("cid") == F.col("node"), "left").select(
+        "key", "cid", "split", F.coalesce("component", "cid").alias("component"))
+    keys = rows.groupBy("key").agg(F.count("*").alias("sets"), F.min("component").alias("least"), F.max("component").alias("most"),
+                                    F.bool_or("split").alias("split"))
+    # of two sets in one bucket one is the star's centre, so their pair has been seen; those of a split key may be in two
+    keys = keys.where("least <> most AND (sets > 2 OR split)").select("key", F.ceil(F.col("sets") / SPLIT).cast("int").alias("blocks"))
+    rows = stored(rows.drop("split").join(keys, "key"), "cross-keys")
     first = rows.groupBy("cid").agg(F.slice(F.sort_array(F.collect_set("key")), 1, FIRST_KEYS).alias("first"))
     rows = rows.join(classes.join(first, "cid"), "cid")
     block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
@@ -503,7 +504,7 @@ def link_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     order = spark.sparkContext.broadcast(_frequent(sets))  # MOST_FREQUENT entries
     keys = classes.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1).alias("keys")).first()["keys"] or 0
     tiles = stored(_keys(docs, order, max(1, math.ceil(keys / BUCKET_KEYS)), percent).groupBy("bucket").applyInArrow(
-        _tiles, "key long, cid long, centre long, centre_below long"), "tiles")
+        _tiles, "key long, cid long, split boolean, centre long, centre_below long"), "tiles")
 
     def arrays_of(cids: DataFrame) -> DataFrame:
         return stored(_arrays(docs, _chosen(spark, cids, FILTER_BITS), FILTER_BITS), "arrays")

@@ -69,6 +69,21 @@ def test_join_equals_brute_force(near, monkeypatch, split, block, frequent):
     assert sum(1 for _, _, c in got if c == 0) > 20
 
 
+def test_split_keys_of_two_sets(spark, monkeypatch):
+    for name, value in (("BUCKET_KEYS", 3), ("FREQUENT", 2), ("LOCAL", 1)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rng, rows = random.Random(4), []
+    word = lambda: f"w{rng.randrange(10 ** 9)}"
+    for k in range(6):
+        passage = " ".join(word() for _ in range(40))
+        # long documents have the passage outside their prefix, so only the two near copies share a key
+        rows += [(100 * k + 10 + i, " ".join([passage, *(word() for _ in range(120))])) for i in range(6)]
+        rows += [(100 * k + i, f"{passage} {word()}") for i in range(2)]
+    got = sorted((tuple(r) for r in ngram_join.join_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+    assert got == plain_join(rows)
+    assert [c for i, _, c in got if i % 100 == 1] == [100 * k for k in range(6)]
+
+
 def test_awkward_rows(awkward):
     got = sorted((tuple(r) for r in ngram_join.join_documents(awkward).collect()), key=repr)
     assert got == plain_join([(r.doc_id, r.text) for r in awkward.collect()])
