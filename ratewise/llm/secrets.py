@@ -83,7 +83,8 @@ def _any(parts: Iterable) -> object:
 
 def _of_strings(strings: Iterable[str]) -> object:
     """Some string of these occurs: any of them, each with all its trigrams."""
-    folded = sorted({s.lower().encode() for s in strings})
+    # bytes are folded, as the index folds them: only ASCII letters change
+    folded = sorted({s.encode().lower() for s in strings})
     return _any(_all(s[i:i + 3] for i in range(len(s) - 2)) for s in folded)
 
 

@@ -39,6 +39,13 @@ def test_queries_never_exclude_a_match(pattern, text):
     assert secrets.find_spans([text, "nothing here"], rule)[0] == plain_spans(text, rule) != []
 
 
+def test_literals_beyond_ascii():
+    rules = (secrets.Rule("upper", "\u00c9COLE=[a-z]+"), secrets.Rule("lower", "\u00e9t\u00e9=[a-z]+"), secrets.Rule("dotted", "\u0130D=[a-z]+"))
+    texts = ["x \u00c9COLE=abc \u00e9cole=abc", "\u00e9t\u00e9=b \u00c9T\u00c9=b", "\u0130D=c", "ecole=abc"]
+    assert secrets.find_spans(texts, rules) == [plain_spans(t, rules) for t in texts]
+    assert [[k for _, k, _ in spans] for spans in secrets.find_spans(texts, rules)] == [["upper"], ["lower"], ["dotted"], []]
+
+
 def test_mandatory_trigrams():
     assert secrets.trigram_query("[0-9a-f]+") is True
     assert secrets.trigram_query("AKIA[A-Z]+") == ("and", (b"aki", b"kia"))
