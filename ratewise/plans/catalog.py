@@ -371,15 +371,15 @@ def q_stream_realtime_recs(spark, sf_dir):
 def q_stream_upsert_recs(spark, sf_dir):
     """Triggers replayed in time order, upserted per user, by two runs: the second has a new checkpoint.
 
-    The first run takes the first half of the feed and ends after a snapshot;
-    the second takes the rest. One row per triggered user, including users
+    The first run takes the first half of the feed, with triggers of no time, and
+    ends after a snapshot; the second takes the rest. One row per triggered user, including users
     whose new list is empty.
     """
     tables_now = _realtime_tables(spark, sf_dir)
     base = scratch_path(spark, "stream-upsert")
     trig = td.trigger_events(td.rating_events(spark, sf_dir))
     middle = trig.agg(F.percentile_approx(F.col("ts").cast("timestamp").cast("double"), 0.5)).first()[0]
-    late = F.col("ts").cast("timestamp").cast("double") > F.lit(middle)
+    late = F.coalesce(F.col("ts").cast("timestamp").cast("double") > F.lit(middle), F.lit(False))
     sink = realtime_stream.recs_sink(f"{base}/out")
     for half, part in enumerate((trig.where(~late), trig.where(late))):
         files = stream_sources.stage_event_files(part, f"{base}/feed{half}")
