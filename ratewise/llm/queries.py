@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratewise.llm import byte_bpe, conversations, fingerprints, language, ngram_join, packing, secrets, token_counts, toxicity, vector_join, warc
+from ratewise.llm import byte_bpe, collocations, conversations, fingerprints, language, ngram_join, packing, secrets, token_counts, toxicity, vector_join, warc
 from ratewise.llm.common import held_out, table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -61,13 +61,17 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(conversations.damage(table(spark, sf_dir, "conversations")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_language_filters, op3_best_fit_packing, op4_lattice_join, op5_byte_bpe, op6_warc, op7_ngram_join, op8_fingerprints, op9_token_counts, op10_secret_scan,
-                             op13_conversation_repair)
+                             op12_collocations, op13_conversation_repair)
 }
 
 #: RFC 4648 base32 of a SHA-1: five hexadecimal digits make four characters (fixed alphabet).
@@ -105,4 +109,23 @@ SQL: dict[str, str] = {
         l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
         r(doc_id, other) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.other)
         SELECT r.doc_id, n.n AS n_shingles, min(other) AS component_id FROM r JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id, n.n""",
+    "op12_collocations": r"""
+        WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM t),
+        w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+        n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+        k AS (SELECT unnest([1, 2, 3, 4]) AS k),
+        g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM w, k WHERE len(w) >= k),
+        f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+        c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS x FROM f WHERE k > 1),
+        s AS (SELECT lang, a, unnest(list_transform(range(1, c.k - j.k + 2), lambda i: array_to_string(x[i:i + j.k - 1], ' '))) AS phrase
+              FROM c JOIN k j ON j.k > 1 AND j.k < c.k),
+        m AS (SELECT lang, phrase, max(a) AS longest FROM s GROUP BY ALL),
+        v AS (SELECT c.* FROM c LEFT JOIN m USING (lang, phrase) WHERE longest IS NULL OR 100::HUGEINT * longest < 80::HUGEINT * a),
+        d AS (SELECT v.lang, v.phrase, a, j.k, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score FROM v JOIN k j ON j.k < v.k
+              JOIN f x ON x.lang = v.lang AND x.phrase = array_to_string(v.x[1:j.k], ' ')
+              JOIN f y ON y.lang = v.lang AND y.phrase = array_to_string(v.x[j.k + 1:], ' ')),
+        b AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+        SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM o JOIN n USING (lang) WHERE rank <= 2000""",
 }
