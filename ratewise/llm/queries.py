@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratewise.llm import byte_bpe, collocations, conversations, fingerprints, language, ngram_join, packing, secrets, token_counts, toxicity, vector_join, warc
+from ratewise.llm import byte_bpe, collocations, conversations, fingerprints, katz, language, ngram_join, packing, secrets, token_counts, toxicity, vector_join, warc
 from ratewise.llm.common import held_out, table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -61,6 +61,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op11_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -71,7 +75,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_language_filters, op3_best_fit_packing, op4_lattice_join, op5_byte_bpe, op6_warc, op7_ngram_join, op8_fingerprints, op9_token_counts, op10_secret_scan,
-                             op12_collocations, op13_conversation_repair)
+                             op11_katz, op12_collocations, op13_conversation_repair)
 }
 
 #: RFC 4648 base32 of a SHA-1: five hexadecimal digits make four characters (fixed alphabet).
