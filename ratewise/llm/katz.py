@@ -173,89 +173,90 @@ def tokens(docs: DataFrame, train: Column) -> Corpus:
 
 # ---- one block in a task
 
+def _numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values, place of each value among them)."""
+    order = np.argsort(key)
+    ranked = key[order]
+    new = np.concatenate([[True], ranked[1:] != ranked[:-1]]) if len(key) else np.zeros(0, bool)
+    place = np.empty(len(key), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return ranked[new], place
+
+
 class _Level:
-    """Distinct (history, word) pairs of a block at one level, in the order in which they travel."""
+    """Distinct n-grams of a block at one level, and the buckets that they belong to.
+
+    ``at`` are the positions where they end, ``pair`` the number of the n-gram there.
+    """
 
-    def __init__(self, block: _Block, level: int, numbers: dict, train_only: bool):
+    def __init__(self, block: _Block, level: int, numbers: dict):
         self.level = level
         if level == 1:
-            self.at = np.flatnonzero(block.trained) if train_only else np.arange(len(block.tokens))
-            local, self.pair = np.unique(block.tokens[self.at], return_inverse=True)
-            self.word, self.history = block.hashes[local], np.zeros(len(local), np.int64)
+            self.at, self.pair = np.arange(len(block.tokens)), block.tokens
+            self.word, self.history = block.hashes, np.zeros(len(block.hashes), np.int64)
             route = _mixed(self.word)
         else:
-            history = np.concatenate([[0], block.node[:-1]])
-            history[block.first] = 0
-            # unknown words are asked for too: they need the history's weight
-            ok = (history > 0) & block.trained if train_only else history > 0
-            self.at = np.flatnonzero(ok)
-            histories, number = np.unique(history[self.at], return_inverse=True)
-            _, first, self.pair = np.unique(number * len(block.hashes) + block.tokens[self.at], return_index=True, return_inverse=True)
-            here = self.at[first]
-            self.word, self.history = block.word[here], histories[number[first]]
-            # counts of what the pair falls back to, and of the history
-            self.lower, self.lower_total = block.count[here], block.total[here]
-            self.of_history = block.count[here - 1] if len(here) else block.count[:0]
+            before = np.concatenate([[-1], block.here[:-1]])
+            before[block.first] = -1
+            # histories known in training; unknown words are asked for too, they need the history's weight
+            self.at = np.flatnonzero((before >= 0) & (np.append(block.node, 0)[before] > 0))
+            key, self.pair = _numbered(before[self.at] * len(block.hashes) + block.tokens[self.at])
+            own = key // len(block.hashes)
+            self.word, self.history = block.word[key % len(block.hashes)], block.node[own]
+            self.of_history = block.count[own]
+            # what the n-gram falls back to ends at the same place
+            one = np.zeros(len(key), np.int64)
+            one[self.pair] = block.here[self.at]
+            self.lower, self.lower_total = block.count[one], block.total[one]
             route = _mixed(self.history.view(np.uint64))
-            hot = self.of_history >= numbers["hot_from"]
-            route = np.where(hot, _mixed(route ^ _mixed(self.word.view(np.uint64))), route)
-        bucket = (route % np.uint64(numbers["buckets"])).astype(np.int64)
-        self.order = np.lexsort((self.word, self.history, bucket))
-        self.bucket = bucket[self.order]
-        self.cut = np.flatnonzero(np.diff(self.bucket, prepend=-1))
-        self.ends = np.append(self.cut[1:], len(self.bucket))
-
-    def spread(self, values: np.ndarray) -> np.ndarray:
-        """Values of pairs in travelling order -> values of the positions ``at``."""
+            hot = np.flatnonzero(self.of_history >= numbers["hot_from"])
+            route[hot] = _mixed(route[hot] ^ _mixed(self.word[hot].view(np.uint64)))
+        self.bucket = (route % np.uint64(numbers["buckets"])).astype(np.int64)
+        self.order = np.argsort(self.bucket.astype(np.uint16) if numbers["buckets"] < 1 << 16 else self.bucket, kind="stable")
+
+    def restored(self, values: np.ndarray) -> np.ndarray:
+        """Values in the order of travel -> by number of the n-gram."""
         back = np.empty(len(values), values.dtype)
         back[self.order] = values
-        return back[self.pair]
+        return back
 
 
 class _Block:
-    """Tokens of a block, and what is known of them up to some level."""
+    """Tokens of a block, and what is known of them up to some level.
+
+    ``here`` is the number of the last level's n-gram that ends at a position (-1: none was asked for); by that number go its node,
+    count and the divisor of its probability. ``word`` numbers words by their place in the block.
+    """
 
     def __init__(self, data: bytes, train: list[bool]):
         self.sizes, self.hashes, self.tokens = unpack(data)
         self.first = np.cumsum(self.sizes) - self.sizes
         self.trained = np.repeat(np.array(train, bool), self.sizes)
-        n = len(self.tokens)
-        #: Per position: number of the word, node and count of the n-gram that ends here, divisor of its probability, log10 probability.
-        self.word = self.node = self.count = self.total = np.zeros(n, np.int64)
-        self.known = np.zeros(n, bool)
-        self.score = np.zeros(n)
+        self.here = self.node = self.count = self.total = self.word = np.zeros(0, np.int64)
+        self.known, self.base, self.score = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
 
-    def answered(self, level: int, answers: list[bytes], numbers: dict, last: bool) -> None:
+    def answered(self, level: int, answers: list[bytes], numbers: dict) -> None:
         """Take the answers of a level's buckets (in order of bucket): counts, nodes and weights."""
-        asked = _Level(self, level, numbers, False)
+        asked = _Level(self, level, numbers)
         parts = [unpack(a) for a in answers]
-        value = np.concatenate([p[0] for p in parts] or [np.zeros(0, np.int64)])
-        node = np.concatenate([p[1] for p in parts] or [np.zeros(0, np.int64)])
-        value, node = asked.spread(value), asked.spread(node)
+        value = asked.restored(np.concatenate([p[0] for p in parts] or [np.zeros(0, np.int64)]))
+        node = asked.restored(np.concatenate([p[1] for p in parts] or [np.zeros(0, np.int64)]))
         count, nothing_left = value >> 1, value & 1
         d = numbers["discounts"][level - 1]
         if level == 1:
             total = np.full(len(count), numbers["total"], np.int64)
-            self.known, self.word = count > 0, node.copy()
-            self.score = np.log10(np.where(count > 0, _discounted(count, d) / total, numbers["unknown"]))
-            self.base = np.log10((count + 1) / (numbers["words"] + numbers["vocabulary"] + 1))
-            self.count, self.node, self.total = count, node, total
-            return
-        weight = np.concatenate([_weights(p) for p in parts] or [np.zeros(0)])
-        weight = asked.spread(weight)
-        total = self.count[asked.at - 1] + nothing_left
-        seen = count > 0
-        lower = self.score[asked.at]
-        with np.errstate(divide="ignore"):
-            self.score = self.score.copy()
-            self.score[asked.at] = np.where(seen, np.log10(_discounted(count, d) / np.maximum(total, 1)), np.log10(weight) + lower)
-        if not last:
-            self.count, self.node, self.total = (self._placed(asked.at, x) for x in (count, node, total))
-
-    def _placed(self, at: np.ndarray, values: np.ndarray) -> np.ndarray:
-        whole = np.zeros(len(self.tokens), np.int64)
-        whole[at] = values
-        return whole
+            self.word = node
+            self.known = (count > 0).astype(np.int64)[self.tokens]
+            self.base = np.log10((count + 1) / (numbers["words"] + numbers["vocabulary"] + 1))[self.tokens]
+            self.score = np.log10(np.where(count > 0, _discounted(count, d) / total, numbers["unknown"]))[self.tokens]
+        else:
+            total = asked.of_history + nothing_left
+            weight = asked.restored(np.concatenate([_weights(p) for p in parts] or [np.zeros(0)]))
+            own = np.log10(np.where(count > 0, _discounted(count, d) / np.maximum(total, 1), weight))
+            self.score[asked.at] = own[asked.pair] + np.where(count > 0, 0.0, 1.0)[asked.pair] * self.score[asked.at]
+        self.count, self.node, self.total = count, node, total
+        self.here = np.full(len(self.tokens), -1, np.int64)
+        self.here[asked.at] = asked.pair
 
 
 def _weights(parts: list[np.ndarray]) -> np.ndarray:
@@ -267,32 +268,36 @@ def _weights(parts: list[np.ndarray]) -> np.ndarray:
 
 
 def _grouped(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct values, how often) of a sorted array."""
+    """(value, how often) of each run of equal values."""
     cut = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, np.int64)
     return a[cut], np.diff(np.append(cut, len(a)))
 
 
-def _messages(block: int, level: _Level, counted: bool) -> pa.RecordBatch | None:
-    """(bucket, block, data) of each bucket that the block's pairs go to."""
-    if not len(level.cut):
-        return None
+def _messages(block: int, held: _Block, level: _Level, counted: bool) -> pa.RecordBatch | None:
+    """(bucket, block, data) of each bucket that the block's n-grams go to; those of training texts with their counts, or all of them."""
     o = level.order
-    word, history = level.word[o], level.history[o]
-    count = np.bincount(level.pair, minlength=len(o))[o].astype(np.int64) if counted else None
+    if counted:
+        count = np.bincount(level.pair[held.trained[level.at]], minlength=len(o))
+        o = o[count[o] > 0]
+    if not len(o):
+        return None
+    bucket, word, history = level.bucket[o], level.word[o], level.history[o]
+    cut = np.flatnonzero(np.diff(bucket, prepend=-1))
     data = []
-    for a, z in zip(level.cut.tolist(), level.ends.tolist()):
+    for a, z in zip(cut.tolist(), [*cut[1:].tolist(), len(o)]):
         if level.level == 1:
-            parts = [_steps_of(word[a:z])]
+            parts = [word[a:z]]
         else:
             h, n = _grouped(history[a:z])
-            parts = [_steps_of(h), n.astype(np.int64), word[a:z]]
+            parts = [h, n, word[a:z]]
         if counted:
-            parts.append(count[a:z])
+            own = o[a:z]
+            parts.append(count[own])
             if level.level > 1:
-                own = o[a:z]
-                parts += [level.lower[own], level.lower_total[own][np.cumsum(n) - n], level.of_history[own][np.cumsum(n) - n]]
+                begin = own[np.cumsum(n) - n]
+                parts += [level.lower[own], level.lower_total[own], level.of_history[begin]]
         data.append(pack(*parts))
-    return pa.RecordBatch.from_arrays([pa.array(level.bucket[level.cut]), pa.array([block] * len(data), pa.int64()), pa.array(data, pa.binary())], ["bucket", "block", "data"])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[cut]), pa.array([block] * len(data), pa.int64()), pa.array(data, pa.binary())], ["bucket", "block", "data"])
 
 
 def _gathered(corpus: Corpus, upto: int) -> DataFrame:
@@ -306,13 +311,13 @@ def _gathered(corpus: Corpus, upto: int) -> DataFrame:
     return rows.repartition("block").sortWithinPartitions("block", "level", "bucket")
 
 
-def _each_block(batches, upto: int, numbers: dict, order: int):
+def _each_block(batches, upto: int, numbers: dict):
     """(block, doc_ids, _Block) with the answers of all levels before ``upto``."""
     block, ids, held, answers = None, None, None, {}
 
     def ready():
         for k in range(1, upto):
-            held.answered(k, answers.get(k, []), numbers, k == order)
+            held.answered(k, answers.get(k, []), numbers)
         return block, ids, held
 
     for b in batches:
@@ -332,11 +337,11 @@ def _each_block(batches, upto: int, numbers: dict, order: int):
 
 def _sent(corpus: Corpus, model: Model, level: int, counted: bool) -> DataFrame:
     """(bucket, block, data): pairs of a level, of training texts with counts, or of all to be looked up."""
-    numbers, order = model.numbers(), model.order
+    numbers = model.numbers()
 
     def run(batches):
-        for block, _, held in _each_block(batches, level, numbers, order):
-            out = _messages(block, _Level(held, level, numbers, counted), counted)
+        for block, _, held in _each_block(batches, level, numbers):
+            out = _messages(block, held, _Level(held, level, numbers), counted)
             if out is not None:
                 yield out
 
@@ -345,9 +350,14 @@ def _sent(corpus: Corpus, model: Model, level: int, counted: bool) -> DataFrame:
 
 # ---- one bucket in a task
 
-def _pairs(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(history, word) of a message's pairs."""
-    return np.repeat(np.cumsum(parts[0]), parts[1]), parts[2]
+def _sorted_pairs(history: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Order by history, then word."""
+    if not len(word):
+        return np.zeros(0, np.int64)
+    wide = int(word.max()) + 1
+    if int(history.max()) < (1 << 62) // wide:
+        return np.argsort(history * np.int64(wide) + word.astype(np.int64))
+    return np.lexsort((word, history))
 
 
 def _counted(level: int, lower: list[float] | None, hot_from: int):
@@ -356,13 +366,13 @@ def _counted(level: int, lower: list[float] | None, hot_from: int):
         messages = [unpack(x) for x in group["data"].to_pylist()]
         bucket = group["bucket"][0].as_py()
         if level == 1:
-            word, count = np.concatenate([np.cumsum(m[0], dtype=np.uint64) for m in messages]), np.concatenate([m[1] for m in messages])
+            word, count = (np.concatenate([m[i] for m in messages]) for i in (0, 1))
+            by = np.argsort(word)
             history = np.zeros(len(word), np.int64)
         else:
-            history, word = (np.concatenate(x) for x in zip(*(_pairs(m) for m in messages)))
-            count, below = (np.concatenate([m[i] for m in messages]) for i in (3, 4))
-            below_total, of_history = (np.concatenate([np.repeat(m[i], m[1]) for m in messages]) for i in (5, 6))
-        by = np.lexsort((word, history))
+            word, count, below, below_total = (np.concatenate([m[i] for m in messages]) for i in (2, 3, 4, 5))
+            history, of_history = (np.concatenate([np.repeat(m[i], m[1]) for m in messages]) for i in (0, 6))
+            by = _sorted_pairs(history, word)
         word, history = word[by], history[by]
         cut = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (history[1:] != history[:-1])]))
         total = np.add.reduceat(count[by], cut)
@@ -375,18 +385,16 @@ def _counted(level: int, lower: list[float] | None, hot_from: int):
             own = by[cut]
             share = _discounted(below[own], lower) / np.maximum(below_total[own], 1)
             histories, n = _grouped(history)
-            seen = np.add.reduceat(share, np.cumsum(n) - n)
-            rows["data"] = [pack(_steps_of(histories), n.astype(np.int64), word, total, seen)]
-            dealt = np.flatnonzero(of_history[own][np.cumsum(n) - n] >= hot_from)
-            if len(dealt):
-                begin = np.cumsum(n) - n
-                for i in dealt.tolist():
-                    mine = total[begin[i]:begin[i] + n[i]]
-                    rows["bucket"].append(bucket)
-                    rows["history"].append(int(histories[i]))
-                    rows["stats"].append([*np.bincount(mine[mine <= DISCOUNTED], minlength=DISCOUNTED + 1).tolist(), int(mine.sum())])
-                    rows["seen"].append(float(seen[i]))
-                    rows["data"].append(None)
+            begin = np.cumsum(n) - n
+            seen = np.add.reduceat(share, begin)
+            rows["data"] = [pack(_steps_of(histories), n, word, total, seen)]
+            for i in np.flatnonzero(of_history[own][begin] >= hot_from).tolist():
+                mine = total[begin[i]:begin[i] + n[i]]
+                rows["bucket"].append(bucket)
+                rows["history"].append(int(histories[i]))
+                rows["stats"].append([*np.bincount(mine[mine <= DISCOUNTED], minlength=DISCOUNTED + 1).tolist(), int(mine.sum())])
+                rows["seen"].append(float(seen[i]))
+                rows["data"].append(None)
         return pa.table({"bucket": pa.array(rows["bucket"], pa.int64()), "history": pa.array(rows["history"], pa.int64()),
                          "stats": pa.array(rows["stats"], pa.list_(pa.int64())), "seen": pa.array(rows["seen"], pa.float64()), "data": pa.array(rows["data"], pa.binary())})
 
@@ -401,55 +409,73 @@ def _alpha(by_count: np.ndarray, total: np.ndarray, seen: np.ndarray, d: list[fl
     return nothing, left / np.maximum(1 - seen, 1e-300)
 
 
+def _found(known: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, whether there) of values in a sorted array that is not empty."""
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    return at, known[at] == asked
+
+
+class _Table:
+    """A bucket's part of one level, ready to be asked."""
+
+    def __init__(self, level: int, data: bytes | None, d: list[float], hot: tuple | None):
+        self.level, self.hot = level, hot
+        self.parts = unpack(data) if data is not None else None
+        if self.parts is None:
+            return
+        if level == 1:
+            self.words, self.total = np.cumsum(self.parts[0], dtype=np.uint64), self.parts[1]
+            return
+        steps_, n, self.words, self.total, seen = self.parts
+        self.histories = np.cumsum(steps_)
+        self.begin = np.cumsum(n) - n
+        self.wide = int(self.words.max()) + 1
+        # places of histories are few enough for one key of place and word
+        self.keys = np.repeat(np.arange(len(n)) * self.wide, n) + self.words
+        small = np.repeat(np.arange(len(n)) * (DISCOUNTED + 2), n) + np.minimum(self.total, DISCOUNTED + 1)
+        by_count = np.bincount(small, minlength=len(n) * (DISCOUNTED + 2)).reshape(-1, DISCOUNTED + 2)[:, :DISCOUNTED + 1]
+        self.nothing, self.alpha = _alpha(by_count, np.add.reduceat(self.total, self.begin), seen, d)
+
+    def singles(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(count, place) of words."""
+        if self.parts is None:
+            return np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
+        at, there = _found(self.words, word)
+        return np.where(there, self.total[at], 0), at
+
+    def pairs(self, histories: np.ndarray, n: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(count, place, whether the history leaves nothing, alpha) of words after histories."""
+        count, place = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
+        nothing, alpha = np.zeros(len(histories), bool), np.ones(len(histories))
+        if self.parts is not None:
+            at, there = _found(self.histories, histories)
+            nothing, alpha = there & self.nothing[at], np.where(there, self.alpha[at], 1.0)
+            place, same = _found(self.keys, np.repeat(at * self.wide, n) + np.minimum(word, self.wide - 1))
+            count = np.where(same & (word < self.wide) & np.repeat(there, n), self.total[place], 0)
+        if self.hot is not None:
+            at, there = _found(self.hot[0], histories)
+            nothing, alpha = np.where(there, self.hot[1][at], nothing), np.where(there, self.hot[2][at], alpha)
+        return count, place, np.repeat(nothing, n), np.repeat(alpha, n)
+
+
 def _looked_up(level: int, d: list[float], hot: Broadcast | None, buckets: int, numbered: bool):
-    """Answer each message to a bucket: per pair twice its count (one more if its history leaves nothing), its node, and alpha for pairs not seen."""
+    """Answer each message to a bucket: per n-gram twice its count (one more if its history leaves nothing), its node, and alpha for those not seen."""
     def run(group: pa.Table) -> pa.Table:
         blocks, data = group["block"].to_pylist(), group["data"].to_pylist()
         bucket = group["bucket"][0].as_py()
-        table = next((unpack(x) for b, x in zip(blocks, data) if b is None), None)
+        table = _Table(level, next((x for b, x in zip(blocks, data) if b is None), None), d, hot.value if hot is not None else None)
         out = []
         for block, message in zip(blocks, data):
             if block is None:
                 continue
-            parts = unpack(message)
             if level == 1:
-                word = np.cumsum(parts[0], dtype=np.uint64)
-                if table is None:
-                    found, count = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
-                else:
-                    known = np.cumsum(table[0], dtype=np.uint64)
-                    found = np.minimum(np.searchsorted(known, word), len(known) - 1)
-                    count = np.where(known[found] == word, table[1][found], 0)
-                nothing = weights = None
+                count, place = table.singles(*unpack(message))
+                value, weights = count * 2, []
             else:
-                asked, word = _pairs(parts)
-                if table is None:
-                    found, count = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
-                    nothing, alpha = np.zeros(len(word), bool), np.ones(len(word))
-                else:
-                    histories, n, words, total, seen = table[0], table[1], table[2], table[3], table[4]
-                    histories = np.cumsum(histories)
-                    begin = np.cumsum(n) - n
-                    # (place of the history, word) as one sorted key
-                    wide = int(max(words.max(), word.max(initial=0))) + 1
-                    at = np.minimum(np.searchsorted(histories, asked), len(histories) - 1)
-                    there = histories[at] == asked
-                    keys = np.repeat(np.arange(len(n)), n) * wide + words
-                    found = np.minimum(np.searchsorted(keys, at * wide + word), len(keys) - 1)
-                    count = np.where(there & (keys[found] == at * wide + word), total[found], 0)
-                    small = np.minimum(total, DISCOUNTED + 1)
-                    by_count = np.bincount(np.repeat(np.arange(len(n)), n) * (DISCOUNTED + 2) + small, minlength=len(n) * (DISCOUNTED + 2)).reshape(-1, DISCOUNTED + 2)[:, :DISCOUNTED + 1]
-                    left_nothing, weight = _alpha(by_count, np.add.reduceat(total, begin), seen, d)
-                    nothing, alpha = np.where(there, left_nothing[at], False), np.where(there, weight[at], 1.0)
-                if hot is not None:
-                    dealt, dealt_nothing, dealt_alpha = hot.value
-                    place = np.minimum(np.searchsorted(dealt, asked), len(dealt) - 1)
-                    is_hot = dealt[place] == asked
-                    nothing, alpha = np.where(is_hot, dealt_nothing[place], nothing), np.where(is_hot, dealt_alpha[place], alpha)
-                weights = alpha[count == 0]
-            node = np.where(count > 0, found * buckets + bucket + 1, 0) if numbered else np.zeros(len(count), np.int64)
-            value = count * 2 + (0 if nothing is None else nothing.astype(np.int64))
-            out.append((block, bucket, pack(value, node, *([] if weights is None else [weights]))))
+                count, place, nothing, alpha = table.pairs(*unpack(message))
+                value, weights = count * 2 + nothing, [alpha[count == 0]]
+            node = np.where(count > 0, place * buckets + bucket + 1, 0) if numbered else np.zeros(len(count), np.int64)
+            out.append((block, bucket, pack(value, node, *weights)))
         return pa.table({c: pa.array(v, t) for c, v, t in zip(("block", "bucket", "data"), zip(*out) if out else ([], [], []), (pa.int64(), pa.int64(), pa.binary()))})
 
     return run
@@ -505,7 +531,7 @@ def score(corpus: Corpus, model: Model) -> DataFrame:
     names = ["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches):
-        for _, ids, held in _each_block(batches, order + 1, numbers, order):
+        for _, ids, held in _each_block(batches, order + 1, numbers):
             add = functools.partial(np.add.reduceat, indices=held.first)
             yield pa.RecordBatch.from_arrays(
                 [ids.values, pa.array(held.trained[held.first]), pa.array(held.sizes), pa.array(add(held.known.astype(np.int64))),
