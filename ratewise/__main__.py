@@ -57,6 +57,7 @@ def main(argv: list[str] | None = None) -> None:
             sp.add_argument("--max-per-batch", type=int)
             sp.add_argument("--text-dir")
             sp.add_argument("--recent")
+            sp.add_argument("--ratings-dir", help="folder of rating lines that feed the profiles kept in the stream's state")
             sp.add_argument("--interval", default="2 seconds")
             sp.add_argument("--available-now", action="store_true")
     a = p.parse_args(argv)
@@ -78,6 +79,9 @@ def main(argv: list[str] | None = None) -> None:
         else:
             p.error("stream needs --kafka/--topic or --text-dir")
         trigger = {"availableNow": True} if a.available_now else {"processingTime": a.interval}
+        if a.ratings_dir:
+            jobs.profile_streaming_job(spark, a.base, lines, text.text_stream_lines(spark, a.ratings_dir), a.checkpoint, trigger=trigger).awaitTermination()
+            return
         # read anew for every micro-batch
         recent = (lambda: text.parse_recent_lists(spark.read.parquet(a.recent))) if a.recent else None
         jobs.streaming_job(spark, a.base, lines, a.checkpoint, recent=recent, trigger=trigger).awaitTermination()

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from ..functions.nested import decode_recs, encode_recs
 from ..functions.vectors import dot
-from ..operators import als, evaluation, ranking, realtime, recommend, similarity, stats
+from ..operators import als, bitmaps, evaluation, ranking, realtime, recommend, similarity, stats
 from ..schemas import RATING
 from ..session import materialize, scratch_path
-from ..sources import tables, text
+from ..sources import log_source, tables, text
 from ..sources import testdata as td
-from ..streaming import realtime_stream, recent_state
+from ..streaming import profile_state, realtime_stream, recent_state
 from ..streaming import sources as stream_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,7 +187,7 @@ def realtime_inputs(spark, sf_dir):
     # the shared checkpoint folder instead of running the block job twice
     edges = materialize(_edges(spark, sf_dir))
     recent = realtime.recent_ratings(ev)
-    seen = td.seen_items(ev)
+    seen = bitmaps.of(td.seen_items(ev))
     triggers = realtime.newest_per_user(td.trigger_events(ev))
     return ev, edges, recent, seen, triggers
 
@@ -357,12 +357,28 @@ def _run(query_handle) -> None:
 
 @query("stream_realtime_recs")
 def q_stream_realtime_recs(spark, sf_dir):
-    """The event table as a folder of many files, streamed in several micro-batches that re-score the triggering users."""
+    """The event table as a folder of many files, streamed in several micro-batches by two runs.
+
+    Users' profiles (last ratings, seen items, newest trigger) live in the stream's state: after the start only
+    the stream is read. The first run ends before the feed does; the second goes on from its checkpoint.
+    """
     base = scratch_path(spark, "stream-recs")
     files = stream_sources.stage_event_files(td.table(spark, sf_dir, "events"), f"{base}/events.parquet")
-    stream = td.trigger_events(td.events_to_ratings(stream_sources.event_file_stream(spark, base, files)))
     sink = realtime_stream.recs_sink(f"{base}/out")
-    _run(realtime_stream.start(stream, _realtime_tables(spark, sf_dir), sink, f"{base}/ckpt", threshold=PAIR_THRESHOLD))
+    edges = materialize(_edges(spark, sf_dir))
+
+    def run(trigger):
+        ev = td.events_to_ratings(stream_sources.event_file_stream(spark, base, files))
+        feed = profile_state.feed(ev, F.col("event_type") == td.TRIGGER_EVENT, F.col("event_type") == td.SEEN_EVENT)
+        return profile_state.start(feed, edges, sink, f"{base}/ckpt", threshold=PAIR_THRESHOLD, trigger=trigger)
+
+    first = run({"processingTime": "0 seconds"})
+    while first.isActive and not first.recentProgress:
+        first.awaitTermination(0.2)
+    first.stop()
+    if first.exception() is not None:
+        raise RuntimeError(str(first.exception()))
+    _run(run(None))
     out = realtime_stream.latest_flat(spark, sink)
     return out.select("uid", "rank", "mid", F.round("score", SCORE_DIGITS).alias("score"))
 
@@ -407,6 +423,30 @@ def q_stream_recent_state(spark, sf_dir):
     return recent_state.latest_flat(spark, sink)
 
 
+@query("stream_source_ratings")
+def q_stream_source_ratings(spark, sf_dir):
+    """Rating event lines read through the log source, in several rate-limited batches and across a restart."""
+    base = scratch_path(spark, "stream-source")
+    lines = event_lines(spark, sf_dir)
+    lines.write.text(f"{base}/log")
+    batch = max(1, -(-(lines.agg(F.sum(F.octet_length("value") + 1)).first()[0] or 0) // 6))  # some six batches
+
+    def run():
+        stream = text.parse_rating_events(log_source.log_lines(spark, f"{base}/log", "earliest", "ratings", batch, split_bytes=max(1, batch // 4)))
+        return stream.writeStream.format("parquet").option("checkpointLocation", f"{base}/ckpt").trigger(processingTime="0 seconds").start(f"{base}/out")
+
+    first = run()
+    while first.isActive and not first.recentProgress:
+        first.awaitTermination(0.2)
+    first.stop()
+    second = run()
+    try:
+        second.processAllAvailable()
+    finally:
+        second.stop()
+    return spark.read.schema("uid int, mid int, score double, timestamp int").parquet(f"{base}/out")
+
+
 # -- ALS ------------------------------------------------------------------
 # The reference's rank, iterations and grid. Fitted values differ in the last
 # digits between machines, so these queries return what is determined: which

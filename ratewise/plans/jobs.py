@@ -39,7 +39,7 @@ from ..schemas import ITEM_EDGES, MOVIE, RATING
 from ..session import materialize
 from ..sources import tables, text
 from ..sources.sinks import UpsertLog
-from ..streaming import realtime_stream
+from ..streaming import profile_state, realtime_stream
 
 # Fixed output names: users find the tables under these.
 MOVIE_T, RATING_T = "Movie", "Rating"
@@ -164,6 +164,27 @@ def streaming_job(spark: SparkSession, base: str, lines: DataFrame, checkpoint:
     return realtime_stream.start(triggers, tables_now, sink, checkpoint, trigger, n, threshold, compact_every=compact_every)
 
 
+def profile_streaming_job(spark: SparkSession, base: str, lines: DataFrame, ratings: DataFrame, checkpoint: str, trigger: dict | None = None,
+                          n: int = realtime.CANDIDATES_N, threshold: float = realtime.PAIR_THRESHOLD,
+                          compact_every: int = realtime_stream.COMPACT_EVERY) -> StreamingQuery:
+    """Score a stream of trigger lines into StreamRecs with users' profiles kept in the stream's state.
+
+    ``ratings`` is a second stream of rating lines: they join their users' recent lists and rated
+    items in the same query, and a user whose profile changes is scored anew. Rating is read once,
+    as the state that the first start begins with; no micro-batch reads it.
+    """
+    edges = read(spark, base, MOVIE_RECS, ITEM_EDGES).select("mid", "rank", "sim_mid", "score").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def rows(events: DataFrame, asks: bool) -> DataFrame:
+        timed = events.withColumn("ts", F.col("timestamp").cast("long")).withColumn("event_id", F.col("mid").cast("long"))
+        return profile_state.feed(timed, F.lit(asks), F.lit(not asks)).withColumn("is_rating", F.lit(not asks))
+
+    both = rows(text.parse_rating_events(lines), True).unionByName(rows(text.parse_rating_events(ratings), False))
+    sink = UpsertLog(path(base, STREAM_RECS), "uid", realtime_stream.VERSION_COLS)
+    return profile_state.start(both, edges, sink, checkpoint, n=n, threshold=threshold, trigger=trigger,
+                               initial=rows(read(spark, base, RATING_T, RATING), False), compact_every=compact_every)
+
+
 def stream_recs(spark: SparkSession, base: str) -> DataFrame:
     """Current StreamRecs: (uid, recs) per user, newest version."""
     sink = UpsertLog(path(base, STREAM_RECS), "uid", realtime_stream.VERSION_COLS)

@@ -221,6 +221,7 @@ SQL["parse_items"] = with_(["items"], """
 SELECT mid, '"' || title || ', The (' || (1990 + mid % 30)::VARCHAR || ')"' AS title, genres FROM items""")
 SQL["parse_ratings"] = with_(["ratings"], "SELECT uid, mid, score, timestamp FROM ratings")
 SQL["parse_rating_events"] = with_(["ev"], "SELECT uid, mid, score, timestamp FROM ev")
+SQL["stream_source_ratings"] = SQL["parse_rating_events"]
 SQL["parse_recent_list"] = SQL["recent_ratings"]
 SQL["nested_recs_roundtrip"] = SQL["user_top_items"]
 SQL["store_roundtrip"] = SQL["parse_ratings"]

@@ -108,3 +108,28 @@ def test_a_batch_reads_only_its_users_folders(spark):
     assert "PartitionFilters: [key_bucket" in plan or "PartitionFilters: [isnotnull(key_bucket" in plan
     want = catalog.td.ratings(spark, SF_SMALL).where("uid = 7")
     assert sorted_rows(seen) == sorted_rows(want.select("uid", "mid")) and recent.count() == min(20, want.count())
+
+
+def test_profiles_in_state_begin_with_rating_and_follow_the_stream(spark):
+    """Rating is the state at the first start; afterwards it can even be gone from the micro-batches' plans."""
+    base = scratch_path(spark, "t-profile-job")
+    jobs.append_ratings(spark.createDataFrame([(1, 10, 5.0, 100), (2, 10, 5.0, 100)], "uid int, mid int, score double, timestamp int"), base)
+    edges = [(20, 1, 30, 0.99), (20, 2, 40, 0.95), (30, 1, 20, 0.99), (30, 2, 10, 0.9), (40, 1, 20, 0.95), (40, 2, 10, 0.9), (10, 1, 30, 0.9), (10, 2, 40, 0.9)]
+    spark.createDataFrame(edges, "mid int, rank int, sim_mid int, score double").write.parquet(jobs.path(base, jobs.MOVIE_RECS))
+    put = lambda folder, line: spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{base}/{folder}")
+
+    def run():
+        q = jobs.profile_streaming_job(spark, base, text.text_stream_lines(spark, f"{base}/in"), text.text_stream_lines(spark, f"{base}/rated"), f"{base}/ckpt", compact_every=1)
+        q.awaitTermination()
+        assert q.exception() is None
+        return {r["uid"]: [x["mid"] for x in r["recs"]] for r in jobs.stream_recs(spark, base).collect()}
+
+    put("in", "1|20|4.0|200")
+    put("rated", "3|10|5.0|100")
+    assert run() == {1: [30, 40]}
+    # rows that appear in Rating later are not read; those of the stream are, between two triggers
+    jobs.append_ratings(spark.createDataFrame([(1, 40, 4.0, 250)], "uid int, mid int, score double, timestamp int"), base)
+    put("rated", "1|30|4.0|300")
+    assert run() == {1: [40]}
+    put("in", "3|20|4.0|400")
+    assert run() == {1: [40], 3: [30, 40]}
