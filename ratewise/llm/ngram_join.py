@@ -18,8 +18,10 @@ without comparing all pairs and without emitting the pairs inside a group:
    of their sorted arrays (48 bits of each hash travel).
 4. Sets that verified links join already need no more comparison. Tiles whose
    sets still belong to several components compare all pairs across them,
-   block by block, by bitmap, then exactly. So no link is lost and a group of n near
-   copies does not emit n * n pairs.
+   block by block, by bitmap, and name the sets that have a candidate at all; those get their arrays, and the tile
+   intersects them exactly, likely links first, leaving out pairs that it has
+   connected. It returns a spanning forest: no link is lost, and a group of n near
+   copies never emits n * n rows.
 
 Fewer words than a shingle has make one shingle of them all; a null text or one
 without words has the empty set and links with nothing. Repeated rows are kept,
@@ -43,7 +45,9 @@ from ratewise.llm.components import components
 
 WORDS, PERCENT = 5, 75
 #: Keys that one bucket is meant to hold; sets of a key beyond which it is split; rows that are compared at a time; partners that one place takes.
-BUCKET_KEYS, SPLIT, BLOCK, PARTNERS = 2_000_000, 4096, 256, 1000
+BUCKET_KEYS, SPLIT, BLOCK, PARTNERS = 500_000, 4096, 256, 1000
+#: Elements of the sets of a key beyond which it is split.
+SPLIT_ELEMENTS = 2_000_000
 #: Shingles listed as frequent, at most; local counts below LOCAL are not reported; the list starts at FREQUENT.
 MOST_FREQUENT, LOCAL, FREQUENT = 1 << 18, 3, 16
 LEAST_BITS, MOST_BITS, FILTER_BITS, ORDERS, FIRST_KEYS = 1024, 1 << 16, 24, 8, 8
@@ -135,6 +139,14 @@ def unpack_set(data: bytes) -> np.ndarray:
     return np.cumsum(planes.view("<u8").reshape(-1), dtype=np.uint64)
 
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    joint = np.concatenate([a, b])
+    joint.sort(kind="stable")  # two sorted runs: merged
+    both = int(np.count_nonzero(joint[1:] == joint[:-1]))
+    return 100 * both >= percent * (len(joint) - both)
+
+
 def class_id(own: np.ndarray) -> int:
     """64-bit id of a set (order-free sums of two mixes of its elements)."""
     if not len(own):
@@ -362,13 +374,18 @@ def _arrays(docs: DataFrame, chosen, bits: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "cid long, own binary")
 
 
+def _slices(batches):
+    for b in batches:
+        yield from (b.slice(i, BLOCK) for i in range(0, b.num_rows, BLOCK))
+
+
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sizes and bitmaps allow the threshold."""
     side = lambda c: classes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def run(batches):
-        for t in batches:
+        for t in _slices(batches):
             if t.num_rows:
                 n_a, n_b = (t.column(c).to_numpy() for c in ("n_a", "n_b"))
                 bits = differing(t.column("bits_a").to_pylist(), t.column("bits_b").to_pylist())
@@ -378,9 +395,9 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
 
 
-def _only(arrays: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The arrays of the pairs' classes, and a few more by chance, picked before anything moves."""
-    kept = _chosen(arrays.sparkSession, _cids(pairs), FILTER_BITS)
+def _only(arrays: DataFrame, cids: DataFrame) -> DataFrame:
+    """The arrays of the classes, and a few more by chance, picked before anything moves."""
+    kept = _chosen(arrays.sparkSession, cids, FILTER_BITS)
 
     def run(batches):
         for b in batches:
@@ -415,7 +432,7 @@ def _verified(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
     The array of one end goes to that of the other, and the two are intersected.
     """
     salted = stored(_centred(pairs), "centred-pairs")
-    sets = _only(arrays, pairs).repartition("cid").dropDuplicates(["cid"])
+    sets = _only(arrays, _cids(pairs)).repartition("cid").dropDuplicates(["cid"])
     members = salted.join(sets, F.col("b") == F.col("cid")).select("a", "salt", F.col("b").alias("id"), "own")
     centres = salted.select("a", "salt").distinct().join(sets, F.col("a") == F.col("cid")).select(
         "a", "salt", F.lit(None).cast("long").alias("id"), "own")
@@ -423,17 +440,13 @@ def _verified(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         centre = np.zeros(0, np.uint64)
-        for t in batches:
+        for t in _slices(batches):
             found = []
             for a, b, own in zip(*(t.column(c).to_pylist() for c in ("a", "id", "own"))):
                 own = unpack_set(own)
                 if b is None:
                     centre = own
-                    continue
-                joint = np.concatenate([centre, own])
-                joint.sort(kind="stable")  # two sorted runs: merged
-                both = int(np.count_nonzero(joint[1:] == joint[:-1]))
-                if 100 * both >= percent * (len(joint) - both):
+                elif similar(centre, own, percent):
                     found.append((a, b))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
@@ -445,54 +458,108 @@ def _ordered(a, b):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
-def _crossing(tiles: DataFrame, linked: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share a key, lie in different components and pass the bounds.
+_TILE = "key long, low int, high int, cid long, component long, n long, bits binary, block int, first array<long>"
+
+
+def _crossing(tiles: DataFrame, linked: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of the tiles in which sets of different components meet.
 
     Only keys of several components take part, and of those that are in one bucket
-    only keys of three sets or more. A key with more than SPLIT sets is cut into blocks and every pair of blocks is a task of its own. Sets
+    only keys of three sets or more. A key with more than SPLIT sets, or SPLIT_ELEMENTS elements in them, is cut
+    into blocks and every pair of blocks is a task of its own. Sets
     carry their FIRST_KEYS smallest keys, so that a pair which shares many is
     mostly compared once.
     """
     rows = tiles.select("key", "cid", "split").join(linked, F.col("cid") == F.col("node"), "left").select(
         "key", "cid", "split", F.coalesce("component", "cid").alias("component"))
-    keys = rows.groupBy("key").agg(F.count("*").alias("sets"), F.min("component").alias("least"), F.max("component").alias("most"),
-                                    F.bool_or("split").alias("split"))
+    rows = rows.join(classes.select("cid", "n"), "cid")
+    keys = rows.groupBy("key").agg(F.count("*").alias("sets"), F.sum("n").alias("elements"), F.min("component").alias("least"),
+                                    F.max("component").alias("most"), F.bool_or("split").alias("split"))
     # of two sets in one bucket one is the star's centre, so their pair has been seen; those of a split key may be in two
-    keys = keys.where("least <> most AND (sets > 2 OR split)").select("key", F.ceil(F.col("sets") / SPLIT).cast("int").alias("blocks"))
-    rows = stored(rows.drop("split").join(keys, "key"), "cross-keys")
+    keys = keys.where("least <> most AND (sets > 2 OR split)").select(
+        "key", F.ceil(F.greatest(F.col("sets") / SPLIT, F.col("elements") / SPLIT_ELEMENTS)).cast("int").alias("blocks"))
+    rows = stored(rows.drop("split", "n").join(keys, "key"), "cross-keys")
     first = rows.groupBy("cid").agg(F.slice(F.sort_array(F.collect_set("key")), 1, FIRST_KEYS).alias("first"))
     rows = rows.join(classes.join(first, "cid"), "cid")
     block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", *[c.alias(n) for c, n in ((F.least("block", "other"), "low"), (F.greatest("block", "other"), "high"))],
+    return rows.select("key", *[c.alias(n) for c, n in ((F.least("block", "other"), "low"), (F.greatest("block", "other"), "high"))],
                        "cid", "component", "n", "bits", "block", "first")
 
-    def run(group: pa.Table) -> pa.Table:
-        cid, component, n, block = (group[c].to_numpy() for c in ("cid", "component", "n", "block"))
-        bits, key = group["bits"].to_pylist(), group["key"][0].as_py()
-        first = np.full((len(cid), FIRST_KEYS), key)
+
+class _Tile:
+    """Sets of one key, of one block or of two."""
+
+    def __init__(self, group: pa.Table, percent: int):
+        self.percent, self.key = percent, group["key"][0].as_py()
+        self.cid, self.component, self.n, block = (group[c].to_numpy() for c in ("cid", "component", "n", "block"))
+        self.bits = group["bits"].to_pylist()
+        self.first = np.full((len(self.cid), FIRST_KEYS), self.key)
         for i, own in enumerate(group["first"].to_pylist()):
-            first[i, :len(own)] = own
+            self.first[i, :len(own)] = own
         low, high = group["low"][0].as_py(), group["high"][0].as_py()
-        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        found_a, found_b = [], []
-        for i in range(0, len(left), BLOCK):
-            x = left[i:i + BLOCK]
-            for j in range(0, len(right), BLOCK):
-                y = right[j:j + BLOCK]
+        self.same = low == high
+        self.left, self.right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+
+    def candidates(self, open_):
+        """(p, q, differing bits) of pairs whose sizes and bitmaps allow the threshold, some at a time; ``open_`` says which still matter."""
+        n, percent = self.n, self.percent
+        for i in range(0, len(self.left), BLOCK):
+            x = self.left[i:i + BLOCK]
+            for j in range(i if self.same else 0, len(self.right), BLOCK):
+                y = self.right[j:j + BLOCK]
                 n_x, n_y = n[x][:, None], n[y][None, :]
-                p, q = np.nonzero((component[x][:, None] != component[y][None, :]) & (100 * np.minimum(n_x, n_y) >= percent * np.maximum(n_x, n_y)))
+                may = open_(x[:, None], y[None, :]) & (100 * np.minimum(n_x, n_y) >= percent * np.maximum(n_x, n_y))
+                if self.same:
+                    may &= x[:, None] < y[None, :]
+                p, q = np.nonzero(may)
+                p, q = x[p], y[q]
                 # a pair that shares a smaller key is compared there; its smallest one is never skipped
-                earlier = (first[x][p][:, :, None] == first[y][q][:, None, :]) & (first[x][p] < key)[:, :, None]
+                earlier = (self.first[p][:, :, None] == self.first[q][:, None, :]) & (self.first[p] < self.key)[:, :, None]
                 here = ~earlier.any(axis=(1, 2))
                 p, q = p[here], q[here]
-                keep = may_reach(n[x][p], n[y][q], differing([bits[k] for k in x[p]], [bits[k] for k in y[q]]), percent)
-                found_a.append(cid[x][p[keep]])
-                found_b.append(cid[y][q[keep]])
-        return pa.table({"a": np.concatenate([*found_a, np.zeros(0, np.int64)]), "b": np.concatenate([*found_b, np.zeros(0, np.int64)])})
+                bits = differing([self.bits[k] for k in p], [self.bits[k] for k in q])
+                keep = may_reach(n[p], n[q], bits, percent)
+                yield p[keep], q[keep], bits[keep]
+
+
+def _met(percent: int):
+    """The rows of a tile whose set has a candidate in another component: never more than the tile has."""
+    def run(group: pa.Table) -> pa.Table:
+        tile = _Tile(group, percent)
+        found = np.zeros(len(tile.cid), bool)
+        # a pair of two sets that are known to have one need not be looked at
+        for p, q, _ in tile.candidates(lambda x, y: (tile.component[x] != tile.component[y]) & ~(found[x] & found[y])):
+            found[p] = found[q] = True
+        kept = group.filter(pa.array(found))
+        at = kept.schema.get_field_index("first")
+        return kept.set_column(at, "first", kept["first"].cast(pa.list_(pa.int64())))
+
+    return run
+
+
+def _spanning(percent: int):
+    """Links of a tile that connect what its sets' exact similarities connect: fewer than it has sets."""
+    def run(group: pa.Table) -> pa.Table:
+        tile = _Tile(group, percent)
+        own = group["own"].to_pylist()
+        _, root = np.unique(tile.component, return_inverse=True)  # by set: one number for what is connected
+        sets, links = {}, []
+
+        def elements(k: int) -> np.ndarray:
+            if k not in sets:
+                sets[k] = unpack_set(own[k])
+            return sets[k]
+
+        for p, q, bits in tile.candidates(lambda x, y: root[x] != root[y]):
+            order = np.argsort(bits / (tile.n[p] + tile.n[q]), kind="stable")  # likely links first
+            for a, b in zip(p[order].tolist(), q[order].tolist()):
+                if root[a] != root[b] and similar(elements(a), elements(b), percent):
+                    links.append((int(tile.cid[a]), int(tile.cid[b])))
+                    root[root == root[b]] = root[a]
+        return pa.table({c: pa.array([x[i] for x in links], pa.int64()) for i, c in enumerate(("a", "b"))})
 
-    pairs = rows.groupBy("key", "low", "high").applyInArrow(run, "a long, b long")
-    return pairs.select(*_ordered("a", "b")).distinct()
+    return run
 
 
 def link_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -514,11 +581,14 @@ def link_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     arrays = arrays_of(_cids(pairs))
     links = stored(_verified(pairs, arrays, percent), "star-links")
     linked = stored(components(links), "star-components")
-    crossing = stored(_crossing(tiles, linked, classes, percent).join(pairs, ["a", "b"], "left_anti"), "cross-pairs")
-    missing = stored(_cids(crossing).join(arrays, "cid", "left_anti"), "cross-classes")
+    met = stored(_crossing(tiles, linked, classes).groupBy("key", "low", "high").applyInArrow(_met(percent), _TILE), "cross-sets")
+    ends = met.select("cid").distinct()
+    missing = stored(ends.join(arrays, "cid", "left_anti"), "cross-classes")
     if not missing.isEmpty():
         arrays = arrays.unionByName(arrays_of(missing))
-    return members, links.unionByName(stored(_verified(crossing, arrays, percent), "cross-links"))
+    sets = _only(arrays, ends).repartition("cid").dropDuplicates(["cid"])
+    spanning = met.join(sets, "cid").select(*met.columns, "own").groupBy("key", "low", "high").applyInArrow(_spanning(percent), "a long, b long")
+    return members, links.unionByName(stored(spanning, "cross-links"))
 
 
 def _groups(docs: DataFrame, percent: int) -> DataFrame:

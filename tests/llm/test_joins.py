@@ -84,6 +84,35 @@ def test_split_keys_of_two_sets(spark, monkeypatch):
     assert [c for i, _, c in got if i % 100 == 1] == [100 * k for k in range(6)]
 
 
+def test_crossing_rows_grow_with_the_group_not_with_its_square(spark, monkeypatch):
+    """Copies near the threshold that stars leave apart: what the tiles return stays linear, and no link is lost."""
+    found = {}
+    keep = ngram_join.stored
+
+    def watched(df, name):
+        out = keep(df, name)
+        if name in ("cross-sets", "cross-links"):
+            found.setdefault(name, []).append((out.count(), out.select("key", "low", "high", "cid").distinct().count() if name == "cross-sets" else 0))
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", watched)
+    for n in (200, 400):
+        rng = random.Random(17)
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(200)]
+        rows = []
+        for i in range(n):
+            own = list(words)
+            for at in rng.sample(range(200), 4):
+                own[at] = f"x{rng.randrange(10 ** 9)}"
+            rows.append((i, " ".join(own)))
+        got = sorted((tuple(r) for r in ngram_join.join_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+        assert got == plain_join(rows)
+    for name in ("cross-sets", "cross-links"):
+        (small, _), (large, _) = found[name]
+        assert large <= 2.6 * small + 50, (name, found)
+    assert all(n == distinct for n, distinct in found["cross-sets"])
+
+
 def test_awkward_rows(awkward):
     got = sorted((tuple(r) for r in ngram_join.join_documents(awkward).collect()), key=repr)
     assert got == plain_join([(r.doc_id, r.text) for r in awkward.collect()])
