@@ -1,14 +1,14 @@
 """Toxicity by a counterfactual-regularised classifier.
 
 Features are character n-grams (lower case, letters, one blank between words)
-that occur in a text. Fit, on at most ``SAMPLE_CHARS`` characters of labelled
-text (rows chosen by hash; the bound limits the fit only):
+that occur in a text. Fit, on the distinct labelled texts of at most ``sample_chars`` characters
+(chosen by hash; copies of a text weigh once, whatever their number; the bound limits the fit only):
 
 1. Each distinct sentence counts as toxic if every text that has it is; n-grams
-   clearly more frequent in toxic sentences become features, and so do those of
+   clearly more frequent in toxic sentences become features (``most_features`` at most, the clearest), and so do those of
    the identity terms.
-2. Counterfactuals: in labelled sentences identity terms are swapped for others
-   (sentences without one get one in front), which must not change the score.
+2. Counterfactuals: in every labelled sentence every identity term is swapped for ``swaps`` others of its kind,
+   chosen by hash (of sentences without one, each ``plain_every``-th by hash gets one in front), which must not change the score.
 3. Logistic regression over texts, and over those of their sentences that have
    a feature, minimises log loss + L2 + ``PENALTY`` times the mean squared change of the linear score over the counterfactual pairs,
    so that a neutral mention of a group moves no score.
@@ -16,15 +16,15 @@ text (rows chosen by hash; the bound limits the fit only):
 
 Null and empty texts have no features and get the model's base score. Rows
 without a label, and labels without a text, teach nothing; of repeated labels
-of one document the higher counts. If the sample lacks a class, the score is the
-smoothed share of toxic ones among all labelled texts. Without any labelled text
-there is no evidence against a document: the score is 0, below every threshold,
+of one document the higher counts. If labelled texts lack a class, or there are
+none, there is no evidence against a document: the score is 0, below every threshold,
 and ``accepted`` keeps all. Columns besides the named ones are ignored.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,7 +39,9 @@ SIZES = (4, 6)
 SAMPLE_CHARS = 30_000_000
 THRESHOLD = 0.3
 MOST_FEATURES, LEAST_SENTENCES, LEAST_Z, LEAST_SHARE = 8192, 5, 6.0, 0.5
-PENALTY, L2, ROUNDS, PAIRS = 10.0, 1e-4, 400, 4000
+PENALTY, L2, ROUNDS = 10.0, 1e-4, 400
+#: Other terms that one identity term is swapped for; of sentences without a term every so many get one.
+SWAPS, PLAIN_EVERY = 2, 8
 
 #: Identity terms by kind; any two of a kind are counterfactuals of each other.
 IDENTITY_TERMS = {
@@ -60,18 +62,24 @@ def _grams(text: str) -> np.ndarray:
     return np.unique(np.concatenate(found)) if len(found) > 1 else found[0] if found else np.zeros(0, np.uint64)
 
 
-def counterfactuals(sentence: str) -> list[str]:
-    """The sentence with its first identity term swapped for every other of its kind, itself first.
+def counterfactuals(sentence: str, swaps: int = SWAPS, plain_every: int = PLAIN_EVERY) -> list[str]:
+    """The sentence with one identity term swapped: each of its terms for ``swaps`` others of the kind, chosen by hash.
 
-    A sentence without one gets one in front, and the plain sentence counts as
-    its first variant.
+    A sentence without a term, if its hash falls on it, is returned with one in front.
     """
-    found = _TERM.search(sentence)
-    if found:
-        return [sentence, *(sentence[:found.start()] + t + sentence[found.end():]
-                            for t in IDENTITY_TERMS[_KIND[found[0].lower()]] if t != found[0].lower())]
-    kind = sorted(IDENTITY_TERMS)[len(sentence) % len(IDENTITY_TERMS)]
-    return [sentence, *(f"{t} {sentence}" for t in IDENTITY_TERMS[kind])]
+    found = list(_TERM.finditer(sentence))
+    number = zlib.crc32(sentence.encode("utf-8", "surrogatepass"))
+    if not found:
+        if number % plain_every:
+            return []
+        terms = sorted(_KIND)
+        return [f"{terms[number // plain_every % len(terms)]} {sentence}"]
+    out = []
+    for m in found:
+        others = [t for t in IDENTITY_TERMS[_KIND[m[0].lower()]] if t != m[0].lower()]
+        begin = (number + m.start()) % len(others)
+        out += [sentence[:m.start()] + t + sentence[m.end():] for t in (others + others)[begin:begin + min(swaps, len(others))]]
+    return out
 
 
 @dataclass(frozen=True)
@@ -115,12 +123,13 @@ def _sample(docs: DataFrame, labels: DataFrame, sample_chars: int) -> tuple[Data
     # all 64 bits of the hash decide: a share of any size keeps its texts
     last = max((1 << 64) * sample_chars // max(1, found["n"] or 0) - 1, 0) - (1 << 63)
     chosen = texts.where(F.xxhash64("text") <= F.lit(last)) if last < (1 << 63) - 1 else texts
-    return chosen.join(one, "doc_id").select("text", "toxic"), found["texts"], found["toxic"]
+    # copies are one row before anything is brought together
+    return chosen.join(one, "doc_id").select("text", "toxic").distinct(), found["texts"], found["toxic"]
 
 
-def _unlearned(texts: int, toxic: int) -> ToxicityModel:
-    """The model that gives every text the smoothed share of toxic labels, or 0 without any label."""
-    return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log((toxic + 0.5) / (texts - toxic + 0.5))) if texts else -np.inf)
+def _unlearned() -> ToxicityModel:
+    """The model without evidence: every score is 0."""
+    return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -np.inf)
 
 
 def _sentence_counts(sample: DataFrame) -> DataFrame:
@@ -158,8 +167,8 @@ def _sentence_counts(sample: DataFrame) -> DataFrame:
     return sentences.mapInArrow(count, "gram long, n long, toxic long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
 
 
-def _features(counts: DataFrame) -> np.ndarray:
-    """Hashes of the chosen n-grams, sorted: at most MOST_FEATURES and those of the identity terms."""
+def _features(counts: DataFrame, most: int) -> np.ndarray:
+    """Hashes of the chosen n-grams, sorted: at most ``most`` and those of the identity terms."""
     total = counts.where(F.col("gram").isNull()).first()
     n, toxic = (total["n"], total["toxic"]) if total else (0, 0)
     chosen = np.zeros(0, np.uint64)
@@ -167,23 +176,24 @@ def _features(counts: DataFrame) -> np.ndarray:
         p = toxic / n
         z = (F.col("toxic") - F.col("n") * p) / F.sqrt(F.col("n") * p * (1 - p))
         best = (counts.where(F.col("gram").isNotNull() & (F.col("toxic") >= LEAST_SENTENCES) & (F.col("toxic") >= LEAST_SHARE * F.col("n")))
-                .withColumn("z", z).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "gram").limit(MOST_FEATURES))
+                .withColumn("z", z).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "gram").limit(most))
         chosen = best.select("gram").toArrow()["gram"].to_numpy().view(np.uint64)
     return np.unique(np.concatenate([chosen, *(_grams(t) for t in _KIND)]))
 
 
-def _regress(rows, cols, toxic, pairs, size: int) -> tuple[np.ndarray, float]:
-    """Weights and base; ``pairs``: (row, col, sign) entries of the differences between counterfactuals."""
-    n, (p_row, p_col, p_sign) = len(toxic), pairs
-    m = max(1, int(p_row.max()) + 1 if len(p_row) else 0)
-    w, base = np.zeros(size), float(np.log((toxic.sum() + 0.5) / (n - toxic.sum() + 0.5)))
+def _regress(rows, cols, toxic, weight, pairs, size: int) -> tuple[np.ndarray, float]:
+    """Weights and base; ``pairs``: (row, col, sign) entries of the differences between counterfactuals, and a weight per row."""
+    n, (p_row, p_col, p_sign, p_weight) = len(toxic), pairs
+    share, p_share = weight / weight.sum(), p_weight / max(1.0, p_weight.sum())
+    positive = (weight * toxic).sum()
+    w, base = np.zeros(size), float(np.log((positive + 0.5) / (weight.sum() - positive + 0.5)))
     moment, square, rate = np.zeros(size + 1), np.zeros(size + 1), 0.1
     for step in range(1, ROUNDS + 1):
         z = base + np.bincount(rows, w[cols], minlength=n)
-        g = (1 / (1 + np.exp(-z)) - toxic) / n
-        change = np.bincount(p_row, w[p_col] * p_sign, minlength=m)
+        g = (1 / (1 + np.exp(-z)) - toxic) * share
+        change = np.bincount(p_row, w[p_col] * p_sign, minlength=len(p_share)) * p_share
         grad = np.bincount(cols, g[rows], minlength=size) + L2 * w
-        grad += 2 * PENALTY / m * np.bincount(p_col, change[p_row] * p_sign, minlength=size)
+        grad += 2 * PENALTY * np.bincount(p_col, change[p_row] * p_sign, minlength=size)
         grad = np.append(grad, g.sum())
         moment = 0.9 * moment + 0.1 * grad
         square = 0.99 * square + 0.01 * grad ** 2
@@ -192,26 +202,30 @@ def _regress(rows, cols, toxic, pairs, size: int) -> tuple[np.ndarray, float]:
     return w, base
 
 
-def _calibrate(z: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
+def _calibrate(z: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Scale and base that make the linear scores of whole texts fit their labels (Newton steps, lightly damped)."""
     x, p = np.stack([z, np.ones_like(z)], axis=1), np.array([1.0, 0.0])
     for _ in range(50):
         y = 1 / (1 + np.exp(-np.clip(x @ p, -30, 30)))
-        hessian = (x * (y * (1 - y))[:, None]).T @ x + np.diag([0.1, 0.1])
-        step = np.linalg.solve(hessian, x.T @ (y - toxic) + 0.1 * (p - [1.0, 0.0]))
+        hessian = (x * (weight * y * (1 - y))[:, None]).T @ x + np.diag([0.1, 0.1])
+        step = np.linalg.solve(hessian, x.T @ (weight * (y - toxic)) + 0.1 * (p - [1.0, 0.0]))
         p = p - np.clip(step, -1, 1)
     return float(max(p[0], 0.1)), float(p[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_chars: int = SAMPLE_CHARS) -> ToxicityModel:
+_TEXT, _SENTENCE_ROW, _PAIR = range(3)
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample_chars: int = SAMPLE_CHARS, most_features: int = MOST_FEATURES,
+        swaps: int = SWAPS, plain_every: int = PLAIN_EVERY) -> ToxicityModel:
     """Learn from (doc_id, text) and (doc_id, toxic); pass training documents only."""
-    chosen, *number = _sample(docs, labels, sample_chars)
+    chosen, *_ = _sample(docs, labels, sample_chars)
     sample = stored(chosen, "labelled-texts")
-    features = _features(stored(_sentence_counts(sample), "sentence-ngrams"))
+    features = _features(stored(_sentence_counts(sample), "sentence-ngrams"), most_features)
     empty = ToxicityModel(features, np.zeros(len(features)), 0.0)
-    shared = docs.sparkSession.sparkContext.broadcast(empty)  # MOST_FEATURES hashes and the terms'
+    shared = docs.sparkSession.sparkContext.broadcast(empty)  # most_features hashes and the terms'
 
-    kinds = (pa.int32(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64())))
+    kinds = (pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()))
 
     def encode(batches):
         model = shared.value
@@ -219,30 +233,37 @@ def fit(docs: DataFrame, labels: DataFrame, sample_chars: int = SAMPLE_CHARS) ->
         for b in steps(batches, "text"):
             rows = []
             for text, label in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
-                label, sentences = int(label > 0), _SENTENCE.findall(text)
-                sentence = max(sentences, key=lambda s: (bool(_TERM.search(s)), -abs(len(s) - 80)), default="")
-                first, *others = [model.present(s, filter_) for s in counterfactuals(sentence)]
-                other = others[len(text) % len(others)]
-                pair = [[int(x) for x in np.setdiff1d(first, other)], [int(x) for x in np.setdiff1d(other, first)]]
-                rows.append((label, True, model.present(text, filter_).tolist(), pair))
-                # sentences teach what each piece of evidence is worth alone; those without any feature teach nothing
-                found = (model.present(s, filter_).tolist() for s in sentences)
-                rows.extend((label, False, x, [[], []]) for x in found if x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["toxic", "whole", "present", "pair"])
-
-    got = sample.mapInArrow(encode, "toxic int, whole boolean, present array<long>, pair array<array<long>>").toArrow()  # a bounded sample
-    toxic = got["toxic"].to_numpy().astype(float)
+                label = int(label > 0)
+                rows.append((_TEXT, label, model.present(text, filter_).tolist(), []))
+                for s in _SENTENCE.findall(text):
+                    own = model.present(s, filter_)
+                    # sentences teach what each piece of evidence is worth alone; those without any feature teach nothing
+                    if len(own):
+                        rows.append((_SENTENCE_ROW, label, own.tolist(), []))
+                    for other in counterfactuals(s, swaps, plain_every):
+                        its = model.present(other, filter_)
+                        gone, come = np.setdiff1d(own, its), np.setdiff1d(its, own)
+                        if len(gone) or len(come):
+                            rows.append((_PAIR, 0, gone.tolist(), come.tolist()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["kind", "toxic", "has", "lacks"])
+
+    # of a bounded sample; rows with the same features are one with a weight
+    coded = sample.mapInArrow(encode, "kind int, toxic int, has array<int>, lacks array<int>")
+    got = coded.groupBy("kind", "toxic", "has", "lacks").agg(F.count("*").alias("weight")).toArrow().sort_by([("kind", "ascending")])
+    kind, toxic, weight = (got[c].to_numpy().astype(float) for c in ("kind", "toxic", "weight"))
+    own = kind != _PAIR
+    toxic, weights = toxic[own], weight[own]
     if not 0 < toxic.sum() < len(toxic):
-        return _unlearned(*number)
-    present = [np.array(x, np.int64) for x in got["present"].to_pylist()]
-    rows = np.repeat(np.arange(len(present)), [len(x) for x in present])
-    cols = np.concatenate(present)
-    pairs = [p for p in got["pair"].to_pylist() if p[0] or p[1]][:PAIRS]
-    entries = [(i, c, s) for i, p in enumerate(pairs) for s, part in zip((1.0, -1.0), p) for c in part]
-    p_row, p_col, p_sign = (np.array(x) for x in zip(*entries)) if entries else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-    w, base = _regress(rows, cols, toxic, (p_row, p_col, p_sign), len(features))
-    whole = np.flatnonzero(got["whole"].to_numpy(zero_copy_only=False))
-    scale, shift = _calibrate((base + np.bincount(rows, w[cols], minlength=len(present)))[whole], toxic[whole])
+        return _unlearned()
+    has, lacks = ([np.array(x, np.int64) for x in got[c].to_pylist()] for c in ("has", "lacks"))
+    spread = lambda lists: (np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate([*lists, np.zeros(0, np.int64)]))
+    n = int(own.sum())
+    rows, cols = spread(has[:n])
+    (g_row, g_col), (c_row, c_col) = spread(has[n:]), spread(lacks[n:])
+    pairs = (np.concatenate([g_row, c_row]), np.concatenate([g_col, c_col]), np.concatenate([np.ones(len(g_row)), -np.ones(len(c_row))]), weight[n:])
+    w, base = _regress(rows, cols, toxic, weights, pairs, len(features))
+    whole = np.flatnonzero(kind[:n] == _TEXT)
+    scale, shift = _calibrate((base + np.bincount(rows, w[cols], minlength=n))[whole], toxic[whole], weights[whole])
     return ToxicityModel(features, w * scale, base * scale + shift)
 
 

@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from llm_fixtures import SF, awkward, nothing, prose  # noqa: F401
 
+from pyspark.sql import functions as F
+
 from ratewise.llm import language, queries, toxicity
 from ratewise.llm.common import held_out, table
 
@@ -92,9 +94,74 @@ def test_toxicity_of_held_out_texts_and_neutral_mentions(spark, labelled):
 
 
 def test_swaps_keep_the_rest_of_the_sentence():
-    first, *others = toxicity.counterfactuals("the Muslim girl sang")
-    assert first == "the Muslim girl sang" and "the hindu girl sang" in others and len(others) == len(toxicity.IDENTITY_TERMS["belief"]) - 1
-    assert all(o.endswith(" a song") for o in toxicity.counterfactuals("a song")[1:])
+    others = toxicity.counterfactuals("the Muslim girl sang", swaps=99)
+    assert "the hindu girl sang" in others and len(others) == len(toxicity.IDENTITY_TERMS["belief"]) - 1
+    two = toxicity.counterfactuals("a gay man and a Muslim sang", swaps=2)
+    assert len(two) == len(set(two)) == 6 and sum("gay man" in x for x in two) == 2 and sum("Muslim" in x for x in two) == 4
+    assert all(o.endswith(" a song") for o in toxicity.counterfactuals("a song", plain_every=1)) and toxicity.counterfactuals("a song", plain_every=1)
+
+
+def plain_score(model, text):
+    """The model's score from its weights, n-gram by n-gram in plain Python."""
+    letters = "".join(c.lower() if len(c.lower()) == 1 else c for c in (text or "") if True)
+    words = "".join(c if c.isalpha() else " " for c in letters).split()
+    line = f" {' '.join(words)} " if words else ""
+    weight, found = dict(zip(model.grams.tolist(), model.weights.tolist())), set()
+    for n in range(toxicity.SIZES[0], toxicity.SIZES[1] + 1):
+        for i in range(len(line) - n + 1):
+            h = ord(line[i])
+            for c in line[i + 1:i + n]:
+                h = ((h ^ ord(c)) * 0x9E3779B97F4A7C15) % (1 << 64)
+                h ^= h >> 29
+            found.add(h)
+    return 1 / (1 + np.exp(-(model.base + sum(weight.get(h, 0.0) for h in found))))
+
+
+def test_scores_equal_a_plain_scorer(labelled, awkward):
+    docs, labels = labelled
+    model = toxicity.fit(docs.where(~held_out()), labels)
+    assert np.abs(model.weights).max() > 0.5
+    for df in (docs.where("doc_id < 60"), awkward.where("length(text) < 20000 OR text IS NULL")):
+        for r in toxicity.score(df.select("doc_id", "text"), model, keep=("text",)).collect():
+            assert abs(r.score - plain_score(model, r.text)) < 1e-9
+
+
+def test_one_class_is_no_evidence(spark, labelled):
+    docs, labels = labelled
+    for only in (0, 1):
+        model = toxicity.fit(docs, labels.where(f"toxic = {only}"))
+        assert {(r.score, r.predicted) for r in toxicity.score(docs, model).collect()} == {(0.0, 0)}
+        assert toxicity.accepted(docs, model).count() == docs.count()
+
+
+def test_a_hot_text_counts_once(spark, labelled):
+    """A third of all labelled rows are copies of one clean text: what is learned and brought to the driver stays the same."""
+    docs, labels = labelled
+    text = docs.where("doc_id = 1").first().text
+    hot = spark.range(400).selectExpr("id + 10000 AS doc_id").withColumn("text", F.lit(text))
+    more = labels.unionByName(hot.selectExpr("doc_id", "0 AS toxic"))
+    sample, _, _ = toxicity._sample(docs.unionByName(hot), more, toxicity.SAMPLE_CHARS)
+    assert sample.where(F.col("text") == text).count() == 1
+    a, b = toxicity.fit(docs, labels), toxicity.fit(docs.unionByName(hot), more)
+    assert np.array_equal(a.grams, b.grams) and np.allclose(a.weights, b.weights) and abs(a.base - b.base) < 1e-9
+
+
+def test_every_sentence_and_term_is_penalised(spark, labelled):
+    """Weights of one group's n-grams are held down although it is named only in late sentences of toxic texts."""
+    rng = random.Random(5)
+    docs, labels = [], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        parts = [prose(rng, words=8) for _ in range(6)]
+        if toxic:
+            parts[0] = "wretch " + parts[0]
+            parts[5] = "sikh " + parts[5]
+        docs.append((i, " ".join(parts)))
+        labels.append((i, int(toxic)))
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    f = model.filter()
+    neutral = prose(rng, words=12)
+    assert model.score("sikh " + neutral, f) < 0.3 <= model.score("wretch " + neutral, f)
 
 
 def test_toxicity_edge_cases(awkward, nothing, labelled):

@@ -134,4 +134,11 @@ def test_no_pages(spark, pages):
 
 def test_scan_query_on_the_small_tables(spark):
     out = queries.QUERIES["op10_secret_scan"](spark, SF)
-    assert out.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"] and out.where("spans <> ''").count() > 0
+    assert out.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"] and out.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_planted_secrets_are_found(spark):
+    rows = [(1, "see password = hunter22xyz here"), (2, "key AKIA" + "Q7" * 10 + " end"), (3, "x " + "0a1b" * 8 + " y"), (4, "nothing to see"), (5, None)]
+    got = {r.doc_id: r for r in secrets.digest(secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert [(got[i].n_assign, got[i].n_access, got[i].n_hex) for i in range(1, 6)] == [(1, 0, 0), (0, 1, 0), (0, 0, 1), (0, 0, 0), (0, 0, 0)]
+    assert all(got[i].spans for i in (1, 2, 3)) and not got[4].spans and not got[5].spans
