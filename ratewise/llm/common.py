@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,6 +39,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(memos: bool = False) -> None:
+    """Give memory that a task has freed back to the machine, as worker processes live on. ``memos``: the word memo of other operators too."""
+    words = sys.modules.get("ratewise.llm.vocab")
+    if memos and words is not None:
+        words.word_ids.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):  # glibc only
+        libc.malloc_trim(0)
+
+
 def steps(batches: Iterator[pa.RecordBatch], text: str, most_rows: int = STEP_ROWS, most_bytes: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of bounded rows and bytes (of column ``text``); a longer text is a slice of its own."""
     for batch in batches:

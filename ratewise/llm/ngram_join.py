@@ -40,14 +40,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import steps, stored
+from ratewise.llm.common import release, steps, stored
 from ratewise.llm.components import components
 
 WORDS, PERCENT = 5, 75
 #: Keys that one bucket is meant to hold; sets of a key beyond which it is split; rows that are compared at a time; partners that one place takes.
-BUCKET_KEYS, SPLIT, BLOCK, PARTNERS = 500_000, 4096, 256, 1000
-#: Elements of the sets of a key beyond which it is split.
-SPLIT_ELEMENTS = 2_000_000
+BUCKET_KEYS, SPLIT, BLOCK, PARTNERS = 2_000_000, 4096, 256, 1000
+#: Elements of the sets of a key beyond which it is split; rows of a bucket whose tiles are formed at a time.
+SPLIT_ELEMENTS, TILE_ROWS = 2_000_000, 1 << 18
 #: Shingles listed as frequent, at most; local counts below LOCAL are not reported; the list starts at FREQUENT.
 MOST_FREQUENT, LOCAL, FREQUENT = 1 << 18, 3, 16
 LEAST_BITS, MOST_BITS, FILTER_BITS, ORDERS, FIRST_KEYS = 1024, 1 << 16, 24, 8, 8
@@ -213,6 +213,7 @@ def _read_sets(docs: DataFrame) -> DataFrame:
                                               ["doc_id", "cid", "n", "bits"])
 
         arrow_id, seen = None, set()
+        release(memos=True)
         for b in steps(batches, "text"):
             arrow_id = b.column("doc_id").type
             sets = shingle_sets(b.column("text").to_pylist())
@@ -321,10 +322,22 @@ def _keys(docs: DataFrame, order, buckets: int, percent: int) -> DataFrame:
 
 def _tiles(group: pa.Table) -> pa.Table:
     """Sets that share a key with another, each with the centres of the two tiles (of its band and of the band below) that it is in; null for itself and repeats."""
-    rows = np.concatenate([_unpack_keys(x) for x in group["data"].to_pylist()])
+    rows = np.concatenate([_unpack_keys(x.as_py()) for x in group["data"]])
     rows = rows[np.lexsort((rows["cid"], rows["key"]))]
-    fresh = np.concatenate([[True], (rows["key"][1:] != rows["key"][:-1]) | (rows["cid"][1:] != rows["cid"][:-1])])
-    rows = rows[fresh]
+    new_key = np.concatenate([[True], rows["key"][1:] != rows["key"][:-1]])
+    rows = rows[new_key | np.concatenate([[True], rows["cid"][1:] != rows["cid"][:-1]])]
+    begins = np.flatnonzero(np.concatenate([[True], rows["key"][1:] != rows["key"][:-1]]))
+    # whole keys, some rows at a time
+    at = np.searchsorted(begins, np.arange(TILE_ROWS, len(rows), TILE_ROWS))
+    cuts = np.unique([0, *begins[at[at < len(begins)]], len(rows)])
+    out = pa.concat_tables([_tiles_of(rows[a:z]) for a, z in zip(cuts[:-1], cuts[1:])])
+    del rows, new_key
+    release()
+    return out
+
+
+def _tiles_of(rows: np.ndarray) -> pa.Table:
+    """The tiles of rows sorted by key and class, without repeats."""
     key = np.cumsum(np.concatenate([[0], rows["key"][1:] != rows["key"][:-1]]))
     shared = (np.bincount(key)[key] > 1) | rows["split"]
     rows, key = rows[shared], key[shared]

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import steps, stored
+from ratewise.llm.common import release, steps, stored
 from ratewise.llm.ngrams import clean, ngrams, passes
 
 SIZES = (4, 6)
@@ -135,6 +135,7 @@ def _unlearned() -> ToxicityModel:
 def _sentence_counts(sample: DataFrame) -> DataFrame:
     """(gram, n, toxic) over distinct sentences; the last row, gram null, has the totals."""
     def split(batches):
+        release(memos=True)
         for b in steps(batches, "text"):
             rows = [(s.strip().lower(), y) for t, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist())
                     for s in _SENTENCE.findall(t) if s.strip()]
@@ -162,6 +163,7 @@ def _sentence_counts(sample: DataFrame) -> DataFrame:
                 if sum(map(len, held[y])) > 2_000_000:
                     yield flush(y)
         yield from map(flush, held)
+        release()
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([sum(number)]), pa.array([number[1]])], ["gram", "n", "toxic"])
 
     return sentences.mapInArrow(count, "gram long, n long, toxic long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
@@ -246,6 +248,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_chars: int = SAMPLE_CHARS, mo
                         if len(gone) or len(come):
                             rows.append((_PAIR, 0, gone.tolist(), come.tolist()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["kind", "toxic", "has", "lacks"])
+        release()
 
     # of a bounded sample; rows with the same features are one with a weight
     coded = sample.mapInArrow(encode, "kind int, toxic int, has array<int>, lacks array<int>")

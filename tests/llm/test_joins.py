@@ -61,7 +61,7 @@ def near(spark):
 
 @pytest.mark.parametrize("split, block, frequent", [(4096, 256, 16), (7, 3, 2)])
 def test_join_equals_brute_force(near, monkeypatch, split, block, frequent):
-    for name, value in (("SPLIT", split), ("BLOCK", block), ("FREQUENT", frequent), ("LOCAL", 2), ("BUCKET_KEYS", 500 if split == 7 else 1_000_000), ("PARTNERS", split)):
+    for name, value in (("SPLIT", split), ("BLOCK", block), ("FREQUENT", frequent), ("LOCAL", 2), ("BUCKET_KEYS", 500 if split == 7 else 1_000_000), ("PARTNERS", split), ("TILE_ROWS", 1 << 18 if split > 7 else 5)):
         monkeypatch.setattr(ngram_join, name, value)
     docs, rows = near
     got = sorted((tuple(r) for r in ngram_join.join_documents(docs).collect()), key=repr)
