@@ -81,6 +81,6 @@ def test_toxicity_stage_keeps_all_without_evidence(spark, awkward, tmp_path, mon
     assert kept.columns == awkward.columns and kept.count() == awkward.count()
     model = toxicity.fit(awkward, labels.where("doc_id < 0"))
     assert {(r.score, r.predicted) for r in toxicity.score(awkward.drop("score"), model).collect()} == {(0.0, 0)}
-    monkeypatch.setattr(toxicity.fit, "__defaults__", (0,))  # no text is sampled
+    monkeypatch.setattr(toxicity.fit, "__defaults__", (0, *toxicity.fit.__defaults__[1:]))  # no text is sampled
     kept = corpus_pipeline.remove_toxic(spark, awkward, f"{tmp_path}/some")
     assert kept.count() == awkward.count()
