@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -216,6 +217,25 @@ def _calibrate(z: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[fl
 
 
 _TEXT, _SENTENCE_ROW, _PAIR = range(3)
+#: Numbers that an encoding task holds before it passes its rows on, also inside a long text.
+MOST_HELD = 1 << 18
+
+
+def _coded(model: ToxicityModel, filter_: np.ndarray, text: str, label: int, swaps: int, plain_every: int):
+    """(kind, toxic, has, lacks): the text, its sentences with a feature, and what each counterfactual changes."""
+    none = np.zeros(0, np.int32)
+    yield _TEXT, label, model.present(text, filter_).astype(np.int32), none
+    for m in _SENTENCE.finditer(text):
+        s = m[0]
+        own = model.present(s, filter_).astype(np.int32)
+        # sentences teach what each piece of evidence is worth alone; those without any feature teach nothing
+        if len(own):
+            yield _SENTENCE_ROW, label, own, none
+        for other in counterfactuals(s, swaps, plain_every):
+            its = model.present(other, filter_).astype(np.int32)
+            gone, come = np.setdiff1d(own, its), np.setdiff1d(its, own)
+            if len(gone) or len(come):
+                yield _PAIR, 0, gone, come
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_chars: int = SAMPLE_CHARS, most_features: int = MOST_FEATURES,
@@ -232,22 +252,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample_chars: int = SAMPLE_CHARS, mo
     def encode(batches):
         model = shared.value
         filter_ = model.filter()
+        rows, held = [], 0
+
+        def coded():
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["kind", "toxic", "has", "lacks"])
+
         for b in steps(batches, "text"):
-            rows = []
             for text, label in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
                 label = int(label > 0)
-                rows.append((_TEXT, label, model.present(text, filter_).tolist(), []))
-                for s in _SENTENCE.findall(text):
-                    own = model.present(s, filter_)
-                    # sentences teach what each piece of evidence is worth alone; those without any feature teach nothing
-                    if len(own):
-                        rows.append((_SENTENCE_ROW, label, own.tolist(), []))
-                    for other in counterfactuals(s, swaps, plain_every):
-                        its = model.present(other, filter_)
-                        gone, come = np.setdiff1d(own, its), np.setdiff1d(its, own)
-                        if len(gone) or len(come):
-                            rows.append((_PAIR, 0, gone.tolist(), come.tolist()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["kind", "toxic", "has", "lacks"])
+                for row in _coded(model, filter_, text, label, swaps, plain_every):
+                    rows.append(row)
+                    held += 8 + len(row[2]) + len(row[3])
+                    if held >= MOST_HELD:
+                        yield coded()
+                        rows, held = [], 0
+        if rows:
+            yield coded()
         release()
 
     # of a bounded sample; rows with the same features are one with a weight
@@ -258,9 +278,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_chars: int = SAMPLE_CHARS, mo
     toxic, weights = toxic[own], weight[own]
     if not 0 < toxic.sum() < len(toxic):
         return _unlearned()
-    has, lacks = ([np.array(x, np.int64) for x in got[c].to_pylist()] for c in ("has", "lacks"))
-    spread = lambda lists: (np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate([*lists, np.zeros(0, np.int64)]))
     n = int(own.sum())
+    has, lacks = (got[c].combine_chunks() for c in ("has", "lacks"))
+    spread = lambda lists: (np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy()), lists.flatten().to_numpy().astype(np.int64))
     rows, cols = spread(has[:n])
     (g_row, g_col), (c_row, c_col) = spread(has[n:]), spread(lacks[n:])
     pairs = (np.concatenate([g_row, c_row]), np.concatenate([g_col, c_col]), np.concatenate([np.ones(len(g_row)), -np.ones(len(c_row))]), weight[n:])
