@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nested import decode_recs, encode_recs
 from ..functions.vectors import dot
-from ..operators import als, bitmaps, evaluation, ranking, realtime, recommend, similarity, stats
+from ..operators import als, audit, bitmaps, evaluation, ranking, realtime, recommend, similarity, stats
 from ..schemas import RATING
 from ..session import materialize, scratch_path
 from ..sources import log_source, tables, text
@@ -484,30 +484,44 @@ def q_als_predict(spark, sf_dir):
     return pred.select("uid", "mid", "score", _finite("prediction").alias("predicted"))
 
 
+def _audited(keys: DataFrame, checks: DataFrame, audited: DataFrame, key: str) -> DataFrame:
+    """Every key with its checks (null without a list) and what its list lacks or has too much."""
+    return keys.join(checks, key, "left").join(audited, key, "left").withColumns(
+        {c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("missing", "extra")})
+
+
 @query("als_user_recs")
 def q_als_user_recs(spark, sf_dir):
-    """(uid, in_order, in_bounds): per user with ratings, whether its list is ranked 1 to at most 20 by falling positive score."""
-    recs = als.user_recs(_model(spark, sf_dir), recommend.USER_TOP_K)
+    """(uid, in_order, in_bounds, missing, extra): per user with ratings, whether its list is whole.
+
+    The list runs from 1 to at most 20 by falling positive score; a plain count over all products of
+    the same factors finds no item that it lacks and none that does not belong.
+    """
+    model = _model(spark, sf_dir)
+    recs = materialize(als.user_recs(model, recommend.USER_TOP_K))
     lists = recs.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("rank", "score", "mid"))).alias("l"))
     falling = F.forall(F.sequence(F.lit(1), F.size("l") - 1, F.lit(1)), lambda i: (
         (F.get("l", i - 1)["score"] > F.get("l", i)["score"])
         | ((F.get("l", i - 1)["score"] == F.get("l", i)["score"]) & (F.get("l", i - 1)["mid"] < F.get("l", i)["mid"]))))
     numbered = F.forall(F.sequence(F.lit(1), F.size("l")), lambda i: F.get("l", i - 1)["rank"] == i)
+    checks = lists.select("uid", (numbered & F.when(F.size("l") > 1, falling).otherwise(True)).alias("in_order"),
+                          ((F.size("l") <= recommend.USER_TOP_K) & F.forall("l", lambda r: r["score"] > 0)).alias("in_bounds"))
+    found = audit.audit_user_lists(recs, als.user_factors(model), als.item_factors(model), recommend.USER_TOP_K)
     users = td.ratings(spark, sf_dir).select("uid").distinct()
-    return users.join(lists, "uid", "left").select(
-        "uid", (numbered & F.when(F.size("l") > 1, falling).otherwise(True)).alias("in_order"),
-        ((F.size("l") <= recommend.USER_TOP_K) & F.forall("l", lambda r: r["score"] > 0)).alias("in_bounds"))
+    return _audited(users, checks, found, "uid").select("uid", "in_order", "in_bounds", "missing", "extra")
 
 
 @query("als_item_sims")
 def q_als_item_sims(spark, sf_dir):
-    """(mid, in_order, in_bounds, mirrored): per rated item, whether its similarity list obeys its rules.
+    """(mid, in_order, in_bounds, mirrored, missing, extra): per rated item, whether its similarity list is whole.
 
     Ranks run from 1 by falling score, scores lie above the job's threshold
     and not above 1, and each entry has its mirror image. Items without a
-    similar one have an empty list, which does.
+    similar one have an empty list, which does. A plain count over all pairs of the same factors
+    finds no edge that a list lacks and none that does not belong.
     """
-    sims = materialize(similarity.item_similarity(als.item_factors(_model(spark, sf_dir))))
+    factors = als.item_factors(_model(spark, sf_dir))
+    sims = materialize(similarity.item_similarity(factors))
     mirror = sims.select(F.col("mid").alias("sim_mid"), F.col("sim_mid").alias("mid"), F.lit(1).alias("back"))
     before = Window.partitionBy("mid").orderBy("rank")
     held = sims.join(mirror, ["mid", "sim_mid"], "left").withColumn("prev", F.lag("score").over(before)).withColumn("n", F.row_number().over(before))
@@ -516,14 +530,30 @@ def q_als_item_sims(spark, sf_dir):
         F.every((F.col("score") > similarity.SIMILARITY_THRESHOLD) & (F.col("score") <= 1 + 1e-9)).alias("in_bounds"),
         F.every(F.col("back").isNotNull()).alias("mirrored"))
     yes = lambda c: F.coalesce(c, F.lit(True)).alias(c)
-    return td.ratings(spark, sf_dir).select("mid").distinct().join(checks, "mid", "left").select(
-        "mid", yes("in_order"), yes("in_bounds"), yes("mirrored"))
+    found = audit.audit_similarity(sims, factors, similarity.SIMILARITY_THRESHOLD)
+    rated = td.ratings(spark, sf_dir).select("mid").distinct()
+    return _audited(rated, checks, found, "mid").select("mid", yes("in_order"), yes("in_bounds"), yes("mirrored"), "missing", "extra")
 
 
 @query("als_grid_search")
 def q_als_grid_search(spark, sf_dir):
-    """The reference's grid and its arg-min: (rank, lambda, n_pairs, valid, not_below_best)."""
-    grid = materialize(als.grid_search(td.ratings(spark, sf_dir), seed=ALS_SEED))
-    best = evaluation.best_params(grid).select(F.col("rmse").alias("best"))  # one row
-    return grid.crossJoin(F.broadcast(best)).select(
-        "rank", "lambda", "n_pairs", (_finite("rmse") & (F.col("rmse") > 0)).alias("valid"), (F.col("rmse") >= F.col("best")).alias("not_below_best"))
+    """The reference's grid and its arg-min: (rank, lambda, n_pairs, valid, not_below_best, best_repeats).
+
+    The chosen point is fitted once more and its error summed row by row: it must be the
+    chosen error, and no point's may lie below it.
+    """
+    ratings = td.ratings(spark, sf_dir)
+    grid = materialize(als.grid_search(ratings, seed=ALS_SEED))
+    chosen = evaluation.best_params(grid).first()  # one row
+    train, test = evaluation.train_test(ratings)
+    model = als.fit(train.select("uid", "mid", "score"), rank=chosen["rank"], reg=chosen["lambda"], seed=ALS_SEED)
+    test = test.select("uid", "mid", "score")
+    # a pair rated c times counts c x c times: each of its rows c times
+    often = test.groupBy("uid", "mid").agg(F.count(F.lit(1)).alias("c"))
+    rows = als.predict(model, test).join(often, ["uid", "mid"])
+    again = rows.agg(F.sqrt(F.sum((F.col("score") - F.col("prediction")) ** 2 * F.col("c")) / F.sum("c")).alias("e")).first()["e"]
+    same = again is not None and abs(again - chosen["rmse"]) <= 1e-6 * max(1.0, again)
+    floor = F.lit(again).cast("double") - 1e-6
+    return grid.select(
+        "rank", "lambda", "n_pairs", (_finite("rmse") & (F.col("rmse") > 0)).alias("valid"),
+        F.coalesce(F.col("rmse") >= floor, F.lit(False)).alias("not_below_best"), F.lit(same).alias("best_repeats"))

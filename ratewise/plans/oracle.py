@@ -246,9 +246,9 @@ held AS (SELECT uid, mid, score FROM split WHERE split = 'test'
          AND uid IN (SELECT uid FROM train) AND mid IN (SELECT mid FROM train))"""
 SQL["als_item_factors"] = with_(["ratings"], "SELECT DISTINCT mid, 200 AS length, true AS finite FROM ratings")
 SQL["als_predict"] = with_(["ratings", "split", "train_test"], "SELECT uid, mid, score, true AS predicted FROM held")
-SQL["als_user_recs"] = with_(["ratings"], "SELECT DISTINCT uid, true AS in_order, true AS in_bounds FROM ratings")
-SQL["als_item_sims"] = with_(["ratings"], "SELECT DISTINCT mid, true AS in_order, true AS in_bounds, true AS mirrored FROM ratings")
+SQL["als_user_recs"] = with_(["ratings"], "SELECT DISTINCT uid, true AS in_order, true AS in_bounds, 0::BIGINT AS missing, 0::BIGINT AS extra FROM ratings")
+SQL["als_item_sims"] = with_(["ratings"], "SELECT DISTINCT mid, true AS in_order, true AS in_bounds, true AS mirrored, 0::BIGINT AS missing, 0::BIGINT AS extra FROM ratings")
 SQL["als_grid_search"] = with_(["ratings", "split", "train_test"], """
 SELECT r.rank, l."lambda", (SELECT sum(c * c) FROM (SELECT count(*) AS c FROM held GROUP BY uid, mid))::BIGINT AS n_pairs,
-       true AS valid, true AS not_below_best
+       true AS valid, true AS not_below_best, true AS best_repeats
 FROM (SELECT unnest([50, 100, 200, 300]) AS rank) r, (SELECT unnest([0.01, 0.1, 1.0]::DOUBLE[]) AS "lambda") l""")
