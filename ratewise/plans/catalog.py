@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import sql
 from ..functions.nested import decode_recs, encode_recs
 from ..functions.vectors import dot
 from ..operators import als, audit, bitmaps, evaluation, ranking, realtime, recommend, similarity, stats
@@ -44,6 +45,14 @@ def q_item_popularity_monthly(spark, sf_dir):
     return stats.item_popularity_monthly(td.ratings(spark, sf_dir))
 
 
+@query("monthly_popularity_sql")
+def q_monthly_popularity_sql(spark, sf_dir):
+    """Monthly counts and averages as SQL text over the named views and the date function."""
+    sql.register(spark, td.ratings(spark, sf_dir))
+    return spark.sql("""SELECT mid, yearmonth, count(*) AS count, round(avg(score), 9) AS avg
+                        FROM ratingOfMonth WHERE mid IS NOT NULL GROUP BY mid, yearmonth""")
+
+
 @query("item_popularity_order")
 def q_item_popularity_order(spark, sf_dir):
     """Popularity in the order that the job stores: (rank, mid, count)."""

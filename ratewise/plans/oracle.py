@@ -69,6 +69,12 @@ SQL["monthly_popularity_order"] = f"""
 SELECT row_number() OVER (ORDER BY yearmonth DESC, count DESC, mid) AS rank, mid, count, yearmonth
 FROM ({SQL["item_popularity_monthly"]})"""
 
+SQL["monthly_popularity_sql"] = with_(["ratings"], """
+SELECT mid, yearmonth, count(*) AS count, round(avg(score), 9) AS avg FROM (
+  SELECT mid, score, (year(d) * 100 + month(d))::INTEGER AS yearmonth
+  FROM (SELECT mid, score, DATE '1970-01-01' + floor(timestamp / 86400)::INTEGER AS d FROM ratings))
+WHERE mid IS NOT NULL GROUP BY mid, yearmonth""")
+
 SQL["item_avg_order"] = with_(["ratings"], """
 SELECT row_number() OVER (ORDER BY avg DESC, mid) AS rank, mid, avg
 FROM (SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid)""")

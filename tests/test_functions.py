@@ -80,3 +80,15 @@ def test_nested_roundtrip_sorted_by_score_then_mid(spark):
     assert [(r["rank"], r["mid"]) for r in back] == [(1, 11), (2, 9), (3, 10)]
     m = nested.where("uid = 1").select(recs_to_map("recs").alias("m")).first()["m"]
     assert m == {11: 3.0, 9: 2.0, 10: 2.0}
+
+
+def test_change_date_in_sql_is_inlined_and_equals_the_column_form(spark):
+    from ratewise.functions import scalar, sql
+    rows = [(1, 2, 3.0, t) for t in (0, 86399, 951782400, 1260759144, 2147483647, -1, -86401)] + [(1, 2, None, None)]
+    df = spark.createDataFrame(rows, "uid int, mid int, score double, timestamp int")
+    sql.register(spark, df)
+    got = spark.sql("SELECT changeDate(timestamp) AS d, timestamp FROM ratings")
+    assert {(r["timestamp"], r["d"]) for r in got.collect()} == {
+        (r["timestamp"], r["d"]) for r in df.select("timestamp", scalar.year_month_of_epoch("timestamp").alias("d")).collect()}
+    plan = spark.sql("SELECT mid, yearmonth, count(*) FROM ratingOfMonth GROUP BY ALL")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "partial_count" in plan
