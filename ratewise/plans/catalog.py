@@ -328,20 +328,33 @@ def q_store_roundtrip(spark, sf_dir):
 
 @query("store_lookup")
 def q_store_lookup(spark, sf_dir):
-    """The most active user's and the most rated item's rows, looked up by key in the stored layout."""
+    """The most active user's and the most rated item's rows, both looked up in one table laid out along a curve."""
     path = scratch_path(spark, "ratings-lookup")
-    tables.write_lookup_layout(td.ratings(spark, sf_dir), path, "uid", tiebreak=["mid", "timestamp"],
-                               bloom_columns=["mid"], buckets=16)
-    stored = tables.read_table(spark, path)
+    tables.write_curve_layout(td.ratings(spark, sf_dir), path, ["uid", "mid"])
+    stored = tables.read_table(spark, path, RATING)
 
     def most(key: str):
         return stored.groupBy(key).count().agg(F.min_by(key, F.struct(-F.col("count"), F.col(key)))).first()[0]
 
-    user, item = most("uid"), most("mid")
-    bucket = spark.range(1).select(F.lit(user).cast("int").alias("uid")).select(tables.bucket_of("uid", 16)).first()[0]
-    by_user = stored.where((F.col(tables.BUCKET) == bucket) & (F.col("uid") == user)).withColumn("by", F.lit("uid"))
-    by_item = stored.where(F.col("mid") == item).withColumn("by", F.lit("mid"))
-    return by_user.unionByName(by_item).select("by", *RATING.names)
+    found = [tables.lookup(spark, path, RATING, key, [most(key)]).withColumn("by", F.lit(key)) for key in ("uid", "mid")]
+    return found[0].unionByName(found[1]).select("by", *RATING.names)
+
+
+@query("rating_rmse_stored")
+def q_rating_rmse_stored(spark, sf_dir):
+    """Hold-out RMSE through stored tables: held-out ratings and predictions, both bucketed by (uid, mid), join without a shuffle."""
+    observed, predicted = stored_hold_out(spark, sf_dir)
+    res = evaluation.pair_join_rmse(observed.join(predicted, ["uid", "mid"]))
+    return res.select(F.round("rmse", COSINE_DIGITS).alias("rmse"), "n_pairs")
+
+
+def stored_hold_out(spark, sf_dir, buckets: int = 32):
+    """(observed, predicted) as catalogue tables in equal buckets of (uid, mid)."""
+    _, test = evaluation.train_test(td.ratings(spark, sf_dir))
+    pairs = test.select("uid", "mid").distinct()
+    predicted = recommend.predict_pairs(pairs, td.user_factors(spark, sf_dir), td.item_factors(spark, sf_dir))
+    save = lambda df, name: tables.save_bucketed(df, name, scratch_path(spark, name), ["uid", "mid"], buckets)
+    return save(test.select("uid", "mid", "score"), "observed"), save(predicted.select("uid", "mid", "prediction"), "predicted")
 
 
 # -- streaming ------------------------------------------------------------

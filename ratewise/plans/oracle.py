@@ -231,6 +231,7 @@ SQL["stream_source_ratings"] = SQL["parse_rating_events"]
 SQL["parse_recent_list"] = SQL["recent_ratings"]
 SQL["nested_recs_roundtrip"] = SQL["user_top_items"]
 SQL["store_roundtrip"] = SQL["parse_ratings"]
+SQL["rating_rmse_stored"] = SQL["rating_rmse"]
 SQL["stream_realtime_recs"] = SQL["realtime_recs"]
 SQL["stream_recent_state"] = SQL["recent_ratings"]
 SQL["stream_upsert_recs"] = with_(_RT, """
