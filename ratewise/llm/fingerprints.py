@@ -1,17 +1,22 @@
 """Document fingerprints by a homomorphic multiset hash, in DataFrame functions only.
 
-A text is the multiset of its paragraphs: lines, long ones cut after sentences;
-no character is lost. Each paragraph is hashed to a wide vector and a
+A text is the multiset of its paragraphs: sentences and lines, cut after every
+``.``, ``!``, ``?`` and line end. A stretch longer than ``LONG`` characters is cut
+further by its content: after words whose hash, taken with the word before,
+says so (one in ``WORDS``), and pieces that stay longer than ``LONGEST`` in the same way after
+characters (one in ``CHARS``). So cuts move with the text around them, and an
+edit changes the pieces it touches only. No character is lost. Each paragraph is hashed to a wide vector and a
 fingerprint is the sum of its paragraphs' vectors, each component modulo a
 power of two. So the order of paragraphs does not matter, equal multisets have
 equal fingerprints, and paragraphs can be added or taken away by adding or
 subtracting their fingerprints (:func:`combine`).
 
 The vector has ``DENSE`` components modulo 2**62, to which every paragraph
-adds: these decide equality. Its ``LEVELS * LANES`` others, modulo 2**16, are
+adds: these decide equality. Its ``LEVELS * LANES`` others, modulo 2**14, are
 sparse: a paragraph adds to one lane of one level, and level k gets a share of
 3/4 * 4**-k of them. The lanes that differ between two fingerprints tell how
-many paragraphs differ, which gives :func:`likeness`.
+many paragraphs differ, which gives :func:`likeness`. Lanes are kept four to a
+number, 15 bits apart, so that one addition and one mask add four of them.
 
 Null text counts as empty: no paragraphs, all components 0. Two empty texts are
 alike (1.0). Repeated rows and null ids are kept. Other columns are ignored
@@ -21,25 +26,56 @@ whatever their names. An empty table gives an empty result.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.llm.common import stored
 
-DENSE, LEVELS, LANES = 4, 5, 32
+DENSE, LEVELS, LANES = 4, 5, 64
 #: A level with more differing lanes than this is too full to count by.
-FULL = 24
-_DENSE_MASK, _LANE_MASK = (1 << 62) - 1, (1 << 16) - 1
+FULL = 48
+#: Characters beyond which a stretch is cut after words (one in WORDS), and a piece after characters (one in CHARS).
+LONG, WORDS, LONGEST, CHARS = 240, 6, 1024, 48
+_DENSE_MASK = (1 << 62) - 1
+#: Bits of a lane, bits from one lane to the next, lanes to a number; the numbers with all lanes full, and with 1 in each.
+_LANE_BITS, _FIELD, _PER = 14, 15, 4
+_ONES = sum(1 << _FIELD * i for i in range(_PER))
+_FULL_LANES = _ONES * ((1 << _LANE_BITS) - 1)
+_GROUPS = LANES // _PER
 #: Bytes of text that one bucket of neighbouring documents is meant to hold.
 BUCKET_BYTES = 8 << 20
-#: Buckets at most; beyond MOST_BUCKETS * BUCKET_BYTES they hold more.
+#: Buckets at most, as their begins go to all tasks; beyond MOST_BUCKETS * BUCKET_BYTES (1 TB) they hold more, and the sort of a bucket spills.
 MOST_BUCKETS = (1 << 17) - 1
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _cut(piece: Column, between: str, one_in: int) -> Column:
+    """The piece cut after those parts (of a split at ``between``) whose hash with the part before falls on 0."""
+    marked = lambda parts: F.transform(parts, lambda p, i: F.when(
+        F.pmod(F.xxhash64(F.get(parts, i - 1), p), F.lit(one_in)) == 0, F.concat(p, F.lit("\x01"))).otherwise(p))
+    return F.split(F.array_join(_let(F.split(piece, between, -1), marked), ""), "\x01", -1)
+
+
+def _cut_long(pieces: Column, longest: int, between: str, one_in: int) -> Column:
+    return F.flatten(F.transform(pieces, lambda p: F.when(F.length(p) > longest, _cut(p, between, one_in)).otherwise(F.array(p))))
+
+
 def paragraphs(text: Column) -> Column:
-    """The text cut after line ends and sentence ends; pieces joined again give the text."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"(?<=[.!?\n])", -1), lambda p: p != "")
+    """The text cut after line ends and sentence ends, long stretches by their content.
+
+    Pieces joined again give the text, in which the control characters 1 and 2 are written as 2 with a letter,
+    since 1 marks cuts.
+    """
+    plain = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("\x02"), F.lit("\x02b")), F.lit("\x01"), F.lit("\x02a"))
+    pieces = F.split(plain, r"(?<=[.!?\n])", -1)
+    pieces = _cut_long(pieces, LONG, r"(?<=\s)", WORDS)
+    return F.filter(_cut_long(pieces, LONGEST, "", CHARS), lambda p: p != "")
 
 
 def _level(h: Column) -> Column:
@@ -49,14 +85,29 @@ def _level(h: Column) -> Column:
     return out
 
 
-def _lanes(hashes: Column, level: int) -> Column:
-    """Sums of one level's lanes: bits 16 to 20 pick the lane, bits 32 to 47 are what is added (made odd)."""
-    own = F.filter(hashes, lambda h: _level(h) == level)
-    lane = lambda h: F.shiftright(h, 16).bitwiseAND(F.lit(LANES - 1))
-    value = lambda h: F.shiftright(h, 32).bitwiseAND(F.lit(_LANE_MASK)).bitwiseOR(F.lit(1))
-    return F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda i: F.aggregate(
-        own, F.lit(0).cast("long"),
-        lambda acc, h: F.when(lane(h) == i, (acc + value(h)).bitwiseAND(F.lit(_LANE_MASK))).otherwise(acc)))
+def _lanes(hashes: Column) -> Column:
+    """Sums of all lanes, _PER to a number, in one pass over the paragraphs in the order of their numbers.
+
+    Bits 16 to 21 of a hash pick the lane of its level, bits 32 to 45 are what is added (made odd). A paragraph is
+    the number's index, its lane's place there and what it adds; an entry that adds nothing stands for each number.
+    """
+    low = (1 << _LANE_BITS) - 1
+
+    def entry(h: Column) -> Column:
+        lane = _level(h) * LANES + F.shiftright(h, 16).bitwiseAND(F.lit(LANES - 1))
+        return F.shiftleft(lane, _LANE_BITS).bitwiseOR(F.shiftright(h, 32).bitwiseAND(F.lit(low))).bitwiseOR(F.lit(1))
+
+    index = lambda e: F.shiftright(e, _LANE_BITS + 2)
+    place = lambda e: F.shiftright(e, _LANE_BITS).bitwiseAND(F.lit(_PER - 1)).cast("int")
+    adds = lambda e: F.call_function("shiftleft", e.bitwiseAND(F.lit(low)), place(e) * _FIELD)
+    state = lambda at, held, done: F.struct(at.alias("at"), held.alias("held"), done.alias("done"))
+    every = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(LEVELS * _GROUPS - 1).cast("long")), lambda i: F.shiftleft(i, _LANE_BITS + 2))
+    return F.aggregate(
+        F.sort_array(F.concat(F.transform(hashes, entry), every)),
+        state(F.lit(0).cast("long"), F.lit(0).cast("long"), F.array().cast("array<long>")),
+        lambda acc, e: F.when(index(e) == acc["at"], state(acc["at"], (acc["held"] + adds(e)).bitwiseAND(F.lit(_FULL_LANES)), acc["done"]))
+        .otherwise(state(index(e), adds(e), F.array_append(acc["done"], acc["held"]))),
+        lambda acc: F.array_append(acc["done"], acc["held"]))
 
 
 def _dense(units: Column, seed: int) -> Column:
@@ -65,49 +116,56 @@ def _dense(units: Column, seed: int) -> Column:
 
 
 def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
-    """Add ``name``: struct(n paragraphs, dense array<long>, lanes array<long>) of column ``text``."""
+    """Add ``name``: struct(n paragraphs, dense array<long>, lanes array<long>, four to a number) of column ``text``."""
     units, hashes = f"{name}__units", f"{name}__hashes"
     rows = rows.withColumn(units, paragraphs(F.col(text)))
     rows = rows.withColumn(hashes, F.transform(units, lambda p: F.xxhash64(p)))
     dense = [_dense(F.col(units), k) for k in range(DENSE)]
-    lanes = F.concat(*[_lanes(F.col(hashes), k) for k in range(LEVELS)])
+    lanes = _lanes(F.col(hashes))
     return rows.withColumn(name, F.struct(F.size(units).cast("long").alias("n"), F.array(*dense).alias("dense"), lanes.alias("lanes"))).drop(units, hashes)
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
     """Fingerprint of a's paragraphs with b's added (``sign`` 1) or taken away (-1)."""
-    add = lambda mask: lambda x, y: (x + (y if sign > 0 else F.lit(mask) - y + 1)).bitwiseAND(F.lit(mask))
-    return F.struct((a["n"] + sign * b["n"]).alias("n"),
-                    F.zip_with(a["dense"], b["dense"], add(_DENSE_MASK)).alias("dense"),
-                    F.zip_with(a["lanes"], b["lanes"], add(_LANE_MASK)).alias("lanes"))
+    over = _ONES << _LANE_BITS
+    dense = lambda x, y: (x + (y if sign > 0 else F.lit(_DENSE_MASK) - y + 1)).bitwiseAND(F.lit(_DENSE_MASK))
+    lanes = lambda x, y: (x + y if sign > 0 else x + F.lit(over) - y).bitwiseAND(F.lit(_FULL_LANES))
+    return F.struct((a["n"] + sign * b["n"]).alias("n"), F.zip_with(a["dense"], b["dense"], dense).alias("dense"),
+                    F.zip_with(a["lanes"], b["lanes"], lanes).alias("lanes"))
 
 
 def as_text(fingerprint: Column) -> Column:
     """Fixed-width hexadecimal: the number of paragraphs, dense components, lanes."""
     part = lambda array, width: F.array_join(F.transform(array, lambda x: F.lpad(F.lower(F.hex(x)), width, "0")), "")
-    return F.concat(F.lpad(F.lower(F.hex(fingerprint["n"])), 16, "0"), part(fingerprint["dense"], 16), part(fingerprint["lanes"], 4))
+    return F.concat(F.lpad(F.lower(F.hex(fingerprint["n"])), 16, "0"), part(fingerprint["dense"], 16), part(fingerprint["lanes"], 15))
 
 
-def _count(marks: Column) -> Column:
-    """Estimated number of distinct paragraphs behind the marked lanes (0 or 1 each).
+def _count(lanes: Column) -> Column:
+    """Estimated number of distinct paragraphs behind the lanes that are not 0.
 
     Of LANES lanes, d are hit by about ln(1 - d / LANES) / ln(1 - 1 / LANES)
     paragraphs; the fullest level that is still countable and those above it
     hold a share of 4**-k of all.
     """
-    counts = [F.aggregate(F.slice(marks, k * LANES + 1, LANES), F.lit(0), lambda acc, x: acc + x) for k in range(LEVELS)]
-    found = [F.log(1 - F.least(d, F.lit(LANES - 0.5)) / LANES) / math.log(1 - 1 / LANES) for d in counts]
-    total = found[-1] * 4 ** (LEVELS - 1)
-    for k in reversed(range(LEVELS - 1)):
-        total = F.when(counts[k] <= FULL, sum(found[k + 1:], found[k]) * 4 ** k).otherwise(total)
-    return total
+    hit = lambda x: F.bit_count((x + _FULL_LANES).bitwiseAND(F.lit(_ONES << _LANE_BITS)))
+
+    def total(d: Column) -> Column:
+        counts = [F.element_at(d, k + 1) for k in range(LEVELS)]
+        found = [F.log(1 - F.least(c, F.lit(LANES - 0.5)) / LANES) / math.log(1 - 1 / LANES) for c in counts]
+        out = found[-1] * 4 ** (LEVELS - 1)
+        for k in reversed(range(LEVELS - 1)):
+            out = F.when(counts[k] <= FULL, sum(found[k + 1:], found[k]) * 4 ** k).otherwise(out)
+        return out
+
+    counts = _let(lanes, lambda held: F.array(*[
+        F.aggregate(F.slice(held, k * _GROUPS + 1, _GROUPS), F.lit(0), lambda acc, x: acc + hit(x)) for k in range(LEVELS)]))
+    return _let(counts, total)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated share of distinct paragraphs in common (Dice), 1.0 for equal fingerprints."""
-    differ = _count(F.zip_with(a["lanes"], b["lanes"], lambda x, y: (x != y).cast("int")))
-    size = lambda c: _count(F.transform(c["lanes"], lambda x: (x != 0).cast("int")))
-    share = 1 - differ / F.greatest(size(a) + size(b), F.lit(1.0))
+    differ = _count(F.zip_with(a["lanes"], b["lanes"], lambda x, y: x.bitwiseXOR(y)))
+    share = 1 - differ / F.greatest(_count(a["lanes"]) + _count(b["lanes"]), F.lit(1.0))
     same = (a["n"] == b["n"]) & (a["dense"] == b["dense"])
     return F.when(same, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(share, F.lit(1.0))))
 

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -56,6 +57,55 @@ def test_order_does_not_matter_and_parts_add_up(spark):
     assert added.select(fingerprints.combine(F.col("f"), F.col("rest"), -1).alias("f")).first()["f"] == f["part"]
 
 
+def words(n, seed):
+    rng = random.Random(seed)
+    return [f"w{rng.randrange(1 << 40):x}" for _ in range(n)]
+
+
+@pytest.mark.parametrize("n", [600, 2000, 4000])
+def test_likeness_of_half_edited_texts_without_sentence_signs(spark, n):
+    """Close to the Dice of the words, though no sign says where a sentence ends."""
+    a, errors = [words(n, seed) for seed in range(8)], []
+    pairs = [(" ".join(x), " ".join(x[:n // 2] + y[n // 2:]), " ".join(["in", "front", *x])) for x, y in zip(a, a[1:] + a[:1])]
+    df = spark.createDataFrame(pairs, "text string, half string, front string")
+    for c in ("text", "half", "front"):
+        df = fingerprints.with_fingerprint(df, c, f"f_{c}")
+    like = lambda c: fingerprints.likeness(F.col("f_text"), F.col(f"f_{c}")).alias(c)
+    got = df.select(like("half"), like("front")).collect()
+    assert all(abs(r.half - 0.5) <= 0.25 and r.front >= 0.9 for r in got)
+    assert sum(abs(r.half - 0.5) for r in got) / len(got) <= 0.1
+
+
+def test_long_stretches_are_cut_by_content(spark):
+    rng = random.Random(5)
+    spaced = " ".join(words(900, 1))
+    solid = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(20_000))
+    texts = [spaced, solid, spaced + "\x01" + solid, "short.\x01\x02b", "a" * 5000, "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = {r.i: r.u for r in df.select("i", fingerprints.paragraphs(F.col("text")).alias("u")).collect()}
+    back = lambda u: "".join(u).replace("\x02a", "\x01").replace("\x02b", "\x02")
+    assert all(back(got[i]) == (t or "") for i, t in enumerate(texts))
+    assert len(got[0]) > 80 and len(got[1]) > 150 and len(got[4]) in (1, 5000) and not got[5] and not got[6]
+    later = df.where("i < 2").select("i", fingerprints.paragraphs(F.concat(F.lit("xyz "), "text")).alias("u")).collect()
+    assert all(len(set(got[r.i]) & set(r.u)) >= len(set(got[r.i])) - 3 for r in later)
+
+
+def test_sums_equal_a_plain_sum(spark):
+    """Lanes and dense components against sums in plain Python over the same hashes."""
+    docs = table(spark, SF, "documents").limit(60)
+    rows = fingerprints.with_fingerprint(docs, "text", "f")
+    rows = rows.withColumn("h", F.transform(fingerprints.paragraphs(F.col("text")), lambda p: F.xxhash64(p))).collect()
+    for r in rows:
+        lanes = [0] * (fingerprints.LEVELS * fingerprints.LANES)
+        for h in r.h or []:
+            h %= 1 << 64
+            level = next((k for k in range(fingerprints.LEVELS - 1) if h >> 2 * k & 3), fingerprints.LEVELS - 1)
+            at = level * fingerprints.LANES + (h >> 16) % fingerprints.LANES
+            lanes[at] = (lanes[at] + ((h >> 32) % (1 << 14) | 1)) % (1 << 14)
+        held = [x >> 15 * i & (1 << 14) - 1 for x in r.f.lanes for i in range(4)]
+        assert held == lanes and r.f.n == len(r.h)
+
+
 def test_awkward_rows(awkward, nothing):
     rows = fingerprints.fingerprint_edits(awkward, 5000).collect()
     assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in awkward.collect())
