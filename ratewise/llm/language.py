@@ -87,8 +87,9 @@ def fit(docs: DataFrame, bits: int = SLOT_BITS, hashes: int = HASHES, sample_cha
     slices = np.zeros((max(1, -(-len(languages) // 8)), 1 << bits), dtype=np.uint8)
     if not languages:
         return LanguageFilters(languages, slices, hashes)
-    share = F.element_at(F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, sample_chars / max(1, sizes[k])))]), F.col("lang"))
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000)
+    # all 64 bits of the hash decide: a share of any size keeps its texts
+    last = {k: min(max((1 << 64) * sample_chars // max(1, sizes[k]) - 1, 0) - (1 << 63), (1 << 63) - 1) for k in languages}
+    sample = rows.where(F.xxhash64("text") <= F.element_at(F.create_map(*[F.lit(x).cast(t) for k in languages for x, t in ((k, "string"), (last[k], "long"))]), F.col("lang")))
 
     def count(batches):
         held: dict[int, list] = {}

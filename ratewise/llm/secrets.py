@@ -230,14 +230,18 @@ def digest(found: DataFrame, base: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
 
 
 def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The documents with secrets replaced in ``text`` and ``n_chars`` set to match; rows without one stay as they are."""
+    """The documents with secrets replaced in ``text`` and ``n_chars``, if there is such a column, set to match; rows without a secret stay as they are."""
+    counted = "n_chars" in docs.columns
+
     def run(batches):
         for b in steps(batches, "text"):
             texts = b.column("text").to_pylist()
             spans = find_spans([t or "" for t in texts], rules)
             new = [redact(t, s) if s else t for t, s in zip(texts, spans)]
-            chars = [len(n) if s else c for n, s, c in zip(new, spans, b.column("n_chars").to_pylist())]
-            cols = {"text": pa.array(new, pa.string()), "n_chars": pa.array(chars, b.schema.field("n_chars").type)}
+            cols = {"text": pa.array(new, pa.string())}
+            if counted:
+                chars = [len(n) if s else c for n, s, c in zip(new, spans, b.column("n_chars").to_pylist())]
+                cols["n_chars"] = pa.array(chars, b.schema.field("n_chars").type)
             yield pa.RecordBatch.from_arrays([cols.get(n, b.column(n)) for n in b.schema.names], b.schema.names)
 
     return docs.mapInArrow(run, docs.schema)

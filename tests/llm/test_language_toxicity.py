@@ -53,6 +53,14 @@ def test_long_texts_are_read_whole(languages):
     assert model.languages[int(np.argmax(shares))] == "de"
 
 
+def test_a_language_sample_of_any_size(spark):
+    """A share far below one in a million neither fails nor takes all; a bound above the corpus takes every text."""
+    rng = random.Random(9)
+    rows = spark.createDataFrame([("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=40)), "en") for _ in range(2000)], "text string, lang string")
+    sizes = [int(language.fit(rows, sample_chars=n).slices.astype(bool).sum()) for n in (0, 2000, 1 << 40)]
+    assert sizes[0] <= sizes[1] < sizes[2]
+
+
 def test_more_languages_than_a_byte_has_bits(spark):
     rng = random.Random(1)
     letters = "abcdefghijklmnopqrst"

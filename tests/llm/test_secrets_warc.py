@@ -142,3 +142,9 @@ def test_planted_secrets_are_found(spark):
     got = {r.doc_id: r for r in secrets.digest(secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
     assert [(got[i].n_assign, got[i].n_access, got[i].n_hex) for i in range(1, 6)] == [(1, 0, 0), (0, 1, 0), (0, 0, 1), (0, 0, 0), (0, 0, 0)]
     assert all(got[i].spans for i in (1, 2, 3)) and not got[4].spans and not got[5].spans
+
+
+def test_redaction_without_a_number_of_characters(spark):
+    rows = [(1, "see password = hunter22xyz here"), (2, None), (3, "plain")]
+    got = {r.doc_id: r.text for r in secrets.redacted(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert "hunter22xyz" not in got[1] and got[1].startswith("see ") and got[1].endswith(" here") and (got[2], got[3]) == (None, "plain")
