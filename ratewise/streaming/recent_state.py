@@ -1,9 +1,10 @@
 """Per-user recent-ratings state kept by Spark (``applyInPandasWithState``).
 
-Each user's state is the list of its k newest ratings by (event time,
-event id). Rows come in Arrow batches and are merged chunk by chunk, so memory
-is O(k + chunk) per user however many rows a user sends. A micro-batch emits
-the new list, which is upserted per user. Event order across batches does not
+The state is each user's list of its k newest ratings by (event time,
+event id). Users are dealt to a fixed number of groups by hash, and one call merges
+the rows of a group's users, so that calls do not grow with the users. Rows come in Arrow batches and are merged
+chunk by chunk: memory is O(k x users of the group + chunk) however many rows a user sends. A micro-batch emits
+the new lists of its users, which are upserted per user. Event order across batches does not
 matter: a late, older event only enters the list if it is among the k newest.
 """
 
@@ -19,8 +20,13 @@ from ..operators.realtime import RECENT_K
 from ..sources.sinks import UpsertLog
 from . import realtime_stream
 
-OUTPUT_SCHEMA = "uid int, items array<struct<pos:int, mid:int, score:double>>"
-STATE_SCHEMA = "ts_us array<long>, event_id array<long>, mid array<int>, score array<double>"
+LISTS_SCHEMA = "uid long, mids array<int>, scores array<double>"
+STATE_SCHEMA = "uid array<long>, ts_us array<long>, event_id array<long>, mid array<int>, score array<double>"
+#: Groups that users are dealt to; a group's state is rewritten when one of its users sends a row.
+GROUPS = 4096
+#: Stands for a null user; and for null times, ids and items.
+NO_USER = -(1 << 40)
+NO_LONG, NO_INT = -(1 << 63), -(1 << 31)
 
 
 def with_time_key(events: DataFrame) -> DataFrame:
@@ -36,31 +42,41 @@ def _merge(k: int):
     import numpy as np
     import pandas as pd
 
+    kinds = {"uid": "int64", "ts_us": "int64", "event_id": "int64", "mid": "int32", "score": "float64"}
+
     def fn(key, pdfs, state):
-        if state.exists:
-            ts, ev, mid, sc = (np.asarray(x) for x in state.get)
-        else:
-            ts, ev = np.array([], dtype="int64"), np.array([], dtype="int64")
-            mid, sc = np.array([], dtype="int32"), np.array([], dtype="float64")
-        for pdf in pdfs:  # merge chunk by chunk: at most k + chunk rows held at once
-            ts = np.concatenate([ts, pdf["ts_us"].to_numpy("int64")])
-            ev = np.concatenate([ev, pdf["event_id"].to_numpy("int64")])
-            mid = np.concatenate([mid, pdf["mid"].to_numpy("int32")])
-            sc = np.concatenate([sc, pdf["score"].to_numpy("float64")])
-            order = np.lexsort((-ev, -ts))[:k]  # newest first: ts desc, then event_id desc
-            ts, ev, mid, sc = ts[order], ev[order], mid[order], sc[order]
-        state.update((ts.tolist(), ev.tolist(), mid.tolist(), sc.tolist()))
-        items = [{"pos": i, "mid": int(m), "score": float(s)} for i, (m, s) in enumerate(zip(mid, sc))]
-        yield pd.DataFrame({"uid": [key[0]], "items": [items]})
+        held = [np.asarray(x, dtype=t) for x, t in zip(state.get if state.exists else [[]] * len(kinds), kinds.values())]
+        sent = []
+        for pdf in pdfs:  # merge chunk by chunk: at most k a user + chunk rows held at once
+            new = [pdf[c].to_numpy(t) for c, t in kinds.items()]
+            sent.append(np.unique(new[0]))
+            held = [np.concatenate(x) for x in zip(held, new)]
+            order = np.lexsort((-held[2], -held[1], held[0]))  # by user, newest first: ts desc, then event_id desc
+            uid = held[0][order]
+            begin = np.flatnonzero(np.diff(uid, prepend=uid[:1] - 1))
+            place = np.arange(len(uid)) - np.repeat(begin, np.diff(np.append(begin, len(uid))))
+            order = order[place < k]
+            held = [x[order] for x in held]
+        state.update(tuple(x.tolist() for x in held))
+        uid, _, _, mid, sc = held
+        users, begin = np.unique(uid, return_index=True)
+        new = np.isin(users, np.concatenate(sent)) if sent else np.zeros(len(users), bool)
+        cut = lambda x: [part for part, n in zip(np.split(x, begin[1:]), new) if n]
+        yield pd.DataFrame({"uid": users[new], "mids": cut(mid), "scores": cut(sc)})
 
     return fn
 
 
 def start(events: DataFrame, sink: UpsertLog, checkpoint: str, k: int = RECENT_K, trigger: dict | None = None,
-          compact_every: int | None = realtime_stream.COMPACT_EVERY) -> StreamingQuery:
+          compact_every: int | None = realtime_stream.COMPACT_EVERY, groups: int = GROUPS) -> StreamingQuery:
     """``events``: streaming (uid, mid, score, ts, event_id)."""
-    keyed = with_time_key(events).select("uid", "ts_us", "event_id", "mid", "score")
-    lists = keyed.groupBy("uid").applyInPandasWithState(_merge(k), OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+    or_else = lambda c, t, n: F.coalesce(F.col(c).cast(t), F.lit(n).cast(t)).alias(c)
+    keyed = with_time_key(events).select(
+        F.pmod(F.xxhash64("uid"), F.lit(groups)).cast("int").alias("grp"), or_else("uid", "long", NO_USER), or_else("ts_us", "long", NO_LONG),
+        or_else("event_id", "long", NO_LONG), or_else("mid", "int", NO_INT), "score")
+    merged = keyed.groupBy("grp").applyInPandasWithState(_merge(k), LISTS_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+    item = lambda m, i: F.struct(i.cast("int").alias("pos"), m.alias("mid"), F.get("scores", i).alias("score"))
+    lists = merged.select(F.when(F.col("uid") != NO_USER, F.col("uid").cast("int")).alias("uid"), F.transform("mids", item).alias("items"))
     return realtime_stream.upsert_batches(lists, lambda b: b, sink, checkpoint, trigger, compact_every, mode="update")
 
 
