@@ -507,13 +507,45 @@ class _Tile:
         self.percent, self.key = percent, group["key"][0].as_py()
         self.cid, self.component, self.n, block = (group[c].to_numpy() for c in ("cid", "component", "n", "block"))
         self.bits = group["bits"].to_pylist()
-        self.first = np.full((len(self.cid), FIRST_KEYS), self.key)
+        self.width, self.folded = np.array([len(b) for b in self.bits]), {}
+        first = np.full((len(self.cid), FIRST_KEYS), self.key)
         for i, own in enumerate(group["first"].to_pylist()):
-            self.first[i, :len(own)] = own
+            first[i, :len(own)] = own
+        # by set: numbers of its keys smaller than this one that another set here has too, -1 behind them
+        _, number, times = np.unique(first, return_inverse=True, return_counts=True)
+        number = number.reshape(first.shape)
+        self.first = -np.sort(-np.where((first < self.key) & (times[number] > 1), number, -1).astype(np.int32), axis=1)
         low, high = group["low"][0].as_py(), group["high"][0].as_py()
         self.same = low == high
         self.left, self.right = np.flatnonzero(block == low), np.flatnonzero(block == high)
 
+    def differing(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Bits in which the bitmaps of sets p and q differ, as ``differing``; each set is folded once to a width."""
+        width = np.minimum(self.width[p], self.width[q])
+        out = np.zeros(len(p), np.int64)
+        for w in np.unique(width).tolist():
+            if w not in self.folded:
+                wide = np.flatnonzero(self.width >= w)
+                row = np.zeros(len(self.width), np.int64)
+                row[wide] = np.arange(len(wide))
+                self.folded[w] = row, np.stack([_folded(self.bits[k], w) for k in wide])
+            row, bits = self.folded[w]
+            at = np.flatnonzero(width == w)
+            step = max(1, TOGETHER // w)
+            for i in range(0, len(at), step):
+                part = at[i:i + step]
+                out[part] = np.bitwise_count(bits[row[p[part]]] ^ bits[row[q[part]]]).sum(axis=1, dtype=np.int64)
+        return out
+
+    def earlier(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which pairs of these sets share a smaller key: they are compared there, and their smallest one is never skipped."""
+        shared = np.zeros((len(x), len(y)), bool)
+        left, right = self.first[x], np.where(self.first[y] < 0, -2, self.first[y])
+        for i in np.flatnonzero((left >= 0).any(axis=0)):
+            for j in np.flatnonzero((right >= 0).any(axis=0)):
+                shared |= left[:, i][:, None] == right[:, j][None, :]
+        return shared
+
     def candidates(self, open_):
         """(p, q, differing bits) of pairs whose sizes and bitmaps allow the threshold, some at a time; ``open_`` says which still matter."""
         n, percent = self.n, self.percent
@@ -525,13 +557,9 @@ class _Tile:
                 may = open_(x[:, None], y[None, :]) & (100 * np.minimum(n_x, n_y) >= percent * np.maximum(n_x, n_y))
                 if self.same:
                     may &= x[:, None] < y[None, :]
-                p, q = np.nonzero(may)
+                p, q = np.nonzero(may & ~self.earlier(x, y) if may.any() else may)
                 p, q = x[p], y[q]
-                # a pair that shares a smaller key is compared there; its smallest one is never skipped
-                earlier = (self.first[p][:, :, None] == self.first[q][:, None, :]) & (self.first[p] < self.key)[:, :, None]
-                here = ~earlier.any(axis=(1, 2))
-                p, q = p[here], q[here]
-                bits = differing([self.bits[k] for k in p], [self.bits[k] for k in q])
+                bits = self.differing(p, q)
                 keep = may_reach(n[p], n[q], bits, percent)
                 yield p[keep], q[keep], bits[keep]
 
@@ -575,6 +603,27 @@ def _spanning(percent: int):
     return run
 
 
+def _files_go(work):
+    """Shuffle files of a step go with its job, not when the driver's memory is next cleaned: the steps are stored."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    @functools.wraps(work)
+    def run(docs: DataFrame, *args, **kwargs):
+        conf = docs.sparkSession.conf
+        before = conf.get(key, None)
+        conf.set(key, "true")
+        try:
+            return work(docs, *args, **kwargs)
+        finally:
+            if before is None:
+                conf.unset(key)
+            else:
+                conf.set(key, before)
+
+    return run
+
+
+@_files_go
 def link_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(documents, links): (doc_id, cid, n) of every row, and (a, b) verified links that connect all linked classes."""
     spark = docs.sparkSession
@@ -604,6 +653,7 @@ def link_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     return members, links.unionByName(stored(spanning, "cross-links"))
 
 
+@_files_go
 def _groups(docs: DataFrame, percent: int) -> DataFrame:
     """(doc_id, cid, n, component) of every row; component is null for the empty set, which links with nothing, not even itself."""
     members, links = link_classes(docs, percent)
